@@ -4,8 +4,8 @@
 
 The maximum a posteriori fit under normal priors on level, slope and season and a
 Laplace prior on the slope changes, after Taylor and Letham, "Forecasting at scale"
-(2018). Trend and season are each linear once the other is held, so they are solved
-in turns; the Laplace prior becomes a reweighted ridge.
+(2018), found by Gauss-Newton steps with halving. Within a step the Laplace prior
+becomes a reweighted ridge, and the noise level is updated after it.
 """
 
 from __future__ import annotations
@@ -22,18 +22,26 @@ TREND_DEVIATION = 5.0
 SEASON_DEVIATION = 10.0
 
 MAX_ROUNDS = 25
-TOLERANCE = 1e-6
+MAX_HALVINGS = 5
+REWEIGHTINGS = 8
+# Largest move of the scaled curve that still counts as converged.
+TOLERANCE = 1e-4
+# Slope changes far below this are treated as zero.
+SMALL_CHANGE = 1e-4
 # Noise floor relative to the largest sale; it keeps the solves well conditioned.
 MIN_SIGMA = 1e-3
 
 
 def fourier(day: np.ndarray) -> np.ndarray:
-    """Season features of day numbers counted from 1970-01-01: sines, then cosines, per period."""
+    """Season features, one per line, of day numbers counted from 1970-01-01.
+
+    Sines and then cosines of the yearly waves are followed by those of the weekly ones.
+    """
     blocks = []
     for period, order in ((YEAR_DAYS, YEAR_ORDER), (WEEK_DAYS, WEEK_ORDER)):
-        angle = np.outer(day, np.arange(1, order + 1)) * (2 * np.pi / period)
+        angle = np.outer(np.arange(1, order + 1) * (2 * np.pi / period), day)
         blocks += [np.sin(angle), np.cos(angle)]
-    return np.hstack(blocks)
+    return np.vstack(blocks)
 
 
 def changepoint_times(t: np.ndarray) -> np.ndarray:
@@ -43,58 +51,66 @@ def changepoint_times(t: np.ndarray) -> np.ndarray:
     return t[np.linspace(0, max(usable - 1, 0), count + 1).round().astype(int)][1:]
 
 
-def _ridge(features: np.ndarray, target: np.ndarray, penalty: np.ndarray) -> np.ndarray:
-    gram = features.T @ features
-    gram[np.diag_indices_from(gram)] += penalty
-    return np.linalg.solve(gram, features.T @ target)
-
-
 def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
     """Parameters for at least two observations on distinct, ascending days."""
-    span = float(day[-1] - day[0])
-    t = (day - day[0]) / span
+    t = (day - day[0]) / float(day[-1] - day[0])
     scale = float(np.abs(y).max()) or 1.0
     target = y / scale
 
     changes = changepoint_times(t)
-    trend_features = np.column_stack(
-        [t, np.ones_like(t), np.maximum(t[:, None] - changes[None, :], 0.0)]
-    )
+    growth_features = np.vstack([t, np.ones_like(t), np.maximum(t - changes[:, None], 0.0)])
     season_features = fourier(day)
-
-    season = np.zeros(season_features.shape[1])
-    seasonal = np.zeros_like(t)
+    bends = slice(2, len(growth_features))
+    seasons = slice(bends.stop, bends.stop + len(season_features))
+    prior = np.zeros(seasons.stop)
+    prior[:2] = TREND_DEVIATION**-2
+    prior[seasons] = SEASON_DEVIATION**-2
+
+    def curve(weights):
+        return weights[: bends.stop] @ growth_features, weights[seasons] @ season_features
+
+    def cost(weights, noise):
+        trend, season = curve(weights)
+        misfit = target - trend * (1.0 + season)
+        bending = 2.0 / CHANGE_SCALE * np.abs(weights[bends]).sum()
+        return misfit @ misfit + noise * (prior @ (weights * weights) + bending)
+
+    def ridge(gram, moment, noise, change_size):
+        penalty = prior.copy()
+        penalty[bends] = 1.0 / (CHANGE_SCALE * change_size)
+        return np.linalg.solve(gram + np.diag(noise * penalty), moment)
+
+    # Start from a flat line through the mean.
+    weights = np.zeros(seasons.stop)
+    weights[1] = target.mean()
     change_size = np.full(len(changes), CHANGE_SCALE)
-    sigma = max(float(target.std()), MIN_SIGMA)
-    fitted = np.zeros_like(t)
+    fitted = np.full_like(t, np.inf)
     for _ in range(MAX_ROUNDS):
-        noise = max(sigma, MIN_SIGMA) ** 2
-        prior = np.concatenate(
-            [
-                np.full(2, TREND_DEVIATION**-2),
-                1.0 / (CHANGE_SCALE * (change_size + TOLERANCE)),
-            ]
-        )
-        weights = _ridge(trend_features * (1.0 + seasonal)[:, None], target, noise * prior)
-        change_size = np.abs(weights[2:])
-        trend = trend_features @ weights
-        season = _ridge(
-            season_features * trend[:, None],
-            target - trend,
-            np.full(len(season), noise / SEASON_DEVIATION**2),
-        )
-        seasonal = season_features @ season
-        previous, fitted = fitted, trend * (1.0 + seasonal)
+        trend, season = curve(weights)
+        previous, fitted = fitted, trend * (1.0 + season)
         sigma = float(np.sqrt(np.mean((target - fitted) ** 2)))
-        if np.abs(fitted - previous).max() <= TOLERANCE * max(np.abs(fitted).max(), TOLERANCE):
+        if np.abs(fitted - previous).max() <= TOLERANCE:
             break
+        noise = max(sigma, MIN_SIGMA) ** 2
+        jacobian = np.vstack([growth_features * (1.0 + season), season_features * trend])
+        # The linearised curve at ``weights`` equals fitted + trend * season.
+        gram, moment = jacobian @ jacobian.T, jacobian @ (target + trend * season)
+        for _ in range(REWEIGHTINGS):
+            best = ridge(gram, moment, noise, change_size)
+            change_size = np.abs(best[bends]) + SMALL_CHANGE
+        step, before = best - weights, cost(weights, noise)
+        for _ in range(MAX_HALVINGS):
+            if cost(weights + step, noise) <= before:
+                break
+            step = step / 2
+        weights = weights + step
     return {
         "points": len(y),
         "scale": scale,
         "slope": float(weights[0]),
         "level": float(weights[1]),
         "changepoints": changes.tolist(),
-        "deltas": weights[2:].tolist(),
-        "season": season.tolist(),
+        "deltas": weights[bends].tolist(),
+        "season": weights[seasons].tolist(),
         "sigma": sigma,
     }

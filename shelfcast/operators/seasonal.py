@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import curve
-from shelfcast.functions.season import scaled_time, seasonality, trend, trend_variance
+from shelfcast.functions.season import (
+    day_number,
+    ready_to_predict,
+    scaled_time,
+    seasonality,
+    trend,
+    trend_variance,
+)
 from shelfcast.operators.baseline import Z95
 from shelfcast.operators.frame import HORIZON_DAYS, extended_history
 from shelfcast.operators.history import colocate
@@ -82,18 +89,21 @@ def predict(parameters: DataFrame, frame: DataFrame) -> DataFrame:
     frame that already lies by series is neither moved nor sorted, and nothing is
     broadcast, whatever the number of series.
     """
-    t = scaled_time("ds")
     rows = frame if "y" in frame.columns else frame.withColumn("y", F.lit(None).cast("double"))
-    parts = rows.join(parameters.hint("shuffle_hash"), list(SERIES)).select(
+    ready = ready_to_predict(parameters)
+    placed = rows.join(ready.hint("shuffle_hash"), list(SERIES)).withColumns(
+        {"t": scaled_time(day_number("ds")), "day": day_number("ds")}
+    )
+    parts = placed.select(
         "ds",
         "store",
         "item",
         "y",
         "scale",
         "sigma",
-        trend(t).alias("trend"),
-        seasonality("ds").alias("seasonal"),
-        trend_variance(t).alias("trend_variance"),
+        trend("t").alias("trend"),
+        seasonality("day").alias("seasonal"),
+        trend_variance("t").alias("trend_variance"),
     )
     growth = 1 + F.col("seasonal")
     center = F.col("scale") * F.col("trend") * growth
