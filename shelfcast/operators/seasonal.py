@@ -32,11 +32,12 @@ cloudpickle.register_pickle_by_value(curve)
 MIN_POINTS = 2
 
 
-def fit(history: DataFrame, partitions: int | None = None) -> DataFrame:
+def fit(history: DataFrame) -> DataFrame:
     """One parameter row per series with at least two days of history.
 
     A group is one series of daily totals, at most one row per calendar day however
-    many sales were summed into it.
+    many sales were summed into it. Colocate the history first, so that the number of
+    fitting tasks does not depend on its size in bytes.
     """
     fit_curve = curve.fit_curve
 
@@ -58,7 +59,7 @@ def fit(history: DataFrame, partitions: int | None = None) -> DataFrame:
         for column, field in zip(columns, PARAMETERS)
     )
     # Day numbers travel to Python as plain integers; dates would become objects.
-    days = colocate(history, partitions).select(
+    days = history.select(
         "store", "item", F.unix_date("ds").alias("day"), F.col("y").cast("double").alias("y")
     )
     fitted = days.groupBy(*SERIES).applyInPandas(fit_series, schema)
@@ -131,4 +132,4 @@ def forecast(
     once and Spark reuses that exchange.
     """
     together = colocate(history, partitions)
-    return predict(fit(history, partitions), extended_history(together, horizon))
+    return predict(fit(together), extended_history(together, horizon))
