@@ -31,6 +31,7 @@ from shelfcast.operators.history import (
 from shelfcast.operators.rollups import sales_by_month, sales_by_year
 from shelfcast.sources import views
 from shelfcast.sources.sales import sales_from_lineitem
+from shelfcast.sources.settled import settle
 from shelfcast.sources.tables import as_table_rows
 
 TRAINING_DATE = datetime.date(2001, 12, 31)
@@ -58,6 +59,11 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_history(_sales(spark, sf_dir))
 
 
+def _settled_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For queries that read the history several times: the sales are scanned once."""
+    return settle(_history(spark, sf_dir))
+
+
 def _rounded(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.withColumns({name: F.round(name, DIGITS) for name in columns})
 
@@ -114,14 +120,14 @@ def _query_dim_item(spark, sf_dir):
     return star.dim_item(_history(spark, sf_dir))
 
 
-def _fact(forecast: DataFrame, history: DataFrame) -> DataFrame:
-    """Facts of a forecast; its series are those of the history."""
-    return star.fact_sales(forecast, star.dim_store(history), star.dim_item(history))
+def _dimensions(history: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Store and item dimensions as stored tables. A forecast has the series of its history."""
+    return settle(star.dim_store(history)), settle(star.dim_item(history))
 
 
 def _query_fact_sales(spark, sf_dir):
-    history = _history(spark, sf_dir)
-    return _fact(_rounded_forecast(history), history)
+    history = _settled_history(spark, sf_dir)
+    return star.fact_sales(_rounded_forecast(history), *_dimensions(history))
 
 
 def _first_load(sales: DataFrame) -> DataFrame:
@@ -130,25 +136,25 @@ def _first_load(sales: DataFrame) -> DataFrame:
 
 def _query_dim_store_increment(spark, sf_dir):
     sales = _wide_sales(spark, sf_dir)
-    stored = star.dim_store(_first_load(sales))
+    stored = settle(star.dim_store(_first_load(sales)))
     return stored.unionByName(star.new_stores(stored, sales))
 
 
 def _query_dim_item_increment(spark, sf_dir):
     sales = _wide_sales(spark, sf_dir)
-    stored = star.dim_item(_first_load(sales))
+    stored = settle(star.dim_item(_first_load(sales)))
     return stored.unionByName(star.new_items(stored, sales))
 
 
 def _query_dim_date_increment(spark, sf_dir):
     sales = _wide_sales(spark, sf_dir)
-    stored = star.dim_date(_first_load(sales), "date")
+    stored = settle(star.dim_date(_first_load(sales), "date"))
     return stored.unionByName(star.new_dates(stored, sales, "date"))
 
 
 def _merged(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    history = _history(spark, sf_dir)
-    stores, items = star.dim_store(history), star.dim_item(history)
+    history = _settled_history(spark, sf_dir)
+    stores, items = _dimensions(history)
     earlier = history.where(F.col("ds") < F.lit(EARLIER_TRAINING))
     stored = star.fact_sales(_rounded_forecast(earlier), stores, items)
     batch = star.fact_sales(_rounded_forecast(history), stores, items)
@@ -157,9 +163,9 @@ def _merged(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
 
 def _query_fact_orphans(spark, sf_dir):
     """Facts checked against dimensions that have not seen the last year yet."""
-    history = _history(spark, sf_dir)
+    history = _settled_history(spark, sf_dir)
     earlier = history.where(F.col("ds") < F.lit(EARLIER_TRAINING))
-    stores, items = star.dim_store(history), star.dim_item(history)
+    stores, items = _dimensions(history)
     fact = star.fact_sales(_rounded_forecast(history), stores, items)
     return star.fact_orphans(fact, stores, items, star.dim_date(earlier))
 

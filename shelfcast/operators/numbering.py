@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Consecutive key values per bucket. A bucket then holds at most this many distinct
+# A bucket is a run of 2^16 consecutive key values, so it holds at most 65,536 distinct
 # keys, and the 2^32 values of an INT make at most 65,536 buckets.
-BUCKET_WIDTH = 65_536
+BUCKET_BITS = 16
 
 
 def with_ids(keys: DataFrame, key: str, stored: DataFrame | None = None) -> DataFrame:
@@ -20,7 +20,8 @@ def with_ids(keys: DataFrame, key: str, stored: DataFrame | None = None) -> Data
     """
     placed = keys.select(
         F.col(key).cast("int").alias(key),
-        F.floor(F.col(key) / F.lit(BUCKET_WIDTH)).cast("int").alias("bucket"),
+        # Not nullable, so that both uses below share one scan and shuffle of the keys.
+        F.coalesce(F.shiftright(F.col(key).cast("int"), BUCKET_BITS), F.lit(0)).alias("bucket"),
     )
     below = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("size"))
