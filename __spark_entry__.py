@@ -264,8 +264,8 @@ def _baseline_sql(name: str, history: str) -> str:
          isodow(ds) AS dow
   FROM {p}frame),
 {p}trend AS (
-  SELECT store, item, COALESCE(regr_slope(y, t), 0) AS b,
-         COALESCE(regr_intercept(y, t), AVG(y)) AS a
+  SELECT store, item, CASE WHEN COUNT(y) > 1 THEN regr_slope(y, t) ELSE 0 END AS b,
+         CASE WHEN COUNT(y) > 1 THEN regr_intercept(y, t) ELSE AVG(y) END AS a
   FROM {p}days WHERE y IS NOT NULL GROUP BY store, item),
 {p}placed AS (
   SELECT d.*, a + b * t AS g FROM {p}days d JOIN {p}trend USING (store, item)),

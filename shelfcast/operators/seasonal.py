@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import curve
 from shelfcast.functions.season import (
-    day_number,
+    DAY_NUMBER,
+    SCALED_TIME,
+    SEASONALITY,
+    TREND,
+    TREND_VARIANCE,
     ready_to_predict,
-    scaled_time,
-    seasonality,
-    trend,
-    trend_variance,
 )
 from shelfcast.operators.baseline import Z95
 from shelfcast.operators.frame import HORIZON_DAYS, extended_history
@@ -91,35 +91,26 @@ def predict(parameters: DataFrame, frame: DataFrame) -> DataFrame:
     broadcast, whatever the number of series.
     """
     rows = frame if "y" in frame.columns else frame.withColumn("y", F.lit(None).cast("double"))
-    ready = ready_to_predict(parameters)
-    placed = rows.join(ready.hint("shuffle_hash"), list(SERIES)).withColumns(
-        {"t": scaled_time(day_number("ds")), "day": day_number("ds")}
-    )
-    parts = placed.select(
+    ready = ready_to_predict(parameters).hint("shuffle_hash")
+    placed = rows.join(ready, list(SERIES)).selectExpr("*", SCALED_TIME, DAY_NUMBER)
+    parts = placed.selectExpr(
         "ds",
         "store",
         "item",
         "y",
         "scale",
         "sigma",
-        trend("t").alias("trend"),
-        seasonality("day").alias("seasonal"),
-        trend_variance("t").alias("trend_variance"),
+        f"{TREND} AS trend",
+        f"1 + {SEASONALITY} AS growth",
+        f"{TREND_VARIANCE} AS variance",
     )
-    growth = 1 + F.col("seasonal")
-    center = F.col("scale") * F.col("trend") * growth
-    deviation = F.sqrt(
-        F.col("sigma") * F.col("sigma") + growth * growth * F.col("trend_variance")
+    banded = parts.selectExpr(
+        "*",
+        "scale * trend * growth AS yhat",
+        f"{Z95}D * scale * sqrt(sigma * sigma + growth * growth * variance) AS band",
     )
-    band = F.lit(Z95) * F.col("scale") * deviation
-    return parts.select(
-        "ds",
-        "store",
-        "item",
-        "y",
-        center.alias("yhat"),
-        (center + band).alias("yhat_upper"),
-        (center - band).alias("yhat_lower"),
+    return banded.selectExpr(
+        "ds", "store", "item", "y", "yhat", "yhat + band AS yhat_upper", "yhat - band AS yhat_lower"
     ).to(FORECAST)
 
 

@@ -12,12 +12,13 @@ SETTING = "spark.checkpoint.dir"
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder named by the session. Only a local session may go without one."""
-    folder = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="shelfcast-")
-        spark.conf.set(SETTING, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="shelfcast-"))
+        folder = context.getCheckpointDir()
     return folder
 
 

@@ -1,0 +1,57 @@
+import datetime
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from shelfcast.schemas import SALES
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("shelfcast-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.driver.memory", "8g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.001"
+
+
+def day(text):
+    return datetime.date.fromisoformat(text)
+
+
+def sales_frame(spark, rows):
+    """Rows of ``(date text or None, store, item, sales)``."""
+    return spark.createDataFrame([(d and day(d), *rest) for d, *rest in rows], SALES)
+
+
+def nulls_first(row):
+    return tuple((value is not None, 0 if value is None else value) for value in row)
+
+
+def tuples(frame, *columns):
+    rows = frame.select(*(columns or frame.columns)).collect()
+    return sorted((tuple(row) for row in rows), key=nulls_first)
+
+
+def plan_of(frame):
+    """Text of the plan that ran, or would run."""
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    return text.split("+- == Initial Plan ==")[0]

@@ -1,0 +1,77 @@
+"""Every query against its SQL in DuckDB, on the same tables."""
+
+import datetime
+import glob
+import math
+import os
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as entry
+from shelfcast.operators.baseline import baseline_forecast
+from shelfcast.operators.history import clean_history
+from shelfcast.sources.sales import sales_from_lineitem
+from tests.conftest import nulls_first
+
+QUERIES, SQL = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    connection = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def plain(value):
+    if isinstance(value, float) and math.isnan(value):
+        return None
+    return value.date() if isinstance(value, datetime.datetime) else value
+
+
+def same_rows(frame, relation):
+    assert sorted(frame.columns) == sorted(relation.columns)
+    order = [relation.columns.index(name) for name in frame.columns]
+    expected = [tuple(plain(row[i]) for i in order) for row in relation.fetchall()]
+    found = [tuple(plain(value) for value in row) for row in frame.collect()]
+    assert sorted(found, key=nulls_first) == sorted(expected, key=nulls_first)
+    return len(found)
+
+
+def test_every_sql_text_has_a_query():
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) - set(SQL) == {"forecast_store_item", "fit_params", "predict_from_params"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_its_sql(spark, sf_dir, duck, name):
+    assert same_rows(QUERIES[name](spark, sf_dir), duck.sql(SQL[name])) > 0
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_fitted_queries_return_rows(spark, sf_dir, name):
+    assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_short_and_gappy_series_equal_the_sql_too(spark, sf_dir, duck):
+    """One-day series and weekdays never seen, which the 20 dense series do not have."""
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    history = clean_history(sales_from_lineitem(lineitem, stores=10, items=200))
+    sizes = history.groupBy("store", "item").count()
+    assert sizes.where("count = 1").count() > 0
+    text = f"WITH {entry._FORECAST_SQL} SELECT * FROM forecast"
+    text = text.replace("% 5 + 1", "% 10 + 1").replace("% 4 + 1", "% 200 + 1")
+    keys = ["store", "item", "ds"]
+    expected = duck.sql(text).df().sort_values(keys).reset_index(drop=True)
+    found = baseline_forecast(history).toPandas().sort_values(keys).reset_index(drop=True)
+    found["ds"] = found["ds"].astype(expected["ds"].dtype)
+    # By tolerance, as two-day series often fall on a rounding boundary.
+    pd.testing.assert_frame_equal(found[expected.columns], expected, rtol=1e-6, atol=2e-4)
+
+
+def test_entry_runs(spark):
+    assert entry.entry(spark).count() > 0
