@@ -73,16 +73,20 @@ def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
         trend, season = curve(weights)
         misfit = target - trend * (1.0 + season)
         bending = 2.0 / CHANGE_SCALE * np.abs(weights[bends]).sum()
-        return misfit @ misfit + noise * (prior @ (weights * weights) + bending)
+        return misfit @ misfit + noise * (prior @ (weights - center) ** 2 + bending)
 
     def ridge(gram, moment, noise, change_size):
         penalty = prior.copy()
         penalty[bends] = 1.0 / (CHANGE_SCALE * change_size)
-        return np.linalg.solve(gram + np.diag(noise * penalty), moment)
-
-    # Start from a flat line through the mean.
-    weights = np.zeros(seasons.stop)
-    weights[1] = target.mean()
+        return np.linalg.solve(
+            gram + np.diag(noise * penalty), moment + noise * penalty * center
+        )
+
+    # Start from a flat line through the mean. The level is also drawn towards it and not
+    # towards zero, so that half a year of flat sales is not taken for half a wave.
+    center = np.zeros(seasons.stop)
+    center[1] = target.mean()
+    weights = center
     change_size = np.full(len(changes), CHANGE_SCALE)
     fitted = np.full_like(t, np.inf)
     for _ in range(MAX_ROUNDS):
