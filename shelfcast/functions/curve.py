@@ -23,7 +23,7 @@ SEASON_DEVIATION = 10.0
 
 MAX_ROUNDS = 25
 MAX_HALVINGS = 5
-REWEIGHTINGS = 8
+REWEIGHTINGS = 5
 # Largest move of the scaled curve that still counts as converged.
 TOLERANCE = 1e-4
 # Slope changes far below this are treated as zero.
@@ -88,6 +88,7 @@ def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
     center[1] = target.mean()
     weights = center
     change_size = np.full(len(changes), CHANGE_SCALE)
+    jacobian = np.empty((seasons.stop, len(t)))
     fitted = np.full_like(t, np.inf)
     for _ in range(MAX_ROUNDS):
         trend, season = curve(weights)
@@ -96,7 +97,8 @@ def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
         if np.abs(fitted - previous).max() <= TOLERANCE:
             break
         noise = max(sigma, MIN_SIGMA) ** 2
-        jacobian = np.vstack([growth_features * (1.0 + season), season_features * trend])
+        np.multiply(growth_features, 1.0 + season, out=jacobian[: bends.stop])
+        np.multiply(season_features, trend, out=jacobian[seasons])
         # The linearised curve at ``weights`` equals fitted + trend * season.
         gram, moment = jacobian @ jacobian.T, jacobian @ (target + trend * season)
         for _ in range(REWEIGHTINGS):

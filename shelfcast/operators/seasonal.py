@@ -7,7 +7,8 @@ scores are Spark columns over those rows.
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,11 @@ from shelfcast.schemas import FORECAST, PARAMETERS, SERIES
 cloudpickle.register_pickle_by_value(curve)
 
 MIN_POINTS = 2
+ARROW_TYPES = {
+    "int": pa.int32(),
+    "double": pa.float64(),
+    "array<double>": pa.list_(pa.float64()),
+}
 
 
 def fit(history: DataFrame) -> DataFrame:
@@ -40,36 +46,31 @@ def fit(history: DataFrame) -> DataFrame:
     fitting tasks does not depend on its size in bytes.
     """
     fit_curve = curve.fit_curve
-
-    def fit_series(key: tuple, days: pd.DataFrame) -> pd.DataFrame:
-        if len(days) < MIN_POINTS:
-            return pd.DataFrame(columns=columns)
-        days = days.sort_values("day")
-        day = days["day"].to_numpy()
-        fitted = fit_curve(day.astype("float64"), days["y"].to_numpy())
-        row = {"store": key[0], "item": key[1], "first_day": day[0], "last_day": day[-1], **fitted}
-        return pd.DataFrame([row], columns=columns)
-
-    columns = [
-        {"first_ds": "first_day", "last_ds": "last_day"}.get(name, name)
-        for name in PARAMETERS.fieldNames()
-    ]
-    schema = ", ".join(
-        f"{column} {'int' if field.name in ('first_ds', 'last_ds') else field.dataType.simpleString()}"
-        for column, field in zip(columns, PARAMETERS)
-    )
-    # Day numbers travel to Python as plain integers; dates would become objects.
+    # Day numbers travel to Python and back as plain integers, dates would become objects.
     days = history.select(
         "store", "item", F.unix_date("ds").alias("day"), F.col("y").cast("double").alias("y")
     )
-    fitted = days.groupBy(*SERIES).applyInPandas(fit_series, schema)
-    return fitted.select(
-        "store",
-        "item",
-        F.date_from_unix_date("first_day").alias("first_ds"),
-        F.date_from_unix_date("last_day").alias("last_ds"),
-        *PARAMETERS.fieldNames()[4:],
-    )
+    columns = {
+        field.name: "int" if field.name.endswith("_ds") else field.dataType.simpleString()
+        for field in PARAMETERS
+    }
+    arrow_schema = pa.schema([(name, ARROW_TYPES[kind]) for name, kind in columns.items()])
+
+    def fit_series(key: tuple[pa.Scalar, ...], series: pa.Table) -> pa.Table:
+        if series.num_rows < MIN_POINTS:
+            return arrow_schema.empty_table()
+        day, y = series["day"].to_numpy(), series["y"].to_numpy()
+        order = np.argsort(day)
+        day, y = day[order], y[order]
+        store, item = (part.as_py() for part in key)
+        row = {"store": store, "item": item, "first_ds": day[0], "last_ds": day[-1]}
+        row.update(fit_curve(day.astype("float64"), y))
+        return pa.Table.from_pylist([row], schema=arrow_schema)
+
+    schema = ", ".join(f"{name} {kind}" for name, kind in columns.items())
+    fitted = days.groupBy(*SERIES).applyInArrow(fit_series, schema)
+    dates = {name: F.date_from_unix_date(name) for name in ("first_ds", "last_ds")}
+    return fitted.withColumns(dates)
 
 
 def skipped_series(history: DataFrame) -> DataFrame:
