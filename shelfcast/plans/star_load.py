@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from shelfcast.operators.star import (
     MODES,
@@ -23,23 +24,29 @@ TABLES = {
     "dim_date": DIM_DATE,
     "fact_sales": FACT_SALES,
 }
-FACT_PARTITION = "date_id"
+# Facts are stored by calendar year: a load covers years of history, so that finer folders
+# would only make more of them to list and commit.
+FACT_PARTITION = "year"
 
 
 def reset_star(spark: SparkSession, folder: str) -> None:
     """Store the four tables empty, dropping what they held."""
     for name, schema in TABLES.items():
-        empty = spark.createDataFrame([], schema).write.mode("overwrite")
-        partitioned = empty.partitionBy(FACT_PARTITION) if name == "fact_sales" else empty
-        partitioned.parquet(f"{folder}/{name}")
+        empty = spark.createDataFrame([], schema)
+        if name == "fact_sales":
+            writer = _by_year(empty).write.partitionBy(FACT_PARTITION)
+        else:
+            writer = empty.write
+        writer.mode("overwrite").parquet(f"{folder}/{name}")
 
 
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The stored tables as of now."""
-    return {
+    star = {
         name: spark.read.schema(schema).parquet(f"{folder}/{name}")
         for name, schema in TABLES.items()
     }
+    return {**star, "fact_sales": _stored_facts(spark, folder).drop(FACT_PARTITION)}
 
 
 def load_star(rows: DataFrame, folder: str, mode: str = "append") -> None:
@@ -59,22 +66,40 @@ def load_star(rows: DataFrame, folder: str, mode: str = "append") -> None:
 
     star = read_star(spark, folder)
     batch = fact_sales(rows, star["dim_store"], star["dim_item"])
+    stored = _facts_in_years_of(rows, folder)
     path = f"{folder}/fact_sales"
     if mode == "append":
-        added = _by_date(new_facts(star["fact_sales"], batch))
+        added = _by_year(new_facts(stored, batch))
         added.write.mode("append").partitionBy(FACT_PARTITION).parquet(path)
     else:
-        dates = rows.select(F.col("ds").alias(FACT_PARTITION)).distinct()
-        touched = star["fact_sales"].join(dates, FACT_PARTITION, "left_semi")
-        merged = merged_facts(touched, batch, mode)
         # Written beside the old files and swapped in when all tasks are done.
-        replace_partitions(_by_date(merged), path, FACT_PARTITION)
+        replace_partitions(_by_year(merged_facts(stored, batch, mode)), path, FACT_PARTITION)
 
 
 def _append(members: DataFrame, path: str) -> None:
     members.write.mode("append").parquet(path)
 
 
-def _by_date(facts: DataFrame) -> DataFrame:
-    """Rows of a date together, with large dates split and small ones merged at run time."""
-    return facts.hint("rebalance", FACT_PARTITION)
+def _stored_facts(spark: SparkSession, folder: str) -> DataFrame:
+    schema = StructType([*FACT_SALES, StructField(FACT_PARTITION, IntegerType())])
+    return spark.read.schema(schema).parquet(f"{folder}/fact_sales")
+
+
+def _facts_in_years_of(rows: DataFrame, folder: str) -> DataFrame:
+    """Stored facts of the years that the rows span; other years are not listed or read."""
+    first, last = rows.select(F.year(F.min("ds")), F.year(F.max("ds"))).first()
+    facts = _stored_facts(rows.sparkSession, folder)
+    in_span = F.col(FACT_PARTITION).between(F.lit(first), F.lit(last))
+    return facts.where(in_span).drop(FACT_PARTITION)
+
+
+def _by_year(facts: DataFrame) -> DataFrame:
+    """Facts with their folder, in date order within each file.
+
+    Large years are split and small ones merged at run time, and the date order lets a
+    reader skip the parts of a file outside its dates.
+    """
+    placed = facts.withColumn(FACT_PARTITION, F.year("date_id"))
+    return placed.hint("rebalance", FACT_PARTITION).sortWithinPartitions(
+        FACT_PARTITION, "date_id"
+    )
