@@ -30,7 +30,7 @@ from shelfcast.operators.history import (
 )
 from shelfcast.operators.rollups import sales_by_month, sales_by_year
 from shelfcast.sources import views
-from shelfcast.sources.sales import sales_from_lineitem
+from shelfcast.sources.sales import read_lineitem, sales_from_lineitem
 from shelfcast.sources.settled import settle
 from shelfcast.sources.tables import as_table_rows
 
@@ -44,7 +44,7 @@ DIGITS = 4
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return read_lineitem(spark, f"{sf_dir}/lineitem.parquet")
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +174,11 @@ def _query_forecast_store_item(spark, sf_dir):
     return seasonal.forecast(_history(spark, sf_dir))
 
 
+def _query_forecast_single_series(spark, sf_dir):
+    one = of_series(_sales(spark, sf_dir), store=1, item=1)
+    return seasonal.forecast(clean_history(one))
+
+
 def _query_fit_params(spark, sf_dir):
     return seasonal.fit(colocate(_history(spark, sf_dir)))
 
@@ -222,6 +227,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_replace": lambda spark, sf_dir: _merged(spark, sf_dir, "replace"),
         "fact_orphans": _query_fact_orphans,
         "forecast_store_item": _query_forecast_store_item,
+        "forecast_single_series": _query_forecast_single_series,
         "fit_params": _query_fit_params,
         "predict_from_params": _query_predict_from_params,
     }

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.schemas import SALES
 
+LINEITEM = "l_partkey bigint, l_suppkey bigint, l_quantity double, l_shipdate timestamp_ntz"
+
 
 def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
     """Sales from CSV files with a header line.
@@ -17,6 +19,11 @@ def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=SALES)
 
 
+def read_lineitem(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of order lines that sales are made of; no footer is read to find them."""
+    return spark.read.schema(LINEITEM).parquet(path)
+
+
 def sales_from_lineitem(
     lineitem: DataFrame, stores: int | None = 5, items: int | None = 4
 ) -> DataFrame:

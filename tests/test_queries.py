@@ -44,7 +44,12 @@ def same_rows(frame, relation):
 
 def test_every_sql_text_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"forecast_store_item", "fit_params", "predict_from_params"}
+    assert set(QUERIES) - set(SQL) == {
+        "forecast_store_item",
+        "forecast_single_series",
+        "fit_params",
+        "predict_from_params",
+    }
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
