@@ -174,6 +174,11 @@ def _query_forecast_store_item(spark, sf_dir):
     return seasonal.forecast(_history(spark, sf_dir))
 
 
+def _query_skipped_series(spark, sf_dir):
+    """Most pairs of a supplier and a part have sales on one day only."""
+    return seasonal.skipped_series(clean_history(_wide_sales(spark, sf_dir)))
+
+
 def _query_forecast_single_series(spark, sf_dir):
     one = of_series(_sales(spark, sf_dir), store=1, item=1)
     return seasonal.forecast(clean_history(one))
@@ -226,6 +231,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_increment": lambda spark, sf_dir: _merged(spark, sf_dir, "append"),
         "fact_replace": lambda spark, sf_dir: _merged(spark, sf_dir, "replace"),
         "fact_orphans": _query_fact_orphans,
+        "skipped_series": _query_skipped_series,
         "forecast_store_item": _query_forecast_store_item,
         "forecast_single_series": _query_forecast_single_series,
         "fit_params": _query_fit_params,
@@ -413,6 +419,10 @@ SELECT date, {_DATE_PARTS} FROM (SELECT DISTINCT ds AS date FROM forecast) d""",
 SELECT date, {_DATE_PARTS} FROM (SELECT DISTINCT date FROM sales_rows) d""",
         "fact_increment": f"WITH {_TWO_FACTS_SQL} {_merge_sql('stored_fact', 'fact')}",
         "fact_replace": f"WITH {_TWO_FACTS_SQL} {_merge_sql('fact', 'stored_fact')}",
+        "skipped_series": f"""WITH {_WIDE_SALES_SQL}
+SELECT store, item, CAST(COUNT(DISTINCT date) AS INT) AS points,
+       'fewer than two days of history' AS reason
+FROM sales_rows GROUP BY store, item HAVING COUNT(DISTINCT date) < 2""",
         "fact_orphans": f"""WITH {_FACT_SQL}, {_EARLIER_SQL}
 SELECT store_id, date_id, item_id, 'date_id' AS reference
 FROM fact WHERE date_id NOT IN (SELECT ds FROM earlier)""",

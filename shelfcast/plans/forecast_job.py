@@ -11,6 +11,7 @@ from shelfcast.operators.frame import HORIZON_DAYS, extended_history
 from shelfcast.operators.history import clean_history, colocate
 from shelfcast.operators.seasonal import fit, predict
 from shelfcast.schemas import FORECAST_TABLE
+from shelfcast.sources.settled import settle
 from shelfcast.sources.tables import (
     from_table_rows,
     load_parameters,
@@ -31,12 +32,12 @@ def run_forecast(
 ) -> None:
     """Train, predict and score every series; store the results under ``folder``.
 
-    Each step reads what the step before it stored, so no fit is ever repeated, also
-    when executors are lost. The daily history serves both fit and prediction and is
-    kept in memory and on disk meanwhile; lost blocks are summed again from the sales.
+    Each step reads what the step before it stored, so neither the daily sums nor a fit
+    are ever repeated, also when executors are lost. The history serves both fit and
+    prediction and is kept by series meanwhile; lost blocks are read from its table.
     """
     spark = sales.sparkSession
-    history = colocate(clean_history(sales)).persist()
+    history = colocate(settle(clean_history(sales))).persist()
     try:
         save_parameters(fit(history), training_date, f"{folder}/parameters")
         parameters = load_parameters(spark, f"{folder}/parameters", training_date)
