@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from shelfcast.operators.frame import HORIZON_DAYS, by_series, unroll_horizon
+from shelfcast.operators.frame import HORIZON_DAYS, unroll_horizon
 from shelfcast.schemas import FORECAST
 
 # Two-sided 95% point of the standard normal distribution.
 Z95 = 1.959963984540054
-WEEK = range(7)
 # A trend value below this is taken as zero and gives no weekday ratio.
 TINY_TREND = 1e-9
 
-
-def _trend() -> Column:
-    return F.col("intercept") + F.col("slope") * F.unix_date("ds")
-
-
-def _weekday_factor() -> Column:
-    return F.element_at("factors", F.weekday("ds") + 1)
+OVER_SERIES = "OVER (PARTITION BY store, item)"
+TREND = "(intercept + slope * unix_date(ds))"
+RATIO = f"CASE WHEN abs({TREND}) > {TINY_TREND}D THEN y / {TREND} END"
+# Mean ratio of each weekday, Monday first.
+FACTORS = ", ".join(
+    f"coalesce(avg(CASE WHEN weekday(ds) = {day} THEN {RATIO} END) {OVER_SERIES}, 1D)"
+    for day in range(7)
+)
+CENTER = f"{TREND} * get(factors, weekday(ds))"
 
 
 def baseline_forecast(history: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
@@ -33,36 +33,21 @@ def baseline_forecast(history: DataFrame, horizon: int = HORIZON_DAYS) -> DataFr
     All three steps are windows over the same series partitioning: the history is
     shuffled and sorted once and never joined to its own statistics.
     """
-    series = by_series()
-    fitted = history.select(
+    fitted = history.selectExpr(
         "store",
         "item",
         "ds",
         "y",
-        F.max("ds").over(series).alias("last"),
-        F.coalesce(F.regr_slope("y", F.unix_date("ds")).over(series), F.lit(0.0)).alias("slope"),
-        F.coalesce(
-            F.regr_intercept("y", F.unix_date("ds")).over(series), F.avg("y").over(series)
-        ).alias("intercept"),
+        f"max(ds) {OVER_SERIES} AS last",
+        f"coalesce(regr_slope(y, unix_date(ds)) {OVER_SERIES}, 0D) AS slope",
+        f"coalesce(regr_intercept(y, unix_date(ds)) {OVER_SERIES}, avg(y) {OVER_SERIES})"
+        " AS intercept",
     )
-    ratio = F.when(F.abs(_trend()) > TINY_TREND, F.col("y") / _trend())
-    factors = [
-        F.coalesce(F.avg(F.when(F.weekday("ds") == day, ratio)).over(series), F.lit(1.0))
-        for day in WEEK
-    ]
-    weighted = fitted.withColumn("factors", F.array(*factors))
-    residual = F.col("y") - _trend() * _weekday_factor()
-    spread = weighted.withColumn(
-        "sigma", F.coalesce(F.stddev_samp(residual).over(series), F.lit(0.0))
+    weighted = fitted.selectExpr("*", f"array({FACTORS}) AS factors")
+    spread = weighted.selectExpr(
+        "*", f"{Z95}D * coalesce(stddev_samp(y - {CENTER}) {OVER_SERIES}, 0D) AS band"
     )
-    predicted = _trend() * _weekday_factor()
-    band = F.lit(Z95) * F.col("sigma")
-    return unroll_horizon(spread, horizon).select(
-        "ds",
-        "store",
-        "item",
-        F.col("y").cast("double").alias("y"),
-        predicted.alias("yhat"),
-        (predicted + band).alias("yhat_upper"),
-        (predicted - band).alias("yhat_lower"),
+    center = unroll_horizon(spread, horizon).selectExpr("*", f"{CENTER} AS yhat")
+    return center.selectExpr(
+        "ds", "store", "item", "y", "yhat", "yhat + band AS yhat_upper", "yhat - band AS yhat_lower"
     ).to(FORECAST)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.schemas import SERIES
 
+# Days to predict, and the plotted span of 455 days that ends with them.
 HORIZON_DAYS = 90
 PLOT_DAYS_BACK = 454
 
@@ -22,14 +23,11 @@ def unroll_horizon(rows: DataFrame, horizon: int) -> DataFrame:
     The extra days grow out of the last row where it lies, so no second pass over the
     history, no union and no join are needed.
     """
-    steps = F.when(F.col("ds") == F.col("last"), F.lit(horizon)).otherwise(F.lit(0))
-    ahead = rows.withColumn("ahead", F.explode(F.sequence(F.lit(0), steps)))
-    return ahead.withColumns(
-        {
-            "ds": F.date_add("ds", F.col("ahead")),
-            "y": F.when(F.col("ahead") == 0, F.col("y")),
-        }
-    ).drop("ahead", "last")
+    kept = [name for name in rows.columns if name not in ("ds", "y", "last")]
+    ahead = rows.selectExpr("*", f"explode(sequence(0, if(ds = last, {horizon}, 0))) AS ahead")
+    return ahead.selectExpr(
+        *kept, "date_add(ds, ahead) AS ds", "CASE WHEN ahead = 0 THEN y END AS y"
+    )
 
 
 def extended_history(history: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Column contracts of the frames and tables."""
+"""Column contracts of the frames and tables.
+
+Fixed values: column names and their order are what users of the tables rely on.
+"""
 
 from pyspark.sql.types import (
     ArrayType,

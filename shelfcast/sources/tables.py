@@ -17,7 +17,7 @@ from shelfcast.schemas import EVALUATION, FORECAST_TABLE, PARAMETERS
 
 TRAINING_DATE = "training_date"
 
-# Names of the forecast columns in the table.
+# Names of the forecast columns in the table.
 TABLE_NAMES = {
     "ds": "date",
     "store": "store",
