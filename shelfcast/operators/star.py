@@ -69,12 +69,12 @@ def _join_dimension(
 ) -> DataFrame:
     """Join rows to a dimension, which has one row per key.
 
-    The dimension is counted up to the limit first. Within it, it is broadcast and the
-    rows stay where they are. Beyond it, the key is split into ``salts`` parts and each
+    The dimension is counted first, which for a stored table is a look at its footers.
+    Within the limit it is broadcast and the rows stay where they are. Beyond it, the key is split into ``salts`` parts and each
     dimension row is repeated once per part, so that a store holding a large share of
     the rows is still spread over many tasks. Both ways give the same rows.
     """
-    if members.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if members.count() <= broadcast_rows:
         return rows.join(F.broadcast(members), key, how)
     part = F.pmod(F.xxhash64(*[name for name in rows.columns if name != key]), F.lit(salts))
     every_part = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
