@@ -70,9 +70,10 @@ def _join_dimension(
     """Join rows to a dimension, which has one row per key.
 
     The dimension is counted first, which for a stored table is a look at its footers.
-    Within the limit it is broadcast and the rows stay where they are. Beyond it, the key is split into ``salts`` parts and each
-    dimension row is repeated once per part, so that a store holding a large share of
-    the rows is still spread over many tasks. Both ways give the same rows.
+    Within the limit it is broadcast and the rows stay where they are. Beyond it, the key
+    is split into ``salts`` parts and each dimension row is repeated once per part, so that
+    a store holding a large share of the rows is still spread over many tasks. Both ways
+    give the same rows.
     """
     if members.count() <= broadcast_rows:
         return rows.join(F.broadcast(members), key, how)
@@ -120,8 +121,8 @@ def merged_facts(stored: DataFrame, batch: DataFrame, mode: str = "append") -> D
     """The fact after a load.
 
     Keys are unique within ``stored`` and within ``batch``, as they are for the rows of
-    one forecast. ``append`` keeps stored rows and adds rows with new keys. ``replace`` lets the batch
-    win, so that a retrained model refreshes its predictions.
+    one forecast. ``append`` keeps stored rows and adds rows with new keys. ``replace``
+    lets the batch win, so that a retrained model refreshes its predictions.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")

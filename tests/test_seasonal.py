@@ -11,7 +11,7 @@ from shelfcast.operators.frame import extended_history, future_frame
 from shelfcast.operators.history import clean_history, colocate
 from shelfcast.schemas import FORECAST, HISTORY, PARAMETERS
 from shelfcast.sources.sales import sales_from_lineitem
-from tests.conftest import day, plan_of, sales_frame, tuples
+from tests.conftest import plan_of, sales_frame, tuples
 
 FIRST = datetime.date(2014, 1, 1)
 YEARS = 3 * 365

@@ -61,7 +61,7 @@ def test_views_and_bound_parameters(spark):
     years = views.run_sql(spark, views.YEAR_SALES, sales=view).collect()
     assert [tuple(row) for row in years] == [(2016, 2), (2017, 7)]
     months = views.run_sql(spark, views.MONTH_SALES, sales=view).collect()
-    assert [row.month for row in months] == [day("2016-02-01"), day("2017-01-01"), day("2017-02-01")]
+    assert [row.month.isoformat() for row in months] == ["2016-02-01", "2017-01-01", "2017-02-01"]
     one = views.run_sql(spark, views.SERIES_SALES, sales=view, store=10, item=50)
     assert tuples(one) == [(day("2017-02-01"), 4)]
 

@@ -9,7 +9,8 @@ from tests.conftest import day, plan_of, tuples
 
 
 def rows_of(spark, series, days=("2016-02-29", "2016-03-01"), yhat=1.0):
-    rows = [(day(d), store, item, 5.0, yhat, yhat + 1, yhat - 1) for store, item in series for d in days]
+    measures = (5.0, yhat, yhat + 1, yhat - 1)
+    rows = [(day(d), store, item, *measures) for store, item in series for d in days]
     return spark.createDataFrame(rows, FORECAST)
 
 
@@ -23,7 +24,9 @@ def test_ids_match_a_global_row_number(spark):
     keys = spark.range(0, 200_000, 7).selectExpr("int(id * 37 % 1000003) AS item").distinct()
     keys.createOrReplaceTempView("numbering_keys")
     numbered = with_ids(keys, "item")
-    expected = spark.sql("SELECT int(row_number() OVER (ORDER BY item)) AS id, item FROM numbering_keys")
+    expected = spark.sql(
+        "SELECT int(row_number() OVER (ORDER BY item)) AS id, item FROM numbering_keys"
+    )
     assert numbered.exceptAll(expected).count() == 0
     assert expected.exceptAll(numbered).count() == 0
 
@@ -67,7 +70,13 @@ def test_first_load_into_empty_dimensions(spark):
 def test_fact_takes_ids_from_its_own_row(spark):
     rows = rows_of(spark, [(10, 50), (3, 7)], ["2016-02-29"])
     horizon = rows.selectExpr(
-        "date_add(ds, 1) AS ds", "store", "item", "double(NULL) AS y", "yhat", "yhat_upper", "yhat_lower"
+        "date_add(ds, 1) AS ds",
+        "store",
+        "item",
+        "double(NULL) AS y",
+        "yhat",
+        "yhat_upper",
+        "yhat_lower",
     )
     fact = star.fact_sales(rows.unionByName(horizon), star.dim_store(rows), star.dim_item(rows))
     assert fact.schema.simpleString() == FACT_SALES.simpleString()
