@@ -34,6 +34,12 @@ from shelfcast.sources.sales import read_lineitem, sales_from_lineitem
 from shelfcast.sources.settled import settle
 from shelfcast.sources.tables import as_table_rows
 
+try:
+    import corpus_pipeline as _pipeline
+    from shelfcast.llm import queries as _llm
+except ImportError:  # the subpackage and its pipeline may be left out
+    _llm = _pipeline = None
+
 TRAINING_DATE = datetime.date(2001, 12, 31)
 EVALUATE_BEFORE = datetime.date(2001, 1, 1)
 # An earlier training saw the sales before this day.
@@ -236,7 +242,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forecast_single_series": _query_forecast_single_series,
         "fit_params": _query_fit_params,
         "predict_from_params": _query_predict_from_params,
-    }
+    } | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {} if _llm is None else {**_llm.queries(), "pipeline": _pipeline.run}
+
+
+def _llm_sql() -> dict[str, str]:
+    if _llm is None:
+        return {}
+    pipeline = {} if _pipeline.ORACLE_SQL is None else {"pipeline": _pipeline.ORACLE_SQL}
+    return {**_llm.oracle_sql(), **pipeline}
 
 
 # --- The same in SQL. Each text is a WITH list and a final SELECT. ---
@@ -426,4 +443,4 @@ FROM sales_rows GROUP BY store, item HAVING COUNT(DISTINCT date) < 2""",
         "fact_orphans": f"""WITH {_FACT_SQL}, {_EARLIER_SQL}
 SELECT store_id, date_id, item_id, 'date_id' AS reference
 FROM fact WHERE date_id NOT IN (SELECT ds FROM earlier)""",
-    }
+    } | _llm_sql()

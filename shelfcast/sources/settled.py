@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,9 @@ SETTING = "spark.checkpoint.dir"
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder named by the session. Only a local session may go without one."""
-    context = spark.sparkContext
-    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="shelfcast-"))
-        folder = context.getCheckpointDir()
-    return folder
+    """The folder named by the session, else one below its warehouse, which executors share."""
+    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_settled"
 
 
 def settle(rows: DataFrame) -> DataFrame:
