@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing
-from shelfcast.llm.text import read_documents
+from shelfcast.llm import mixing, sharding
+from shelfcast.llm.text import read_documents, whole
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +16,20 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read_documents(spark, sf_dir)).select(
+        "doc_id",
+        "size",
+        F.crc32(whole(F.col("text")).cast("binary")).alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_mix": op6_mix}
+    return {"op6_mix": op6_mix, "op8_shard": op8_shard}
 
 
 OP6_SQL = """
