@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing, sharding
+from shelfcast.llm import mixing, sharding, subword
 from shelfcast.llm.text import read_documents, whole
 
 
+def model_path() -> str:
+    """Vocabulary of the queries. The operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op5_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    digests = subword.digests(subword.encode(docs, model_path()))
+    return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "agreed")
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(read_documents(spark, sf_dir))
     return planned.select("doc_id", "size", "source_size", "target", "taken")
@@ -29,7 +42,11 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_mix": op6_mix, "op8_shard": op8_shard}
+    return {
+        "op5_subword": op5_subword,
+        "op6_mix": op6_mix,
+        "op8_shard": op8_shard,
+    }
 
 
 OP6_SQL = """
