@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing, sharding, subword
+from shelfcast.llm import mixing, phrases, sharding, subword
 from shelfcast.llm.text import read_documents, whole
 
 
+def op1_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = phrases.compare_with_next(read_documents(spark, sf_dir))
+    named = ("edited_sha256", "fingerprint", "edited_fingerprint")
+    return compared.withColumns({name: F.lower(F.hex(name)) for name in named})
+
+
 def model_path() -> str:
     """Vocabulary of the queries. The operators take any path."""
     import public_tokenizers
@@ -43,6 +49,7 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_phrases": op1_phrases,
         "op5_subword": op5_subword,
         "op6_mix": op6_mix,
         "op8_shard": op8_shard,
