@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing, phrases, sharding, subword
+from shelfcast.llm import mixing, neardup, phrases, sharding, subword
 from shelfcast.llm.text import read_documents, whole
 
 
@@ -17,6 +17,10 @@ def op1_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared.withColumns({name: F.lower(F.hex(name)) for name in named})
 
 
+def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_documents(spark, sf_dir), words=3, percent=85)
+
+
 def model_path() -> str:
     """Vocabulary of the queries. The operators take any path."""
     import public_tokenizers
@@ -50,12 +54,43 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_phrases": op1_phrases,
+        "op4_neardup": op4_neardup,
         "op5_subword": op5_subword,
         "op6_mix": op6_mix,
         "op8_shard": op8_shard,
     }
 
 
+OP4_SQL = """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+           WHEN len(w) = 0 THEN []
+           WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]
+         END) AS s
+  FROM worded),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id
+  WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reached AS (
+  SELECT x AS doc_id, x AS r FROM links
+  UNION
+  SELECT reached.doc_id, y FROM reached JOIN links ON r = x),
+component AS (SELECT doc_id, MIN(r) AS c FROM reached GROUP BY doc_id)
+SELECT d.doc_id, COALESCE(n, 0) AS n_shingles, COALESCE(c, d.doc_id) AS component_id,
+       COALESCE(c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN component USING (doc_id)"""
+
 OP6_SQL = """
 WITH sized AS (
   SELECT doc_id, source, md5('0:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS k,
@@ -92,4 +127,4 @@ FROM queue"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mix": OP6_SQL}
+    return {"op4_neardup": OP4_SQL, "op6_mix": OP6_SQL}

@@ -10,15 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.agenda import SPACE, Agenda
+from shelfcast.llm.batches import ranges
 from shelfcast.llm.text import sha256
 
-# Texts are taken together until they have this many bytes.
-BATCH_BYTES = 1 << 21
 # Segments that a task remembers; all are dropped when there are more.
 REMEMBERED = 300_000
 ADDED = "ids array<int>, decoded string, agreed boolean"
@@ -58,18 +56,6 @@ class Encoder:
         return ids, decoded, agreed
 
 
-def _groups_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows whose texts have about ``BATCH_BYTES`` bytes."""
-    total, start = 0, 0
-    for at, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
-        total += size
-        if total >= BATCH_BYTES:
-            yield start, at + 1
-            start, total = at + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """All documents with ``ids``, ``decoded`` and ``agreed``.
 
@@ -87,7 +73,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
         encoder = Encoder(model)
         for batch in batches:
             texts = batch.column(at)
-            for start, stop in _groups_of(texts):
+            for start, stop in ranges(texts):
                 part = batch.slice(start, stop - start)
                 ids, decoded, agreed = encoder.run(
                     [text or "" for text in part.column(at).to_pylist()]
