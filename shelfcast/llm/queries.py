@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing, neardup, phrases, sharding, subword
+from shelfcast.llm import mixing, neardup, phrases, quality, sharding, subword
 from shelfcast.llm.text import read_documents, whole
 
 
@@ -17,6 +17,11 @@ def op1_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared.withColumns({name: F.lower(F.hex(name)) for name in named})
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(read_documents(spark, sf_dir).select("doc_id", "text"))
+    return judged.drop("text")
+
+
 def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_documents(spark, sf_dir), words=3, percent=85)
 
@@ -54,6 +59,7 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_phrases": op1_phrases,
+        "op2_quality": op2_quality,
         "op4_neardup": op4_neardup,
         "op5_subword": op5_subword,
         "op6_mix": op6_mix,
@@ -61,6 +67,46 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+OP2_SQL = """
+WITH worded AS (
+  SELECT doc_id, COALESCE(text, '') AS text,
+         regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM worded) p),
+repeated AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, words) AS times FROM windows) t
+  WHERE times > 1),
+covered AS (
+  SELECT doc_id, COUNT(DISTINCT i + step) AS n
+  FROM repeated, range(0, 8) s(step) GROUP BY doc_id),
+lined AS (
+  SELECT doc_id, text, w, CAST(len(w) AS BIGINT) AS n_words,
+         [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l
+  FROM worded),
+measured AS (
+  SELECT doc_id, w, n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) AS BIGINT) AS n_lines,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         COALESCE(n, 0) AS n_repeat_words
+  FROM lined LEFT JOIN covered USING (doc_id)),
+based AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words
+            OR 10 * len([x FOR x IN w IF regexp_matches(x, '[A-Z]')
+                         AND NOT regexp_matches(x, '[a-z]')]) > 3 * n_words
+            OR 10 * len([x FOR x IN w IF NOT regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')])
+               > 3 * n_words
+            OR 5 * len([i FOR i IN range(1, n_words) IF w[i] = w[i + 1]]) > n_words
+            OR 2 * n_dup_lines > n_lines
+            OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
+FROM based"""
+
 OP4_SQL = """
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(
@@ -127,4 +173,4 @@ FROM queue"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_neardup": OP4_SQL, "op6_mix": OP6_SQL}
+    return {"op2_quality": OP2_SQL, "op4_neardup": OP4_SQL, "op6_mix": OP6_SQL}
