@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import licenses, mixing, neardup, phrases, quality, sharding, subword
-from shelfcast.llm.text import read_documents, whole
+from shelfcast.llm import licenses, mixing, neardup, phrases, pii, quality, sharding, subword
+from shelfcast.llm.text import read_documents, sha256, whole
 
 
 def op1_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,19 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def count(number: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    found = pii.personal_data(read_documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        *[count(number).alias(f"n_{kind}") for number, kind in enumerate(pii.KINDS)],
+        sha256(pii.as_text(F.col("base"))).alias("base_sha256"),
+        pii.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_documents(spark, sf_dir)).select(
         "doc_id",
@@ -67,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_neardup": op4_neardup,
         "op5_subword": op5_subword,
         "op6_mix": op6_mix,
+        "op7_pii": op7_pii,
         "op8_shard": op8_shard,
         "op10_licenses": op10_licenses,
     }
