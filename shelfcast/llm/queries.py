@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import licenses, mixing, neardup, phrases, pii, quality, sharding, subword
+from shelfcast.llm import (
+    licenses,
+    mixing,
+    neardup,
+    phrases,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    subword,
+)
 from shelfcast.llm.text import read_documents, sha256, whole
 
 
@@ -69,6 +79,19 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def count(number: int):
+        return F.size(F.filter("base", lambda s: s[1] == number)).cast("long")
+
+    found = secrets.scan(read_documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[count(number).alias(f"n_{kind}") for number, kind in enumerate(secrets.KINDS[:3])],
+        sha256(secrets.as_text(F.col("base"))).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_documents(spark, sf_dir))
 
@@ -82,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_mix": op6_mix,
         "op7_pii": op7_pii,
         "op8_shard": op8_shard,
+        "op9_secrets": op9_secrets,
         "op10_licenses": op10_licenses,
     }
 
