@@ -1,6 +1,7 @@
-"""The corpus pipeline: documents in, token digests of the mixed corpus out.
+"""The corpus pipeline: documents in, token ids of the cleaned and mixed corpus out.
 
-Each stage reads what the stage before it stored.
+Each stage reads what the stage before it stored, works on all of it, and returns the columns
+of documents. The last one returns token ids.
 """
 
 from __future__ import annotations
@@ -11,18 +12,50 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfcast.llm import mixing
+from shelfcast.llm import mixing, neardup, pii, quality, subword
+from shelfcast.llm.queries import model_path
 from shelfcast.llm.text import read_documents
 from shelfcast.sources.settled import settle
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that pass every quality rule."""
+    return quality.judge(docs).where("kept").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, 80% in common)."""
+    return neardup.deduplicated(docs)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sources in their target proportions; a document may be there twice."""
     return mixing.mixed(docs)
 
 
-STAGES = [("mixing", mix_sources)]
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text of the mix, checked by decoding them again."""
+    encoded = subword.encode(docs, model_path()).withColumn("n_tokens", F.size("ids").cast("long"))
+    back = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return encoded.withColumn("round_trip", back).select(
+        "doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "round_trip"
+    )
+
+
+STAGES = [
+    ("quality rules", keep_good),
+    ("near duplicates", drop_near_duplicates),
+    ("personal data", redact),
+    ("mixing", mix_sources),
+    ("subword encoding", tokenize),
+]
 
 # Subword encoding has no SQL form.
 ORACLE_SQL = None

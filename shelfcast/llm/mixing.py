@@ -82,15 +82,16 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int
     level = (F.lit(float(share)) * F.col("all_size") - passes * F.col("full_size")) / (
         F.col("all_weight") - F.col("full_weight")
     )
-    # The first source, in order of filling up, that the level does not fill.
+    # The first source, in order of filling up, that the level does not fill. Counting a
+    # source as full that is not takes too much from the rest, so later levels are lower.
     levels = ranked.withColumn("level", level).withColumn("open", level < F.col("ratio"))
-    found = levels.withColumn("water", F.min(F.when(F.col("open"), F.col("level"))).over(everything))
+    found = levels.withColumn("water", F.max(F.when(F.col("open"), F.col("level"))).over(everything))
     cap = (F.lit(passes) * F.col("source_size")).cast("double")
     target = F.least(cap, F.coalesce(F.col("water") * F.col("weight"), cap))
     return found.select(SOURCE, "source_size", target.alias("target"))
 
 
-def plan(
+def _planned(
     docs: DataFrame,
     weights=WEIGHTS,
     share: float = SHARE,
@@ -98,17 +99,7 @@ def plan(
     budget: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """All documents with ``size, source_size, target, finish, last_finish, taken``.
-
-    ``finish`` is the virtual finish time in the first pass, ``last_finish`` that of the
-    last copy with words in the mix (NULL without one), ``taken`` the words that the mix
-    takes, counting every pass. The mix stops when ``budget`` words (by default the sum of
-    all targets) are used. The document at the stop counts with the words that still fit.
-
-    NULL or empty texts have size 0 and take nothing; NULL is a source of its own; repeated
-    rows queue one after the other; other columns stay, those of the names above are
-    replaced. An empty table gives an empty result. Rows come range-sorted by ``finish``.
-    """
+    """The rows of ``plan`` in no order, with their shuffle key."""
     docs = docs.drop(*PLANNED)
     slices = slices_for(docs.count())
     rows = queued(docs, slices, seed)
@@ -148,7 +139,7 @@ def plan(
             for copy in reversed(range(passes))
         ]
     )
-    out = placed.select(
+    return placed.select(
         *docs.columns,
         "size",
         "source_size",
@@ -158,7 +149,24 @@ def plan(
         taken.cast("long").alias("taken"),
         KEY,
     )
-    return out.repartitionByRange("finish", KEY).sortWithinPartitions("finish", KEY).drop(KEY)
+
+
+def plan(docs: DataFrame, **settings) -> DataFrame:
+    """All documents with ``size, source_size, target, finish, last_finish, taken``.
+
+    Settings are ``weights, share, passes, budget, seed``.
+
+    ``finish`` is the virtual finish time in the first pass, ``last_finish`` that of the
+    last copy with words in the mix (NULL without one), ``taken`` the words that the mix
+    takes, counting every pass. The mix stops when ``budget`` words (by default the sum of
+    all targets) are used. The document at the stop counts with the words that still fit.
+
+    NULL or empty texts have size 0 and take nothing; NULL is a source of its own; repeated
+    rows queue one after the other; other columns stay, those of the names above are
+    replaced. An empty table gives an empty result. Rows come range-sorted by ``finish``.
+    """
+    rows = _planned(docs, **settings).repartitionByRange("finish", KEY)
+    return rows.sortWithinPartitions("finish", KEY).drop(KEY)
 
 
 def mixed(docs: DataFrame, passes: int = PASSES, **settings) -> DataFrame:
@@ -168,7 +176,7 @@ def mixed(docs: DataFrame, passes: int = PASSES, **settings) -> DataFrame:
     are those of ``docs``.
     """
     columns = docs.columns
-    planned = plan(docs, passes=passes, **settings)
+    planned = _planned(docs, passes=passes, **settings)
     size = F.col("size")
     copies = F.when(size > 0, F.floor(F.col("taken") / size + 0.5)).otherwise(0).cast("int")
     passed = F.explode(F.sequence(F.lit(1), F.col("_copies")))

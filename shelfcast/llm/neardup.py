@@ -227,7 +227,7 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every document.
+    """``doc_id, _text_hash, n_shingles, component_id, kept`` for every document.
 
     Documents are linked if their sets of ``words``-word shingles have at least ``percent``
     in common. ``component_id`` is the smallest ``doc_id`` that links reach, NULL ids aside;
@@ -247,11 +247,25 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         named = named.join(labels, "node", "left").select("_set", "first_id", label)
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of_set = settle(named.join(smallest, "label").select("_set", "component_id"))
-    rows = signed.select("doc_id", "n_shingles", "_set").join(of_set, "_set", "left")
+    rows = signed.select("doc_id", TEXT_HASH, "n_shingles", "_set").join(of_set, "_set", "left")
     component = F.when(F.col("_set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select(
         "doc_id",
+        TEXT_HASH,
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The documents that are kept, one of each group; columns stay.
+
+    Of rows that repeat both id and text one stays.
+    """
+    found = near_duplicates(docs, words, percent).where("kept")
+    keys = found.select(F.col("doc_id").alias("_id"), F.col(TEXT_HASH).alias("_hash"))
+    rows = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
+    same = rows["doc_id"].eqNullSafe(keys["_id"]) & (rows[TEXT_HASH] == keys["_hash"])
+    kept = rows.join(keys.distinct(), same, "left_semi")
+    return kept.dropDuplicates(["doc_id", TEXT_HASH]).select(*docs.columns)

@@ -33,7 +33,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(read_documents(spark, sf_dir), words=3, percent=85)
+    found = neardup.near_duplicates(read_documents(spark, sf_dir), words=3, percent=85)
+    return found.drop(neardup.TEXT_HASH)
 
 
 def model_path() -> str:
@@ -202,7 +203,7 @@ leveled AS (
 goals AS (
   SELECT source, source_size,
          LEAST(CAST(2 * source_size AS DOUBLE),
-               (SELECT MIN(level) FROM leveled WHERE level < ratio) * w) AS target
+               (SELECT MAX(level) FROM leveled WHERE level < ratio) * w) AS target
   FROM leveled),
 queue AS (
   SELECT s.doc_id, s.size, g.source_size, g.target,
