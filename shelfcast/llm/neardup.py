@@ -7,9 +7,11 @@
    only the edges from the centre are candidates, as many as the bucket has members.
 3. Candidates are confirmed on the full sets, and confirmed links give components.
 4. A star cannot see a link between two members that are both too far from the centre. So
-   while a bucket still holds several components, its next 2, 4, 8, ... members become
-   centres too, for members of other components only. It ends when every pair of a bucket
-   has been confirmed, refuted, or joined by other links; nothing is capped.
+   buckets that still hold several components go on: members outside of the largest
+   component are compared with all others of another component if that takes a few edges a
+   member, and otherwise the next 2, 4, 8, ... members become centres first. It ends when
+   every pair of a bucket has been confirmed, refuted, or joined by other links; nothing is
+   capped.
 
 Tables between the steps are stored in the shared folder of the session.
 """
@@ -38,6 +40,8 @@ from shelfcast.sources.settled import settle
 
 WORDS = 5
 PERCENT = 80
+# Edges a member that the last comparison of divided buckets may take at once.
+REST_EDGES = 8
 TEXT_HASH = "_text_hash"
 
 SIGNED = pa.schema(
@@ -190,6 +194,36 @@ def _stars(members: DataFrame, first: int, stop: int, percent: int) -> DataFrame
     return edges.select("a", F.col("node").alias("b")).distinct()
 
 
+def _rest(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct edges between all members of a bucket with different labels."""
+    sizes = members.groupBy("key", "label").agg(F.count("*").alias("members"))
+    largest = sizes.groupBy("key").agg(F.max_by("label", "members").alias("main"))
+    rows = members.join(largest, "key")
+    few = rows.where("label <> main").select(
+        "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a")
+    )
+    near = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
+    once = (F.col("label") == F.col("main")) | (F.col("a") < F.col("node"))
+    edges = rows.join(few, "key").where((F.col("label") != F.col("label_a")) & near & once)
+    return edges.select(
+        F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")
+    ).distinct()
+
+
+def _open_edges(members: DataFrame) -> tuple[int, int, int]:
+    """Last place, members, and pairs of different labels, over all buckets."""
+    sizes = members.groupBy("key", "label").agg(
+        F.count("*").alias("members"), F.max("place").alias("place")
+    )
+    squares = F.sum(F.col("members") * F.col("members"))
+    buckets = sizes.groupBy("key").agg(
+        F.max("place").alias("place"), F.sum("members").alias("members"), squares.alias("same")
+    )
+    pairs = F.sum((F.col("members") * F.col("members") - F.col("same")) / 2)
+    row = buckets.agg(F.max("place"), F.sum("members"), pairs).first()
+    return (0, 0, 0) if row[0] is None else (row[0], row[1], int(row[2]))
+
+
 def _divided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members of the buckets that still hold several components, with their labels."""
     rows = members.drop("label")
@@ -209,10 +243,11 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
     texts = labels = links = tested = None
     first, stop = 0, 1
     while True:
-        last = members.agg(F.max("place")).first()[0]
-        if last is None or first >= last:
+        last, count, open_edges = _open_edges(members)
+        if first >= last:
             return labels
-        pairs = _stars(members, first, stop, percent)
+        rest = first > 0 and open_edges <= REST_EDGES * count
+        pairs = _rest(members, percent) if rest else _stars(members, first, stop, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = settle(pairs)
@@ -222,6 +257,8 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
             links = settle(found if links is None else links.unionByName(found))
             tested = pairs if tested is None else tested.unionByName(pairs)
             labels = components(links)
+        if rest:
+            return labels
         members = settle(_divided(members, labels))
         first, stop = stop, 2 * stop + 1
 

@@ -1,0 +1,72 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from shelfcast.llm import subword
+from shelfcast.llm.queries import model_path
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=model_path())
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    with open(model_path(), "rb") as file:
+        return subword.Encoder(file.read())
+
+
+def check(docs, library):
+    rows = subword.encode(docs, model_path()).collect()
+    assert len(rows) == docs.count()
+    for row in rows:
+        ids = library.encode(row["text"] or "")
+        assert row["ids"] == ids and row["agreed"]
+        assert row["decoded"] == library.decode(ids)
+
+
+def test_documents(documents, library):
+    check(documents, library)
+
+
+def test_odd_rows(odd_docs, no_docs, library):
+    check(odd_docs, library)
+    assert subword.encode(no_docs, model_path()).count() == 0
+    clash = odd_docs.withColumn("ids", F.lit("mine")).withColumn("more", F.lit(1))
+    assert subword.encode(clash, model_path()).where("more = 1").count() == odd_docs.count()
+
+
+def test_digests(documents, library):
+    row = subword.digests(subword.encode(documents.where("doc_id = 5"), model_path())).first()
+    ids = library.encode(row["text"])
+    assert row["n_tokens"] == len(ids)
+    assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    assert row["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_random_strings(encoder, library):
+    rng = random.Random(4)
+    letters = "abcdefgXYZ  \t\n.,;:-_/\\()[]{}<>0123456789éßñ日本💥▁\x00\x01\x7f​﻿"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 200))) for _ in range(400)]
+    texts += ["ab" * 400, " " * 300, "=" * 150 + "the " * 60, "a" * 49, "a" * 48, "\n" * 70]
+    own = encoder._encode([library.normalize(text) for text in texts])
+    for text, ids in zip(texts, own):
+        assert np.frombuffer(ids, np.int32).tolist() == library.encode(text), repr(text)
+
+
+def test_long_segments_and_rows_give_the_same(encoder):
+    segments = ["thethethethe" * 3, "international" * 3, "xyzzy" * 8]
+    rows = encoder.agenda.encode_all(segments)
+    assert rows == [encoder.agenda._encode_long(segment) for segment in segments]
+
+
+def test_a_text_that_differs_gets_the_librarys_result(encoder, monkeypatch, library):
+    monkeypatch.setattr(encoder, "_encode", lambda texts: [b"\1\0\0\0" for _ in texts])
+    ids, decoded, agreed = encoder.run(["some text"])
+    assert agreed == [False] and decoded == ["some text"]
+    assert np.frombuffer(ids[0], np.int32).tolist() == library.encode("some text")
