@@ -7,11 +7,12 @@
    only the edges from the centre are candidates, as many as the bucket has members.
 3. Candidates are confirmed on the full sets, and confirmed links give components.
 4. A star cannot see a link between two members that are both too far from the centre. So
-   buckets that still hold several components go on: members outside of the largest
-   component are compared with all others of another component if that takes a few edges a
-   member, and otherwise the next 2, 4, 8, ... members become centres first. It ends when
-   every pair of a bucket has been confirmed, refuted, or joined by other links; nothing is
-   capped.
+   buckets that still hold several components go on. Shingles that no other member of such
+   buckets has cannot be shared: their number, and the number of the others in each of 64
+   parts of the name space, bound the similarity of two members from above, exactly. The
+   members with the fewest such shingles become centres of further stars, and in the end
+   every pair of different components that the bounds allow is confirmed or refuted. Nothing
+   is capped.
 
 Tables between the steps are stored in the shared folder of the session.
 """
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -40,8 +41,12 @@ from shelfcast.sources.settled import settle
 
 WORDS = 5
 PERCENT = 80
-# Edges a member that the last comparison of divided buckets may take at once.
+# Edges a member up to which what is left of divided buckets is compared at once.
 REST_EDGES = 8
+# Centres of a divided bucket's second star.
+FIRST_CENTRES = 2
+# Parts of the name space, by the first bits of a name.
+PART_BITS = 6
 TEXT_HASH = "_text_hash"
 
 SIGNED = pa.schema(
@@ -176,91 +181,135 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _stars(members: DataFrame, first: int, stop: int, percent: int) -> DataFrame:
-    """Distinct edges to later members from those at places ``first`` to ``stop - 1``.
-
-    Ends must have different labels, and sizes that allow the similarity.
-    """
-    centres = members.where(F.col("place").between(first, stop - 1)).select(
-        "key",
-        F.col("node").alias("a"),
-        F.col("n").alias("n_a"),
-        F.col("place").alias("place_a"),
-        F.col("label").alias("label_a"),
-    )
-    near = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
-    apart = (F.col("place") > F.col("place_a")) & (F.col("label") != F.col("label_a"))
-    edges = members.join(centres, "key").where(apart & near)
-    return edges.select("a", F.col("node").alias("b")).distinct()
+def _sizes_allow(percent: int) -> Column:
+    return 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
 
 
-def _rest(members: DataFrame, percent: int) -> DataFrame:
-    """Distinct edges between all members of a bucket with different labels."""
-    sizes = members.groupBy("key", "label").agg(F.count("*").alias("members"))
-    largest = sizes.groupBy("key").agg(F.max_by("label", "members").alias("main"))
-    rows = members.join(largest, "key")
-    few = rows.where("label <> main").select(
-        "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a")
-    )
-    near = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
-    once = (F.col("label") == F.col("main")) | (F.col("a") < F.col("node"))
-    edges = rows.join(few, "key").where((F.col("label") != F.col("label_a")) & near & once)
-    return edges.select(
-        F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")
-    ).distinct()
-
-
-def _open_edges(members: DataFrame) -> tuple[int, int, int]:
-    """Last place, members, and pairs of different labels, over all buckets."""
-    sizes = members.groupBy("key", "label").agg(
-        F.count("*").alias("members"), F.max("place").alias("place")
-    )
-    squares = F.sum(F.col("members") * F.col("members"))
-    buckets = sizes.groupBy("key").agg(
-        F.max("place").alias("place"), F.sum("members").alias("members"), squares.alias("same")
+def _first_stars(members: DataFrame, percent: int) -> DataFrame:
+    """Edges from the first member of each bucket to the others."""
+    centres = members.where("place = 0").select(
+        "key", F.col("node").alias("a"), F.col("n").alias("n_a")
     )
-    pairs = F.sum((F.col("members") * F.col("members") - F.col("same")) / 2)
-    row = buckets.agg(F.max("place"), F.sum("members"), pairs).first()
-    return (0, 0, 0) if row[0] is None else (row[0], row[1], int(row[2]))
+    edges = members.where("place > 0").join(centres, "key").where(_sizes_allow(percent))
+    return edges.select("a", F.col("node").alias("b")).distinct()
 
 
 def _divided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of the buckets that still hold several components, with their labels."""
+    """Members of the buckets that hold several components, with their labels."""
     rows = members.drop("label")
     if labels is None:
         rows = rows.withColumn("label", F.col("node"))
     else:
         label = F.coalesce("label", "node").alias("label")
-        rows = rows.join(labels, "node", "left").select("key", "node", "n", "place", label)
+        rows = rows.join(labels, "node", "left").select(*rows.columns, label)
     ends = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     return rows.join(ends.where("low < high").select("key"), "key", "left_semi")
 
 
+def _profiles(texts: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """``node, parts``: how many of a member's shingles others have too, by part."""
+    shown = texts.join(members.select("node").distinct(), "node", "left_semi")
+    fields = pa.schema([("node", pa.int64()), ("name", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(*(column.to_pylist() for column in batch.columns)):
+                names = shingle_set(text, words).view(np.int64)
+                nodes = np.full(len(names), node, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(names)], schema=fields)
+
+    named = shown.select("node", "text").mapInArrow(run, "node bigint, name bigint")
+    part = F.shiftrightunsigned("name", 64 - PART_BITS).cast("int").alias("part")
+    every = named.groupBy("node", part).agg(F.count("*").alias("amount"))
+    single = (
+        named.groupBy("name")
+        .agg(F.min("node").alias("node"), F.count("*").alias("times"))
+        .where("times = 1")
+        .groupBy("node", part)
+        .agg((-F.count("*")).alias("amount"))
+    )
+    shared = every.unionByName(single).groupBy("node", "part").agg(F.sum("amount").alias("amount"))
+    entries = F.map_from_entries(F.collect_list(F.struct("part", "amount")))
+    places = F.sequence(F.lit(0), F.lit(2**PART_BITS - 1))
+    parts = F.transform(
+        places, lambda at: F.coalesce(F.element_at("amounts", at), F.lit(0)).cast("int")
+    )
+    return shared.groupBy("node").agg(entries.alias("amounts")).select("node", parts.alias("parts"))
+
+
+def _profiled(members: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Members that can have a link at all, in place by their number of lone shingles."""
+    in_key = Window.partitionBy("key").orderBy("alone", "node")
+    shared = F.aggregate("parts", F.lit(0), lambda x, y: x + y)
+    possible = 100 * (F.col("n") - F.col("alone")) >= percent * F.col("n")
+    rows = members.drop("place", "label").join(profiles, "node")
+    rows = rows.withColumn("alone", F.col("n") - shared).where(possible)
+    return rows.withColumn("place", F.row_number().over(in_key) - 1)
+
+
+def _bounded(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``a < b`` of the two sides with different labels that bounds allow."""
+    others = others.select(
+        "key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "label", "alone", "parts")]
+    )
+
+    def allow(common: Column) -> Column:
+        return 100 * common >= percent * (F.col("n") + F.col("n_a") - common)
+
+    most = F.least(F.col("n") - F.col("alone"), F.col("n_a") - F.col("alone_a"))
+    by_part = F.aggregate(
+        F.zip_with("parts", "parts_a", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y
+    )
+    edges = rows.join(others, "key").where(
+        (F.col("label") != F.col("label_a")) & allow(most) & allow(by_part)
+    )
+    ends = F.least("node", "node_a").alias("a"), F.greatest("node", "node_a").alias("b")
+    return edges.select(*ends).distinct()
+
+
+def _outside(members: DataFrame) -> DataFrame:
+    """Members outside of the largest component of their bucket."""
+    sizes = members.groupBy("key", "label").agg(F.count("*").alias("members"))
+    largest = sizes.groupBy("key").agg(F.max_by("label", "members").alias("main"))
+    return members.join(largest, "key").where("label <> main").drop("main")
+
+
 def _labels(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame | None:
     """Component of every class that is linked with another one; None without links."""
     buckets = settle(_buckets(classes))
-    members = _divided(buckets, None)
-    texts = labels = links = tested = None
-    first, stop = 0, 1
+    pairs = settle(_first_stars(buckets, percent))
+    if not pairs.limit(1).count():
+        return None
+    texts = settle(_texts(docs, classes, buckets))
+    links = settle(_confirmed(pairs, texts, words, percent))
+    labels = components(links)
+    members = settle(_divided(buckets, labels))
+    if not members.limit(1).count():
+        return labels
+    members = settle(_profiled(members, settle(_profiles(texts, members, words)), percent))
+    tested, centres = pairs, FIRST_CENTRES
     while True:
-        last, count, open_edges = _open_edges(members)
-        if first >= last:
+        members = settle(_divided(members, labels))
+        count, last = members.agg(F.count("*"), F.max("place")).first()
+        if not count:
             return labels
-        rest = first > 0 and open_edges <= REST_EDGES * count
-        pairs = _rest(members, percent) if rest else _stars(members, first, stop, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settle(pairs)
+        at_once = centres > FIRST_CENTRES
+        if at_once:
+            edges = _bounded(members, _outside(members), percent)
+            pairs = settle(edges.join(tested, ["a", "b"], "left_anti"))
+            at_once = pairs.count() <= REST_EDGES * count
+        if not at_once:
+            stars = members.where(F.col("place") < centres)
+            edges = _bounded(members, stars, percent)
+            pairs = settle(edges.join(tested, ["a", "b"], "left_anti"))
         if pairs.limit(1).count():
-            texts = settle(_texts(docs, classes, buckets)) if texts is None else texts
             found = _confirmed(pairs, texts, words, percent)
-            links = settle(found if links is None else links.unionByName(found))
-            tested = pairs if tested is None else tested.unionByName(pairs)
+            links = settle(links.unionByName(found))
             labels = components(links)
-        if rest:
+            tested = tested.unionByName(pairs)
+        if at_once or centres > last:
             return labels
-        members = settle(_divided(members, labels))
-        first, stop = stop, 2 * stop + 1
+        centres *= 2
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

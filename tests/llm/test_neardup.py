@@ -128,7 +128,7 @@ def test_bands_for_the_threshold():
 
 
 def test_divided_buckets_without_a_last_comparison(make_docs, monkeypatch):
-    monkeypatch.setattr(neardup, "REST_EDGES", 0)
+    monkeypatch.setattr(neardup, "REST_EDGES", -1)
     texts = [prose(9, 300)]
     for step in range(12):
         texts.append(altered(texts[-1], 7, step))
