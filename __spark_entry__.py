@@ -168,12 +168,13 @@ def _merged(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
 
 
 def _query_fact_orphans(spark, sf_dir):
-    """Facts checked against dimensions that have not seen the last year yet."""
+    """Facts checked against dimensions without the last store, the last item and the last year."""
     history = _settled_history(spark, sf_dir)
     earlier = history.where(F.col("ds") < F.lit(EARLIER_TRAINING))
     stores, items = _dimensions(history)
     fact = star.fact_sales(_rounded_forecast(history), stores, items)
-    return star.fact_orphans(fact, stores, items, star.dim_date(earlier))
+    dates = settle(star.dim_date(earlier))
+    return star.fact_orphans(fact, stores.where("store < 5"), items.where("item < 4"), dates)
 
 
 def _query_forecast_store_item(spark, sf_dir):
@@ -182,7 +183,7 @@ def _query_forecast_store_item(spark, sf_dir):
 
 def _query_skipped_series(spark, sf_dir):
     """Most pairs of a supplier and a part have sales on one day only."""
-    return seasonal.skipped_series(clean_history(_wide_sales(spark, sf_dir)))
+    return seasonal.skipped_series(_wide_sales(spark, sf_dir), "date")
 
 
 def _query_forecast_single_series(spark, sf_dir):
@@ -196,8 +197,9 @@ def _query_fit_params(spark, sf_dir):
 
 def _query_predict_from_params(spark, sf_dir):
     """Stored-model use: the frame carries dates only, no observed sales."""
-    history = colocate(_history(spark, sf_dir))
-    return seasonal.predict(seasonal.fit(history), extended_history(history).drop("y"))
+    history = colocate(_settled_history(spark, sf_dir))
+    frame = extended_history(history).drop("y")
+    return seasonal.predict(seasonal.fit(history), frame)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -442,5 +444,11 @@ SELECT store, item, CAST(COUNT(DISTINCT date) AS INT) AS points,
 FROM sales_rows GROUP BY store, item HAVING COUNT(DISTINCT date) < 2""",
         "fact_orphans": f"""WITH {_FACT_SQL}, {_EARLIER_SQL}
 SELECT store_id, date_id, item_id, 'date_id' AS reference
-FROM fact WHERE date_id NOT IN (SELECT ds FROM earlier)""",
+FROM fact WHERE date_id NOT IN (SELECT ds FROM earlier)
+UNION ALL
+SELECT store_id, date_id, item_id, 'store_id'
+FROM fact WHERE store_id NOT IN (SELECT id FROM dim_store WHERE store < 5)
+UNION ALL
+SELECT store_id, date_id, item_id, 'item_id'
+FROM fact WHERE item_id NOT IN (SELECT id FROM dim_item WHERE item < 4)""",
     } | _llm_sql()

@@ -21,7 +21,7 @@ CHANGE_SCALE = 0.05
 TREND_DEVIATION = 5.0
 SEASON_DEVIATION = 10.0
 
-MAX_ROUNDS = 25
+MAX_ROUNDS = 60
 MAX_HALVINGS = 5
 REWEIGHTINGS = 5
 # Largest move of the scaled curve that still counts as converged.
@@ -52,9 +52,15 @@ def changepoint_times(t: np.ndarray) -> np.ndarray:
 
 
 def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
-    """Parameters for at least two observations on distinct, ascending days."""
-    t = (day - day[0]) / float(day[-1] - day[0])
+    """Parameters for observations on distinct, ascending days; one day gives a flat line.
+
+    ``converged`` is False if the search ran out of rounds, or found no better point while
+    the curve still moved. The parameters are the best ones seen either way.
+    """
     scale = float(np.abs(y).max()) or 1.0
+    if len(y) < 2:
+        return _flat(float(y[0]) / scale, scale)
+    t = (day - day[0]) / float(day[-1] - day[0])
     target = y / scale
 
     changes = changepoint_times(t)
@@ -90,12 +96,15 @@ def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
     change_size = np.full(len(changes), CHANGE_SCALE)
     jacobian = np.empty((seasons.stop, len(t)))
     fitted = np.full_like(t, np.inf)
-    for _ in range(MAX_ROUNDS):
+    converged, rounds = False, 0
+    while rounds < MAX_ROUNDS:
         trend, season = curve(weights)
         previous, fitted = fitted, trend * (1.0 + season)
         sigma = float(np.sqrt(np.mean((target - fitted) ** 2)))
         if np.abs(fitted - previous).max() <= TOLERANCE:
+            converged = True
             break
+        rounds += 1
         noise = max(sigma, MIN_SIGMA) ** 2
         np.multiply(growth_features, 1.0 + season, out=jacobian[: bends.stop])
         np.multiply(season_features, trend, out=jacobian[seasons])
@@ -109,7 +118,13 @@ def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
             if cost(weights + step, noise) <= before:
                 break
             step = step / 2
+        if cost(weights + step, noise) > before:
+            trend, season = curve(weights + step)
+            converged = bool(np.abs(trend * (1.0 + season) - fitted).max() <= TOLERANCE)
+            break
         weights = weights + step
+    trend, season = curve(weights)
+    sigma = float(np.sqrt(np.mean((target - trend * (1.0 + season)) ** 2)))
     return {
         "points": len(y),
         "scale": scale,
@@ -119,4 +134,22 @@ def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
         "deltas": weights[bends].tolist(),
         "season": weights[seasons].tolist(),
         "sigma": sigma,
+        "converged": converged,
+        "rounds": rounds,
+    }
+
+
+def _flat(level: float, scale: float) -> dict:
+    """Parameters of a series that was seen on one day."""
+    return {
+        "points": 1,
+        "scale": scale,
+        "slope": 0.0,
+        "level": level,
+        "changepoints": [],
+        "deltas": [],
+        "season": [0.0] * (2 * (YEAR_ORDER + WEEK_ORDER)),
+        "sigma": 0.0,
+        "converged": True,
+        "rounds": 0,
     }

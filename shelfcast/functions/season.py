@@ -24,8 +24,8 @@ WAVES = [
     for k in range(1, order + 1)
 ]
 
-# 0 on the first and 1 on the last day the model saw.
-SCALED_TIME = "coalesce((unix_date(ds) - start) / span, 0D) AS t"
+# 0 on the first and 1 on the last day the model saw; always 0 if it saw one day.
+SCALED_TIME = "coalesce((unix_date(ds) - start) / nullif(span, 0D), 0D) AS t"
 DAY_NUMBER = "coalesce(double(unix_date(ds)), 0D) AS day"
 
 # Piecewise linear growth: every changepoint passed bends the slope by its delta.
@@ -67,6 +67,7 @@ def ready_to_predict(parameters: DataFrame) -> DataFrame:
     return parameters.selectExpr(
         "store",
         "item",
+        "last_ds",
         *[f"coalesce({number}, 0D) AS {name}" for name, number in numbers.items()],
         *_laid_out("deltas", "delta", CHANGEPOINTS),
         *_laid_out("changepoints", "change", CHANGEPOINTS),

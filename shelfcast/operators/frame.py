@@ -23,6 +23,8 @@ def unroll_horizon(rows: DataFrame, horizon: int) -> DataFrame:
     The extra days grow out of the last row where it lies, so no second pass over the
     history, no union and no join are needed.
     """
+    if horizon < 0:
+        raise ValueError(f"the horizon must not be negative, but is {horizon}")
     kept = [name for name in rows.columns if name not in ("ds", "y", "last")]
     ahead = rows.selectExpr("*", f"explode(sequence(0, if(ds = last, {horizon}, 0))) AS ahead")
     return ahead.selectExpr(

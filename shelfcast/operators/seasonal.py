@@ -23,15 +23,17 @@ from shelfcast.functions.season import (
     ready_to_predict,
 )
 from shelfcast.operators.baseline import Z95
-from shelfcast.operators.frame import HORIZON_DAYS, extended_history
+from shelfcast.operators.frame import HORIZON_DAYS, unroll_horizon
 from shelfcast.operators.history import colocate
 from shelfcast.schemas import FORECAST, PARAMETERS, SERIES
 
 # Ship the fit inside the task, so that executors need not have this package installed.
 cloudpickle.register_pickle_by_value(curve)
 
+# Series with fewer days are forecast flat and reported.
 MIN_POINTS = 2
 ARROW_TYPES = {
+    "boolean": pa.bool_(),
     "int": pa.int32(),
     "double": pa.float64(),
     "array<double>": pa.list_(pa.float64()),
@@ -39,7 +41,7 @@ ARROW_TYPES = {
 
 
 def fit(history: DataFrame) -> DataFrame:
-    """One parameter row per series with at least two days of history.
+    """One parameter row per series. A series seen on one day gets a flat line.
 
     A group is one series of daily totals, at most one row per calendar day however
     many sales were summed into it. Colocate the history first, so that the number of
@@ -57,8 +59,6 @@ def fit(history: DataFrame) -> DataFrame:
     arrow_schema = pa.schema([(name, ARROW_TYPES[kind]) for name, kind in columns.items()])
 
     def fit_series(key: tuple[pa.Scalar, ...], series: pa.Table) -> pa.Table:
-        if series.num_rows < MIN_POINTS:
-            return arrow_schema.empty_table()
         day, y = series["day"].to_numpy(), series["y"].to_numpy()
         order = np.argsort(day)
         day, y = day[order], y[order]
@@ -73,27 +73,40 @@ def fit(history: DataFrame) -> DataFrame:
     return fitted.withColumns(dates)
 
 
-def skipped_series(history: DataFrame) -> DataFrame:
-    """Series that ``fit`` leaves out, with the reason."""
-    return (
-        history.groupBy(*SERIES)
-        .agg(F.count("*").cast("int").alias("points"))
-        .where(F.col("points") < MIN_POINTS)
-        .withColumn("reason", F.lit("fewer than two days of history"))
+SHORT_REASON = "fewer than two days of history"
+
+
+def skipped_series(rows: DataFrame, day: str = "ds") -> DataFrame:
+    """Series with one day of history, which are forecast flat, with the reason.
+
+    Works on sales as on daily totals: first and last day are found before the shuffle.
+    """
+    days = rows.groupBy(*SERIES).agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    return days.where("first = last").select(
+        *SERIES, F.lit(1).alias("points"), F.lit(SHORT_REASON).alias("reason")
+    )
+
+
+def short_series(parameters: DataFrame) -> DataFrame:
+    """The same report from the parameters of a training run."""
+    return parameters.where(F.col("points") < MIN_POINTS).select(
+        *SERIES, "points", F.lit(SHORT_REASON).alias("reason")
     )
 
 
-def predict(parameters: DataFrame, frame: DataFrame) -> DataFrame:
+def predict(parameters: DataFrame, frame: DataFrame, horizon: int = 0) -> DataFrame:
     """Prediction with a 95% band for every row of ``frame`` whose series was fitted.
 
-    ``frame`` has ``store, item, ds`` and may have ``y``, which is passed on. The
-    parameters, one row per series, are the hash side of a co-partitioned join: a
-    frame that already lies by series is neither moved nor sorted, and nothing is
-    broadcast, whatever the number of series.
+    ``frame`` has ``store, item, ds`` and may have ``y``, which is passed on. ``horizon``
+    days follow the last day that the model saw, if the frame has it: they grow out of
+    that row after the join, so the frame needs no window and no second sort. A frame that
+    already lies by series is not moved. The join is left to Spark, which broadcasts
+    parameters of a known small size and otherwise merges sorted sides that can spill.
     """
     rows = frame if "y" in frame.columns else frame.withColumn("y", F.lit(None).cast("double"))
-    ready = ready_to_predict(parameters).hint("shuffle_hash")
-    placed = rows.join(ready, list(SERIES)).selectExpr("*", SCALED_TIME, DAY_NUMBER)
+    ready = ready_to_predict(parameters).withColumnRenamed("last_ds", "last")
+    rows = unroll_horizon(rows.join(ready, list(SERIES)), horizon)
+    placed = rows.selectExpr("*", SCALED_TIME, DAY_NUMBER)
     parts = placed.selectExpr(
         "ds",
         "store",
@@ -124,4 +137,4 @@ def forecast(
     once and Spark reuses that exchange.
     """
     together = colocate(history, partitions)
-    return predict(fit(together), extended_history(together, horizon))
+    return predict(fit(together), together, horizon)

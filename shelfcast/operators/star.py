@@ -5,19 +5,12 @@ Rows are forecast rows: ``ds, store, item, y, yhat, yhat_upper, yhat_lower``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators.numbering import with_ids
 from shelfcast.schemas import DIM_DATE, FACT_KEY, FACT_SALES
 
-# Two INT columns each, so a broadcast of this many dimension rows is some tens of MB.
-BROADCAST_ROWS = 500_000
-# Parts a key is split into when its dimension is too large to broadcast.
-SALTS = 64
-
 MODES = ("append", "replace")
 
 
@@ -64,38 +57,14 @@ def new_dates(stored: DataFrame, rows: DataFrame, column: str = "ds") -> DataFra
     return dim_date(rows, column).join(stored.select("date"), "date", "left_anti")
 
 
-def _join_dimension(
-    rows: DataFrame, members: DataFrame, key: str, how: str, broadcast_rows: int, salts: int
-) -> DataFrame:
-    """Join rows to a dimension, which has one row per key.
+def look_up_id(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Attach ``<key>_id`` from a dimension ``id, key``; rows with an unknown key drop out.
 
-    The dimension is counted first, which for a stored table is a look at its footers.
-    Within the limit it is broadcast and the rows stay where they are. Beyond it, the key
-    is split into ``salts`` parts and each dimension row is repeated once per part, so that
-    a store holding a large share of the rows is still spread over many tasks. Both ways
-    give the same rows.
+    A plain equi join: Spark knows the size of a stored dimension and broadcasts it if it is
+    small, and otherwise splits a store that holds a large share of the rows at run time.
     """
-    if members.count() <= broadcast_rows:
-        return rows.join(F.broadcast(members), key, how)
-    part = F.pmod(F.xxhash64(*[name for name in rows.columns if name != key]), F.lit(salts))
-    every_part = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return (
-        rows.withColumn("salt", part.cast("int"))
-        .join(members.withColumn("salt", every_part), [key, "salt"], how)
-        .drop("salt")
-    )
-
-
-def look_up_id(
-    rows: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Attach ``<key>_id`` from a dimension ``id, key``; rows with an unknown key drop out."""
     ids = dimension.select(key, F.col("id").alias(f"{key}_id"))
-    return _join_dimension(rows, ids, key, "inner", broadcast_rows, salts)
+    return rows.join(ids, key)
 
 
 def fact_sales(rows: DataFrame, stores: DataFrame, items: DataFrame) -> DataFrame:
@@ -132,25 +101,22 @@ def merged_facts(stored: DataFrame, batch: DataFrame, mode: str = "append") -> D
 
 
 def fact_orphans(
-    fact: DataFrame,
-    stores: DataFrame,
-    items: DataFrame,
-    dates: DataFrame,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    fact: DataFrame, stores: DataFrame, items: DataFrame, dates: DataFrame
 ) -> DataFrame:
-    """Fact keys that point at no dimension row, once per failed ``reference``."""
+    """Fact keys that point at no dimension row, once per failed ``reference``.
+
+    The fact is read once: each dimension marks the keys that it knows, and the names of
+    the marks that are missing are unrolled. A NULL key points at nothing.
+    """
     checks = (("store_id", stores, "id"), ("item_id", items, "id"), ("date_id", dates, "date"))
     keys = fact.select(*FACT_KEY)
-    orphans = [
-        _join_dimension(
-            keys,
-            dimension.select(F.col(member).alias(column)),
-            column,
-            "left_anti",
-            broadcast_rows,
-            salts,
-        ).select(*FACT_KEY, F.lit(column).alias("reference"))
-        for column, dimension, member in checks
-    ]
-    return reduce(DataFrame.unionByName, orphans)
+    for column, dimension, member in checks:
+        known = dimension.select(F.col(member).alias(column), F.lit(True).alias(f"known_{column}"))
+        keys = keys.join(known, column, "left")
+    failed = [F.when(F.col(f"known_{column}").isNull(), F.lit(column)) for column, _, _ in checks]
+    return keys.select(*FACT_KEY, F.explode(F.array_compact(F.array(*failed))).alias("reference"))
+
+
+def repeated_keys(rows: DataFrame, *key: str) -> DataFrame:
+    """Keys that stand in more than one row, with their number of rows."""
+    return rows.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1")

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators.evaluation import evaluate, stamp
-from shelfcast.operators.frame import HORIZON_DAYS, extended_history
-from shelfcast.operators.history import clean_history, colocate
-from shelfcast.operators.seasonal import fit, predict
-from shelfcast.schemas import FORECAST_TABLE
+from shelfcast.operators.frame import HORIZON_DAYS
+from shelfcast.operators.history import clean_history, colocate, of_series
+from shelfcast.operators.seasonal import fit, predict, short_series
+from shelfcast.schemas import EVALUATION, FORECAST_TABLE
 from shelfcast.sources.settled import settle
 from shelfcast.sources.tables import (
     from_table_rows,
     load_parameters,
     read_partition,
     save_parameters,
+    store_short,
     write_evaluations,
     write_forecasts,
 )
@@ -29,24 +30,54 @@ def run_forecast(
     evaluate_before: datetime.date,
     horizon: int = HORIZON_DAYS,
     as_float: bool = False,
+    series: tuple[int, int] | None = None,
+    partitions: int | None = None,
 ) -> None:
     """Train, predict and score every series; store the results under ``folder``.
 
+    With ``series``, a store and an item, only that one is trained, and only its rows of
+    the training date are replaced. Series seen on one day are forecast flat and listed in
+    ``short_series``. ``partitions`` is the number of fitting tasks.
+
     Each step reads what the step before it stored, so neither the daily sums nor a fit
     are ever repeated, also when executors are lost. The history serves both fit and
     prediction and is kept by series meanwhile; lost blocks are read from its table.
     """
+    if horizon < 0:
+        raise ValueError(f"the horizon must not be negative, but is {horizon}")
     spark = sales.sparkSession
-    history = colocate(settle(clean_history(sales))).persist()
+    if series is not None:
+        sales = of_series(sales, *series)
+    history = colocate(settle(clean_history(sales)), partitions).persist()
     try:
-        save_parameters(fit(history), training_date, f"{folder}/parameters")
-        parameters = load_parameters(spark, f"{folder}/parameters", training_date)
-        forecast = predict(parameters, extended_history(history, horizon))
-        write_forecasts(stamp(forecast, training_date), f"{folder}/forecasts", as_float)
+        trained = settle(fit(history))
+        save_parameters(trained, training_date, f"{folder}/parameters", series)
+        store_short(short_series(trained), f"{folder}/short_series", training_date, series)
+        forecast = stamp(predict(trained, history, horizon), training_date)
+        write_forecasts(forecast, f"{folder}/forecasts", as_float, series)
     finally:
         history.unpersist()
     stored = stored_forecast(spark, folder, training_date)
-    write_evaluations(evaluate(stored, evaluate_before), f"{folder}/evaluations", as_float)
+    if series is not None:
+        stored = of_series(stored, *series)
+    scores = evaluate(stored, evaluate_before)
+    write_evaluations(scores, f"{folder}/evaluations", as_float, series)
+
+
+def run_prediction(
+    spark: SparkSession,
+    folder: str,
+    trained_on: datetime.date,
+    frame: DataFrame,
+    horizon: int = HORIZON_DAYS,
+) -> DataFrame:
+    """Predict the dates of ``frame`` and the horizon from the stored model of a date."""
+    return predict(load_parameters(spark, f"{folder}/parameters", trained_on), frame, horizon)
+
+
+def scores_of(spark: SparkSession, folder: str, training_date: datetime.date) -> DataFrame:
+    """Stored scores of one training date."""
+    return read_partition(spark, f"{folder}/evaluations", EVALUATION, training_date)
 
 
 def stored_forecast(spark, folder: str, training_date: datetime.date) -> DataFrame:

@@ -8,14 +8,16 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from shelfcast.operators.star import (
     MODES,
+    fact_orphans,
     fact_sales,
     merged_facts,
     new_dates,
     new_facts,
     new_items,
     new_stores,
+    repeated_keys,
 )
-from shelfcast.schemas import DIM_DATE, DIM_ITEM, DIM_STORE, FACT_SALES
+from shelfcast.schemas import DIM_DATE, DIM_ITEM, DIM_STORE, FACT_KEY, FACT_SALES
 from shelfcast.sources.tables import replace_partitions
 
 TABLES = {
@@ -76,6 +78,28 @@ def load_star(rows: DataFrame, folder: str, mode: str = "append") -> None:
         replace_partitions(_by_year(merged_facts(stored, batch, mode)), path, FACT_PARTITION)
 
 
+def check_star(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Faults of the stored tables by name; all are 0 in a sound star schema."""
+    star = read_star(spark, folder)
+    keys = {
+        "dim_store": ("id",),
+        "dim_item": ("id",),
+        "dim_date": ("date",),
+        "fact_sales": FACT_KEY,
+    }
+    faults = {
+        f"repeated keys of {name}": repeated_keys(star[name], *key).count()
+        for name, key in keys.items()
+    }
+    members = {"store": star["dim_store"], "item": star["dim_item"]}
+    for key, dimension in members.items():
+        faults[f"repeated members of dim_{key}"] = repeated_keys(dimension, key).count()
+    orphans = fact_orphans(
+        star["fact_sales"], star["dim_store"], star["dim_item"], star["dim_date"]
+    )
+    return {**faults, "orphans of fact_sales": orphans.count()}
+
+
 def _append(members: DataFrame, path: str) -> None:
     members.write.mode("append").parquet(path)
 

@@ -5,10 +5,12 @@ Fixed values: column names and their order are what users of the tables rely on.
 
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DateType,
     DoubleType,
     IntegerType,
     LongType,
+    StringType,
     StructField,
     StructType,
 )
@@ -61,8 +63,13 @@ PARAMETERS = _schema(
     deltas=_DOUBLES,
     season=_DOUBLES,
     sigma=_DOUBLE,
+    converged=BooleanType(),
+    rounds=_INT,
 )
 
+# Series seen on one day, which get a flat forecast.
+SHORT_SERIES = _schema(store=_INT, item=_INT, points=_INT, reason=StringType())
+
 DIM_STORE = _schema(id=_INT, store=_INT)
 DIM_ITEM = _schema(id=_INT, item=_INT)
 DIM_DATE = _schema(date=_DATE, day=_INT, month=_INT, year=_INT)

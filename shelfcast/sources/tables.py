@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StructField, StructType
 
 from shelfcast.operators.evaluation import stamp
-from shelfcast.schemas import EVALUATION, FORECAST_TABLE, PARAMETERS
+from shelfcast.schemas import EVALUATION, FORECAST_TABLE, PARAMETERS, SHORT_SERIES
+from shelfcast.sources.settled import settle
 
 TRAINING_DATE = "training_date"
 
@@ -54,20 +56,70 @@ def replace_partitions(rows: DataFrame, path: str, partition: str = TRAINING_DAT
     ).parquet(path)
 
 
-def write_forecasts(forecast: DataFrame, path: str, as_float: bool = False) -> None:
+def is_stored(spark: SparkSession, path: str) -> bool:
+    """Whether a table was stored under the path, in any file system that Spark reads."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
+def store(rows: DataFrame, path: str, series: tuple[int, int] | None = None) -> None:
+    """Store the stamped rows of one training run.
+
+    A run over all series replaces its training date. One over a single ``series`` replaces
+    that series only: the other rows of the date are read, settled and written with it.
+    """
+    spark = rows.sparkSession
+    if series is not None and is_stored(spark, path):
+        dates = rows.select(TRAINING_DATE).distinct()
+        here = (F.col("store") == series[0]) & (F.col("item") == series[1])
+        others = spark.read.parquet(path).where(~here).join(dates, TRAINING_DATE, "left_semi")
+        typed = [F.col(field.name).cast(field.dataType) for field in rows.schema]
+        rows = settle(rows.unionByName(others.select(typed)))
+    replace_partitions(rows, path)
+
+
+def store_short(
+    short: DataFrame, path: str, training_date: datetime.date, series: tuple[int, int] | None = None
+) -> None:
+    """Store the report of short series, also when it is empty now and was not before."""
+    folder = f"{path}/{TRAINING_DATE}={training_date}"
+    rows = short.to(SHORT_SERIES)
+    if series is not None and is_stored(rows.sparkSession, folder):
+        here = (F.col("store") == series[0]) & (F.col("item") == series[1])
+        stored = rows.sparkSession.read.schema(SHORT_SERIES).parquet(folder)
+        rows = settle(rows.unionByName(stored.where(~here)))
+    rows.write.mode("overwrite").parquet(folder)
+
+
+def write_forecasts(
+    forecast: DataFrame, path: str, as_float: bool = False, series: tuple[int, int] | None = None
+) -> None:
     """Store stamped forecast rows; they need no shuffle as one run has one partition."""
     rows = as_table_rows(forecast)
-    replace_partitions(single_precision(rows) if as_float else rows, path)
+    store(single_precision(rows) if as_float else rows, path, series)
 
 
-def write_evaluations(evaluations: DataFrame, path: str, as_float: bool = False) -> None:
+def write_evaluations(
+    evaluations: DataFrame,
+    path: str,
+    as_float: bool = False,
+    series: tuple[int, int] | None = None,
+) -> None:
     rows = evaluations.to(EVALUATION)
-    replace_partitions(single_precision(rows) if as_float else rows, path)
+    store(single_precision(rows) if as_float else rows, path, series)
 
 
-def save_parameters(parameters: DataFrame, training_date: datetime.date, path: str) -> None:
+def save_parameters(
+    parameters: DataFrame,
+    training_date: datetime.date,
+    path: str,
+    series: tuple[int, int] | None = None,
+) -> None:
     """Store a trained model: one row per series."""
-    replace_partitions(stamp(parameters, training_date), path)
+    store(stamp(parameters, training_date), path, series)
 
 
 def load_parameters(spark: SparkSession, path: str, training_date: datetime.date) -> DataFrame:

@@ -8,19 +8,26 @@ from __future__ import annotations
 import argparse
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from shelfcast.operators.frame import HORIZON_DAYS
 from shelfcast.operators.history import of_series
 from shelfcast.operators.rollups import in_order, sales_by_month, sales_by_year
 from shelfcast.operators.star import MODES
-from shelfcast.plans.forecast_job import run_forecast, stored_forecast
-from shelfcast.plans.star_load import load_star, reset_star
+from shelfcast.plans.forecast_job import run_forecast, scores_of, stored_forecast
+from shelfcast.plans.star_load import check_star, load_star, reset_star
 from shelfcast.sources.sales import read_sales_csv
 
 date = datetime.date.fromisoformat
 
 
+def days(text: str) -> int:
+    number = int(text)
+    if number < 0:
+        raise argparse.ArgumentTypeError("must not be negative")
+    return number
+
+
 def parser() -> argparse.ArgumentParser:
     commands = argparse.ArgumentParser(description="Store and item demand forecasts")
     add = commands.add_subparsers(dest="command", required=True).add_parser
@@ -31,7 +38,8 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--sales", required=True, help="CSV files with a header line")
     forecast.add_argument("--training-date", type=date, default=datetime.date.today())
     forecast.add_argument("--evaluate-before", type=date, default=datetime.date.max)
-    forecast.add_argument("--horizon", type=int, default=HORIZON_DAYS)
+    forecast.add_argument("--horizon", type=days, default=HORIZON_DAYS)
+    forecast.add_argument("--partitions", type=int, help="number of fitting tasks")
     forecast.add_argument("--store", type=int)
     forecast.add_argument("--item", type=int)
     forecast.add_argument("--as-float", action="store_true")
@@ -41,15 +49,17 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--training-date", type=date, required=True)
     load.add_argument("--mode", choices=MODES, default="append")
 
-    for command in (rollups, forecast, reset, load):
+    check = add("check-star", help="count broken references and repeated keys")
+
+    for command in (rollups, forecast, reset, load, check):
         command.add_argument("--folder", required=True, help="shared folder for the results")
     return commands
 
 
-def _chosen(sales: DataFrame, store: int | None, item: int | None) -> DataFrame:
+def _series(store: int | None, item: int | None) -> tuple[int, int] | None:
     if (store is None) != (item is None):
         raise SystemExit("give both --store and --item, or neither")
-    return sales if store is None else of_series(sales, store, item)
+    return None if store is None else (store, item)
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -64,17 +74,28 @@ def main(arguments: list[str] | None = None) -> None:
         ):
             in_order(rows, key).write.mode("overwrite").parquet(f"{options.folder}/{name}")
     elif options.command == "forecast":
-        sales = _chosen(read_sales_csv(spark, options.sales), options.store, options.item)
+        series = _series(options.store, options.item)
         run_forecast(
-            sales,
+            read_sales_csv(spark, options.sales),
             options.folder,
             options.training_date,
             options.evaluate_before,
             options.horizon,
             options.as_float,
+            series,
+            options.partitions,
         )
+        if series is not None:
+            scores = scores_of(spark, options.folder, options.training_date)
+            of_series(scores, *series).show()
     elif options.command == "reset-star":
         reset_star(spark, star_folder)
+    elif options.command == "check-star":
+        faults = check_star(spark, star_folder)
+        for name, count in faults.items():
+            print(f"{name}: {count}")
+        if any(faults.values()):
+            raise SystemExit("the star schema has faults")
     else:
         rows = stored_forecast(spark, options.folder, options.training_date)
         load_star(rows, star_folder, options.mode)

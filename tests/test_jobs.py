@@ -151,3 +151,15 @@ def test_replace_keeps_stored_rows_the_batch_lacks(spark, tmp_path):
     fact = read_star(spark, folder)["fact_sales"]
     assert fact.count() == 90
     assert fact.where("date_id = '2017-01-01'").agg({"sales": "sum"}).first()[0] == 20 + 10
+
+
+def test_short_series_are_stored_and_refreshed(spark, tmp_path):
+    one_day = sales_frame(spark, [("2017-01-01", 7, 7, 3)])
+    folder, report = str(tmp_path), f"{tmp_path}/short_series"
+    run_forecast(sales(spark).unionByName(one_day), folder, FIRST_RUN, day("2017-02-01"))
+    assert tuples(spark.read.parquet(report), "store", "item", "points") == [(7, 7, 1)]
+    assert stored_forecast(spark, folder, FIRST_RUN).where("store = 7").count() == 91
+    run_forecast(sales(spark), folder, FIRST_RUN, day("2017-02-01"), series=(1, 1))
+    assert spark.read.schema("store int").parquet(report).count() == 1
+    run_forecast(sales(spark), folder, FIRST_RUN, day("2017-02-01"))
+    assert spark.read.schema("store int").parquet(report).count() == 0

@@ -5,6 +5,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from shelfcast.functions import curve
 from shelfcast.functions.curve import changepoint_times, fit_curve, fourier
 from shelfcast.operators import seasonal
 from shelfcast.operators.frame import extended_history, future_frame
@@ -166,8 +167,54 @@ def test_short_series_are_reported_and_do_not_fail_the_job(spark):
         (2, 1, 1, "fewer than two days of history")
     ]
     forecast = seasonal.forecast(history)
-    assert tuples(forecast.select("store", "item").distinct()) == [(1, 1)]
-    assert forecast.count() == 5 + 90
+    assert tuples(forecast.select("store", "item").distinct()) == [(1, 1), (2, 1)]
+    assert forecast.count() == 5 + 90 + 1 + 90
+    flat = forecast.where("store = 2")
+    assert {row[1:] for row in tuples(flat, "ds", "yhat", "yhat_lower", "yhat_upper")} == {
+        (3.0, 3.0, 3.0)
+    }
+    assert tuples(seasonal.short_series(seasonal.fit(history))) == [
+        (2, 1, 1, "fewer than two days of history")
+    ]
+
+
+def test_series_on_one_day_in_ansi_mode(spark):
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    try:
+        history = clean_history(sales_frame(spark, [("2017-01-01", 2, 1, 0)]))
+        assert tuples(seasonal.forecast(history, 2), "yhat") == [(0.0,)] * 3
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+
+
+def test_negative_horizon_is_refused(spark):
+    history = clean_history(sales_frame(spark, [("2017-01-01", 2, 1, 1)]))
+    for refuse in (lambda: future_frame(history, -1), lambda: seasonal.forecast(history, -1)):
+        with pytest.raises(ValueError):
+            refuse()
+
+
+def test_intermittent_series_say_whether_they_converged():
+    random = np.random.default_rng(3)
+    for points in (30, 200, 900):
+        day = np.arange(points, dtype=float) + 17_000
+        y = random.poisson(0.4, points) * random.integers(1, 9, points)
+        fit = curve.fit_curve(day, y.astype(float))
+        assert isinstance(fit["converged"], bool) and 0 < fit["rounds"] <= curve.MAX_ROUNDS
+        assert fit["converged"] or fit["rounds"] > 1
+        assert (fit["sigma"] * fit["scale"]) ** 2 <= np.var(y) * 1.001
+
+
+def test_sigma_belongs_to_the_returned_parameters():
+    day = np.arange(400, dtype=float) + 17_000
+    y = np.random.default_rng(5).poisson(0.3, 400).astype(float)
+    fit = curve.fit_curve(day, y)
+    t = (day - day[0]) / (day[-1] - day[0])
+    bends = np.maximum(t[:, None] - np.array(fit["changepoints"]), 0) @ np.array(fit["deltas"])
+    season = np.array(fit["season"]) @ curve.fourier(day)
+    fitted = fit["scale"] * (fit["level"] + fit["slope"] * t + bends) * (1 + season)
+    assert fit["scale"] * fit["sigma"] == pytest.approx(np.sqrt(np.mean((y - fitted) ** 2)))
 
 
 def test_prediction_on_dates_only(spark):
@@ -187,5 +234,5 @@ def test_sales_are_scanned_and_shuffled_once(spark, sf_dir):
     forecast.collect()
     plan = plan_of(forecast)
     assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
-    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
+    assert plan.count("Window") == 0
     assert plan.count("FlatMapGroupsInArrow") == 1

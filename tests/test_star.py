@@ -88,14 +88,19 @@ def test_fact_takes_ids_from_its_own_row(spark):
     ]
 
 
-def test_large_dimensions_are_joined_in_salted_parts(spark):
+def test_look_up_is_the_same_with_and_without_broadcast(spark):
     days = [(datetime.date(2016, 1, 1) + datetime.timedelta(n)).isoformat() for n in range(200)]
     rows = rows_of(spark, [(1, 1), (2, 1)], days).unionByName(rows_of(spark, [(99, 1)], days[:5]))
     stores = star.dim_store(rows).where("store < 99")
-    broadcast = star.look_up_id(rows, stores, "store")
-    salted = star.look_up_id(rows, stores, "store", broadcast_rows=1, salts=8)
-    assert tuples(salted) == tuples(broadcast) and salted.count() == 400
-    assert "salt" in plan_of(salted) and "salt" not in plan_of(broadcast)
+    broadcast = tuples(star.look_up_id(rows, stores, "store"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = star.look_up_id(rows, stores, "store")
+        assert tuples(shuffled) == broadcast and len(broadcast) == 400
+        assert "SortMergeJoin" in plan_of(shuffled)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 FACT_ROW = (1, day("2017-01-01"), 1)
@@ -118,8 +123,7 @@ def test_append_keeps_and_replace_refreshes(spark):
         star.merged_facts(stored, batch, "upsert")
 
 
-@pytest.mark.parametrize("limit", [100, 0])
-def test_orphans_name_the_broken_reference(spark, limit):
+def test_orphans_name_the_broken_reference(spark):
     rows = rows_of(spark, [(1, 1), (2, 1)])
     dims = star.dim_store(rows), star.dim_item(rows), star.dim_date(rows)
     fact = star.fact_sales(rows, *dims[:2])
@@ -132,8 +136,23 @@ def test_orphans_name_the_broken_reference(spark, limit):
             ((1, day("1999-01-01"), 88), measures),
         )
     )
-    assert tuples(star.fact_orphans(broken, *dims, broadcast_rows=limit, salts=4)) == [
+    assert tuples(star.fact_orphans(broken, *dims)) == [
         (1, day("1999-01-01"), 88, "date_id"),
         (1, day("1999-01-01"), 88, "item_id"),
         (77, day("2016-02-29"), 1, "store_id"),
     ]
+
+
+def test_orphans_read_the_fact_once(spark, tmp_path):
+    rows = rows_of(spark, [(1, 1), (2, 1)])
+    dims = star.dim_store(rows), star.dim_item(rows), star.dim_date(rows)
+    star.fact_sales(rows, *dims[:2]).write.parquet(str(tmp_path / "fact"))
+    few = [dim.limit(1) for dim in dims]
+    orphans = star.fact_orphans(spark.read.parquet(str(tmp_path / "fact")), *few)
+    assert {row[3] for row in tuples(orphans)} == {"store_id", "date_id"}
+    assert plan_of(orphans).count("FileScan") == 1
+
+
+def test_repeated_keys(spark):
+    rows = spark.createDataFrame([(1, 2), (1, 2), (1, 3), (None, 1)], "a int, b int")
+    assert tuples(star.repeated_keys(rows, "a", "b")) == [(1, 2, 2)]

@@ -27,6 +27,7 @@ def test_all_commands(spark, csv, tmp_path):
     submit.main(["reset-star", "--folder", folder])
     for _ in range(2):
         submit.main(["load-star", "--folder", folder, "--training-date", "2017-02-01"])
+    submit.main(["check-star", "--folder", folder])
     star = read_star(spark, f"{folder}/star")
     assert tuples(star["dim_store"]) == [(1, 1), (2, 10)]
     assert star["fact_sales"].count() == 2 * (31 + 90)
@@ -41,3 +42,21 @@ def test_one_series(spark, csv, tmp_path):
     assert rows.count() == 31 + 7
     with pytest.raises(SystemExit):
         submit.main([*command, "--store", "10"])
+    with pytest.raises(SystemExit):
+        submit.main([*command, "--horizon", "-1"])
+
+
+def test_one_series_leaves_the_others_alone(spark, csv, tmp_path, capsys):
+    folder = str(tmp_path / "out")
+    command = ["forecast", "--sales", csv, "--folder", folder, "--training-date", "2017-02-01"]
+    submit.main(command)
+    names = ("forecasts", "parameters", "evaluations")
+    before = {name: tuples(spark.read.parquet(f"{folder}/{name}")) for name in names}
+    submit.main([*command, "--store", "10", "--item", "50"])
+    after = {name: tuples(spark.read.parquet(f"{folder}/{name}")) for name in names}
+    assert after == before
+    assert "rmse" in capsys.readouterr().out
+    submit.main([*command, "--store", "10", "--item", "50", "--horizon", "7"])
+    rows = stored_forecast(spark, folder, day("2017-02-01"))
+    assert rows.where("store = 1").count() == 31 + 90
+    assert rows.where("store = 10").count() == 31 + 7
