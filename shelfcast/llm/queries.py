@@ -17,6 +17,7 @@ from shelfcast.llm import (
     secrets,
     sharding,
     subword,
+    url_lists,
 )
 from shelfcast.llm.text import read_documents, sha256, whole
 
@@ -32,6 +33,57 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text")
 
 
+FIRST_DAY = "2020-01-01"
+# Days on which captures and list changes may fall.
+DAYS = 1600
+
+
+def _drawn(text, limit: int):
+    """A number below the limit that depends on the text alone."""
+    return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("int") % limit
+
+
+def _after_first(days):
+    return F.date_add(F.lit(FIRST_DAY).cast("date"), days)
+
+
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a day of fetching, which the tables lack: drawn from the page's id."""
+    pages = spark.read.schema("page_id bigint, url string").parquet(f"{sf_dir}/pages.parquet")
+    fetched = _after_first(_drawn(F.concat(F.lit("fetch:"), F.col("page_id").cast("string")), DAYS))
+    return pages.withColumn("fetched", fetched)
+
+
+def list_changes(pages: DataFrame) -> DataFrame:
+    """A deny list of every host and an allow list of its sections, each on and off twice."""
+    host = url_lists.host_of(F.col("url"))
+    section = F.concat(host, url_lists.path_start(F.col("url"), 1))
+    entries = pages.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit(url_lists.DENY).alias("list"), host.alias("entry")),
+                F.struct(F.lit(url_lists.ALLOW).alias("list"), section.alias("entry")),
+            )
+        ).alias("e")
+    )
+    days, changes = [_drawn(F.concat_ws(":", "list", "entry"), 600)], []
+    for step in range(1, 4):
+        more = _drawn(F.concat_ws(":", F.lit(str(step)), "list", "entry"), 400)
+        days.append(days[-1] + more)
+    for step, day in enumerate(days):
+        action = url_lists.REMOVE if step % 2 else url_lists.ADD
+        changes.append(F.struct(F.lit(action).alias("action"), _after_first(day).alias("day")))
+    distinct = entries.select("e.list", "e.entry").distinct()
+    return distinct.select("list", "entry", F.explode(F.array(*changes)).alias("c")).select(
+        "list", "entry", "c.action", "c.day"
+    )
+
+
+def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = captures(spark, sf_dir)
+    return url_lists.judge(pages, list_changes(pages))
+
+
 def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(read_documents(spark, sf_dir), words=3, percent=85)
     return found.drop(neardup.TEXT_HASH)
@@ -101,6 +153,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_phrases": op1_phrases,
         "op2_quality": op2_quality,
+        "op3_url_lists": op3_url_lists,
         "op4_neardup": op4_neardup,
         "op5_subword": op5_subword,
         "op6_mix": op6_mix,
@@ -151,6 +204,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
 FROM based"""
 
+def _drawn_sql(text: str, limit: int) -> str:
+    return f"(CAST('0x' || substr(md5({text}), 1, 6) AS INT) % {limit})"
+
+
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*://"
+
+OP3_SQL = f"""
+WITH captured AS (
+  SELECT page_id, url,
+         DATE '{FIRST_DAY}' + {_drawn_sql("'fetch:' || CAST(page_id AS VARCHAR)", DAYS)} AS fetched,
+         lower(regexp_extract(url, '{_SCHEME}(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+         regexp_extract(url, '{_SCHEME}[^/?#]*(/[^/?#]+)', 1) AS p1,
+         regexp_extract(url, '{_SCHEME}[^/?#]*(/[^/?#]+/[^/?#]+)', 1) AS p2
+  FROM pages),
+entries AS (
+  SELECT DISTINCT 'deny' AS list, host AS entry FROM captured
+  UNION SELECT DISTINCT 'allow', host || p1 FROM captured),
+dated AS (
+  SELECT list, entry, {_drawn_sql("list || ':' || entry", 600)} AS d0,
+         {_drawn_sql("'1:' || list || ':' || entry", 400)} AS g1,
+         {_drawn_sql("'2:' || list || ':' || entry", 400)} AS g2,
+         {_drawn_sql("'3:' || list || ':' || entry", 400)} AS g3
+  FROM entries),
+changes AS (
+  SELECT list, entry, d0 AS day, 1 AS added FROM dated
+  UNION ALL SELECT list, entry, d0 + g1, 0 FROM dated
+  UNION ALL SELECT list, entry, d0 + g1 + g2, 1 FROM dated
+  UNION ALL SELECT list, entry, d0 + g1 + g2 + g3, 0 FROM dated),
+daily AS (SELECT list, entry, day, MAX(added) AS added FROM changes GROUP BY ALL),
+held AS (
+  SELECT *, LEAD(day) OVER (PARTITION BY list, entry ORDER BY day) AS until FROM daily),
+asked AS (
+  SELECT page_id, url, fetched, host, unnest(list_distinct([x FOR x IN list_concat(
+           [array_to_string(string_split(host, '.')[i:], '.')
+            FOR i IN range(1, greatest(len(string_split(host, '.')), 2))],
+           [CASE WHEN p1 <> '' THEN host || p1 END, CASE WHEN p2 <> '' THEN host || p2 END])
+         IF x IS NOT NULL])) AS entry
+  FROM captured WHERE host <> ''),
+hits AS (
+  SELECT a.page_id, a.url, a.fetched, h.list, h.entry
+  FROM asked a JOIN held h ON a.entry = h.entry AND h.added = 1
+   AND a.fetched >= DATE '{FIRST_DAY}' + h.day
+   AND (h.until IS NULL OR a.fetched < DATE '{FIRST_DAY}' + h.until)),
+found AS (
+  SELECT page_id, url, COUNT(*) AS n_active,
+         string_agg(list || ':' || entry, ',' ORDER BY list || ':' || entry) AS active,
+         arg_max(list, length(entry) * 2 + CASE WHEN list = 'allow' THEN 1 ELSE 0 END) AS verdict
+  FROM hits GROUP BY page_id, url)
+SELECT c.page_id, c.url, c.fetched, COALESCE(n_active, 0) AS n_active,
+       COALESCE(active, '') AS active, COALESCE(verdict, 'none') AS verdict,
+       COALESCE(verdict, 'none') = 'deny' AS blocked
+FROM captured c LEFT JOIN found f ON c.page_id = f.page_id AND c.url IS NOT DISTINCT FROM f.url"""
+
 OP4_SQL = """
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(
@@ -271,4 +377,4 @@ FROM worded LEFT JOIN based USING (doc_id) LEFT JOIN both_labels USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality": OP2_SQL, "op4_neardup": OP4_SQL, "op6_mix": OP6_SQL, "op10_licenses": OP10_SQL}
+    return {"op2_quality": OP2_SQL, "op3_url_lists": OP3_SQL, "op4_neardup": OP4_SQL, "op6_mix": OP6_SQL, "op10_licenses": OP10_SQL}
