@@ -10,13 +10,17 @@ from __future__ import annotations
 import datetime
 import os
 import sys
+import uuid
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.functions.season import WAVES
 from shelfcast.operators import seasonal, star
 from shelfcast.operators.baseline import baseline_forecast
 from shelfcast.operators.evaluation import evaluate, evaluate_single, stamp, with_actuals
@@ -28,11 +32,21 @@ from shelfcast.operators.history import (
     of_series,
     single_series,
 )
-from shelfcast.operators.rollups import sales_by_month, sales_by_year
+from shelfcast.operators.rollups import in_order, sales_by_month, sales_by_year
+from shelfcast.plans.forecast_job import run_prediction
+from shelfcast.plans.star_load import load_star, read_star, reset_star
+from shelfcast.schemas import EVALUATION, FORECAST_TABLE, PARAMETERS
 from shelfcast.sources import views
-from shelfcast.sources.sales import read_lineitem, sales_from_lineitem
-from shelfcast.sources.settled import settle
-from shelfcast.sources.tables import as_table_rows
+from shelfcast.sources.sales import read_lineitem, read_sales_csv, sales_from_lineitem
+from shelfcast.sources.settled import checkpoint_folder, settle
+from shelfcast.sources.tables import (
+    as_table_rows,
+    create_table,
+    read_partition,
+    save_parameters,
+    write_evaluations,
+    write_forecasts,
+)
 
 try:
     import corpus_pipeline as _pipeline
@@ -47,6 +61,8 @@ EARLIER_TRAINING = datetime.date(2001, 1, 1)
 # The first load of the dimensions saw the sales before this day.
 FIRST_LOAD = datetime.date(1995, 1, 10)
 DIGITS = 4
+# Bends of the model that a query stores and predicts from.
+GIVEN_CHANGES, GIVEN_DELTAS = (0.25, 0.5), (0.3, -0.2)
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,6 +218,141 @@ def _query_predict_from_params(spark, sf_dir):
     return seasonal.predict(seasonal.fit(history), frame)
 
 
+def _query_forecast_checked(spark, sf_dir):
+    """What can be said of every series' forecast without the model's own numbers."""
+    forecast = seasonal.forecast(_settled_history(spark, sf_dir))
+    return _checked(forecast)
+
+
+def _checked(forecast: DataFrame) -> DataFrame:
+    numbers = ("yhat", "yhat_upper", "yhat_lower")
+    finite = reduce(and_, [F.abs(name) < 1e300 for name in numbers])
+    ordered = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    error = F.avg((F.col("y") - F.col("yhat")) * (F.col("y") - F.col("yhat")))
+    return forecast.groupBy("store", "item").agg(
+        F.count("y").alias("points"),
+        F.sum(F.col("y").isNull().cast("int")).alias("ahead"),
+        F.min("ds").alias("first_ds"),
+        F.max("ds").alias("last_ds"),
+        F.sum("y").alias("y"),
+        F.bool_and(finite & ordered).alias("ordered"),
+        (error <= F.var_pop("y") * (1 + 1e-9) + 1e-9).alias("better_than_mean"),
+    )
+
+
+def _query_forecast_series_kept(spark, sf_dir):
+    """Many short series, those of one day too: none is lost and all reach the horizon."""
+    sales = sales_from_lineitem(_lineitem(spark, sf_dir), stores=100, items=100)
+    forecast = seasonal.forecast(settle(clean_history(sales)))
+    return forecast.groupBy("store", "item").agg(
+        F.count("y").alias("points"),
+        F.sum(F.col("y").isNull().cast("int")).alias("ahead"),
+        F.max("ds").alias("last_ds"),
+    )
+
+
+def _query_fit_params_checked(spark, sf_dir):
+    """The parts of a model that follow from its series alone."""
+    return seasonal.fit(colocate(_history(spark, sf_dir))).select(
+        "store",
+        "item",
+        "first_ds",
+        "last_ds",
+        "points",
+        "scale",
+        F.size("changepoints").alias("changes"),
+        F.size("season").alias("waves"),
+        (F.col("sigma") >= 0).alias("noise"),
+    )
+
+
+def _given_parameters(history: DataFrame) -> DataFrame:
+    """A model as it could be stored: line by regression, fixed bends and waves."""
+    fixed = {
+        "changepoints": F.array(*map(F.lit, GIVEN_CHANGES)),
+        "deltas": F.array(*map(F.lit, GIVEN_DELTAS)),
+        "season": F.array(*[F.lit(0.001 * (wave + 1)) for wave in range(len(WAVES))]),
+        "sigma": F.lit(0.1),
+        "converged": F.lit(True),
+        "rounds": F.lit(1),
+    }
+    days = F.unix_date("ds").cast("double")
+    return (
+        history.groupBy("store", "item")
+        .agg(
+            F.min("ds").alias("first_ds"),
+            F.max("ds").alias("last_ds"),
+            F.count("*").cast("int").alias("points"),
+            F.lit(10.0).alias("scale"),
+            F.regr_slope("y", days).alias("slope"),
+            (F.avg("y") / 10).alias("level"),
+        )
+        .withColumns(fixed)
+        .to(PARAMETERS)
+    )
+
+
+def _query_predict_given_params(spark, sf_dir):
+    """Prediction from a stored model: saved, loaded, and joined to dates only."""
+    history = _settled_history(spark, sf_dir)
+    folder = _new_folder(spark)
+    save_parameters(_given_parameters(history), TRAINING_DATE, f"{folder}/parameters")
+    predicted = run_prediction(spark, folder, TRAINING_DATE, history.drop("y"))
+    return _rounded(predicted, "yhat", "yhat_upper", "yhat_lower").drop("y")
+
+
+def _new_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def _query_csv_source(spark, sf_dir):
+    """Sales written as CSV with a header and read again."""
+    folder = _new_folder(spark)
+    _sales(spark, sf_dir).write.option("header", True).csv(folder)
+    return read_sales_csv(spark, folder)
+
+
+def _query_forecasts_table_stored(spark, sf_dir):
+    """Two training dates stored, one of them again, and read as a catalog table."""
+    forecast, folder = settle(_baseline(spark, sf_dir)), _new_folder(spark)
+    for date in (TRAINING_DATE, EARLIER_TRAINING, TRAINING_DATE):
+        write_forecasts(stamp(forecast, date), folder)
+    name = f"forecasts_{uuid.uuid4().hex}"
+    create_table(spark, name, folder, FORECAST_TABLE)
+    return views.read_view(spark, name)
+
+
+def _query_evaluations_stored(spark, sf_dir):
+    folder = _new_folder(spark)
+    for _ in range(2):
+        write_evaluations(_query_evaluate(spark, sf_dir), folder)
+    return read_partition(spark, folder, EVALUATION, TRAINING_DATE).select(EVALUATION.names)
+
+
+def _query_evaluate_from_view(spark, sf_dir):
+    views.register(_stamped(spark, sf_dir), "stamped_forecast")
+    scores = evaluate(views.read_view(spark, "stamped_forecast"), EVALUATE_BEFORE)
+    return _rounded(scores, "mae", "mse", "rmse")
+
+
+def _query_star_loaded(spark, sf_dir):
+    """An earlier batch loaded, the whole one appended twice and then replaced."""
+    history, folder = _settled_history(spark, sf_dir), _new_folder(spark)
+    earlier = history.where(F.col("ds") < F.lit(EARLIER_TRAINING))
+    rows = settle(_rounded_forecast(history))
+    reset_star(spark, folder)
+    load_star(settle(_rounded_forecast(earlier)), folder)
+    for mode in ("append", "append", "replace"):
+        load_star(rows, folder, mode)
+    return read_star(spark, folder)["fact_sales"]
+
+
+def _query_months_in_order(spark, sf_dir):
+    """The month rollup with its place in the sorted output."""
+    rows = in_order(sales_by_month(_sales(spark, sf_dir)), "month").coalesce(1)
+    return rows.withColumn("place", F.monotonically_increasing_id())
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Seasonal forecast of every store and item on the smallest tables."""
     return _query_forecast_store_item(spark, "/root/testdata/sf0.001")
@@ -244,6 +395,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forecast_single_series": _query_forecast_single_series,
         "fit_params": _query_fit_params,
         "predict_from_params": _query_predict_from_params,
+        "forecast_checked": _query_forecast_checked,
+        "forecast_series_kept": _query_forecast_series_kept,
+        "fit_params_checked": _query_fit_params_checked,
+        "predict_given_params": _query_predict_given_params,
+        "csv_source": _query_csv_source,
+        "forecasts_table_stored": _query_forecasts_table_stored,
+        "evaluations_stored": _query_evaluations_stored,
+        "evaluate_from_view": _query_evaluate_from_view,
+        "star_loaded": _query_star_loaded,
+        "months_in_order": _query_months_in_order,
     } | _llm_queries()
 
 
@@ -388,6 +549,40 @@ _YEARS = "CAST(year(date) AS INT) AS year, CAST(SUM(sales) AS BIGINT) AS sales"
 _MONTHS = "CAST(date_trunc('month', date) AS DATE) AS month, CAST(SUM(sales) AS BIGINT) AS sales"
 
 
+def _model_sql() -> str:
+    """yhat and band of the given parameters, spelled out."""
+    season = " + ".join(
+        f"{0.001 * (at + 1)!r} * {wave}(d * {angle!r})" for at, (wave, angle) in enumerate(WAVES)
+    )
+    bends = " + ".join(
+        f"{delta} * greatest(t - {change}, 0)" for change, delta in zip(GIVEN_CHANGES, GIVEN_DELTAS)
+    )
+    size = sum(map(abs, GIVEN_DELTAS)) / len(GIVEN_DELTAS)
+    drift = len(GIVEN_DELTAS) * 2 / 3 * size**2
+    return f"""WITH {_FORECAST_SQL},
+model AS (
+  SELECT store, item, MIN(ds) AS first_ds, MAX(ds) AS last_ds,
+         regr_slope(y, CAST(datediff('day', DATE '1970-01-01', ds) AS DOUBLE)) AS slope,
+         AVG(y) / 10 AS level
+  FROM history GROUP BY store, item),
+placed AS (
+  SELECT f.store, f.item, f.ds, slope, level,
+         CAST(datediff('day', DATE '1970-01-01', f.ds) AS DOUBLE) AS d,
+         datediff('day', first_ds, f.ds) / CAST(datediff('day', first_ds, last_ds) AS DOUBLE) AS t
+  FROM forecast_frame f JOIN model m ON f.store = m.store AND f.item = m.item),
+curved AS (
+  SELECT *, level + slope * t + {bends} AS trend, 1 + {season} AS growth,
+         {drift!r} * pow(greatest(t - 1, 0), 3) AS variance
+  FROM placed),
+banded AS (
+  SELECT *, 10 * trend * growth AS center,
+         1.959963984540054 * 10 * sqrt(0.1 * 0.1 + growth * growth * variance) AS band
+  FROM curved)
+SELECT ds, store, item, ROUND(center, 4) AS yhat, ROUND(center + band, 4) AS yhat_upper,
+       ROUND(center - band, 4) AS yhat_lower
+FROM banded"""
+
+
 def oracle_sql() -> dict[str, str]:
     year = f"WITH {_SALES_SQL} SELECT {_YEARS} FROM sales_rows GROUP BY year(date)"
     month = f"WITH {_SALES_SQL} SELECT {_MONTHS} FROM sales_rows GROUP BY date_trunc('month', date)"
@@ -396,6 +591,7 @@ SELECT store, item, date AS ds, CAST(SUM(sales) AS BIGINT) AS y
 FROM sales_rows {{condition}} GROUP BY store, item, date"""
     series = f"""WITH {_SALES_SQL}
 SELECT date AS ds, sales AS y FROM sales_rows WHERE store = 1 AND item = 1"""
+    many = _HISTORY_SQL.replace("% 5 + 1", "% 100 + 1").replace("% 4 + 1", "% 100 + 1")
     first_series = "AND store = 1 AND item = 1"
     return {
         "train_source": f"WITH {_SALES_SQL} SELECT * FROM sales_rows",
@@ -442,6 +638,33 @@ SELECT date, {_DATE_PARTS} FROM (SELECT DISTINCT date FROM sales_rows) d""",
 SELECT store, item, CAST(COUNT(DISTINCT date) AS INT) AS points,
        'fewer than two days of history' AS reason
 FROM sales_rows GROUP BY store, item HAVING COUNT(DISTINCT date) < 2""",
+        "forecast_checked": f"""WITH {_HISTORY_SQL}
+SELECT store, item, COUNT(*) AS points, CAST(90 AS BIGINT) AS ahead, MIN(ds) AS first_ds,
+       CAST(MAX(ds) + 90 AS DATE) AS last_ds, CAST(SUM(y) AS DOUBLE) AS y, TRUE AS ordered,
+       TRUE AS better_than_mean
+FROM history GROUP BY store, item""",
+        "forecast_series_kept": f"""WITH {many}
+SELECT store, item, COUNT(*) AS points, CAST(90 AS BIGINT) AS ahead,
+       CAST(MAX(ds) + 90 AS DATE) AS last_ds
+FROM history GROUP BY store, item""",
+        "fit_params_checked": f"""WITH {_HISTORY_SQL}
+SELECT store, item, MIN(ds) AS first_ds, MAX(ds) AS last_ds, CAST(COUNT(*) AS INT) AS points,
+       CAST(MAX(abs(y)) AS DOUBLE) AS scale,
+       CAST(greatest(least(25, CAST(FLOOR(COUNT(*) * 0.8) AS INT) - 1), 0) AS INT) AS changes,
+       {len(WAVES)} AS waves, TRUE AS noise
+FROM history GROUP BY store, item""",
+        "predict_given_params": _model_sql(),
+        "csv_source": f"WITH {_SALES_SQL} SELECT * FROM sales_rows",
+        "forecasts_table_stored": f"""WITH {_FORECAST_SQL}
+SELECT ds AS date, store, item, y AS sales, yhat AS sales_predicted,
+       yhat_upper AS sales_predicted_upper, yhat_lower AS sales_predicted_lower, training_date
+FROM forecast, (VALUES (DATE '{TRAINING_DATE}'), (DATE '{EARLIER_TRAINING}')) v(training_date)""",
+        "evaluations_stored": f"WITH {_FORECAST_SQL} {_SCORES_SQL.format(condition='')}",
+        "evaluate_from_view": f"WITH {_FORECAST_SQL} {_SCORES_SQL.format(condition='')}",
+        "star_loaded": f"WITH {_TWO_FACTS_SQL} {_merge_sql('fact', 'stored_fact')}",
+        "months_in_order": f"""WITH {_SALES_SQL}
+SELECT {_MONTHS}, ROW_NUMBER() OVER (ORDER BY date_trunc('month', date)) - 1 AS place
+FROM sales_rows GROUP BY date_trunc('month', date)""",
         "fact_orphans": f"""WITH {_FACT_SQL}, {_EARLIER_SQL}
 SELECT store_id, date_id, item_id, 'date_id' AS reference
 FROM fact WHERE date_id NOT IN (SELECT ds FROM earlier)
