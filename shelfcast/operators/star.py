@@ -91,13 +91,20 @@ def merged_facts(stored: DataFrame, batch: DataFrame, mode: str = "append") -> D
 
     Keys are unique within ``stored`` and within ``batch``, as they are for the rows of
     one forecast. ``append`` keeps stored rows and adds rows with new keys. ``replace``
-    lets the batch win, so that a retrained model refreshes its predictions.
+    lets the batch win, so that a retrained model refreshes its predictions. One join reads
+    each side once.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    if mode == "append":
-        return stored.unionByName(new_facts(stored, batch))
-    return batch.unionByName(new_facts(batch, stored))
+    measures = [name for name in stored.columns if name not in FACT_KEY]
+    sides = [
+        facts.select(*FACT_KEY, F.struct(*measures).alias(name))
+        for name, facts in (("old", stored), ("new", batch))
+    ]
+    order = ("old", "new") if mode == "append" else ("new", "old")
+    both = sides[0].join(sides[1], list(FACT_KEY), "full")
+    merged = both.select(*FACT_KEY, F.coalesce(*order).alias("row")).select(*FACT_KEY, "row.*")
+    return merged.select(*stored.columns)
 
 
 def fact_orphans(

@@ -18,6 +18,7 @@ from shelfcast.operators.star import (
     repeated_keys,
 )
 from shelfcast.schemas import DIM_DATE, DIM_ITEM, DIM_STORE, FACT_KEY, FACT_SALES
+from shelfcast.sources.settled import settle
 from shelfcast.sources.tables import replace_partitions
 
 TABLES = {
@@ -26,9 +27,10 @@ TABLES = {
     "dim_date": DIM_DATE,
     "fact_sales": FACT_SALES,
 }
-# Facts are stored by calendar year: a load covers years of history, so that finer folders
-# would only make more of them to list and commit.
-FACT_PARTITION = "year"
+# Facts are stored by calendar year and a bucket of stores: a load covers years of history,
+# and one of few stores rewrites few buckets.
+FACT_PARTITIONS = ("year", "store_bucket")
+STORE_BUCKETS = 8
 
 
 def reset_star(spark: SparkSession, folder: str) -> None:
@@ -36,7 +38,7 @@ def reset_star(spark: SparkSession, folder: str) -> None:
     for name, schema in TABLES.items():
         empty = spark.createDataFrame([], schema)
         if name == "fact_sales":
-            writer = _by_year(empty).write.partitionBy(FACT_PARTITION)
+            writer = _placed(empty).write.partitionBy(*FACT_PARTITIONS)
         else:
             writer = empty.write
         writer.mode("overwrite").parquet(f"{folder}/{name}")
@@ -48,7 +50,7 @@ def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         name: spark.read.schema(schema).parquet(f"{folder}/{name}")
         for name, schema in TABLES.items()
     }
-    return {**star, "fact_sales": _stored_facts(spark, folder).drop(FACT_PARTITION)}
+    return {**star, "fact_sales": _stored_facts(spark, folder).drop(*FACT_PARTITIONS)}
 
 
 def load_star(rows: DataFrame, folder: str, mode: str = "append") -> None:
@@ -67,15 +69,15 @@ def load_star(rows: DataFrame, folder: str, mode: str = "append") -> None:
     _append(new_dates(star["dim_date"], rows), f"{folder}/dim_date")
 
     star = read_star(spark, folder)
-    batch = fact_sales(rows, star["dim_store"], star["dim_item"])
-    stored = _facts_in_years_of(rows, folder)
+    batch = settle(fact_sales(rows, star["dim_store"], star["dim_item"]))
+    stored = _facts_beside(batch, folder)
     path = f"{folder}/fact_sales"
     if mode == "append":
-        added = _by_year(new_facts(stored, batch))
-        added.write.mode("append").partitionBy(FACT_PARTITION).parquet(path)
+        added = _laid_out(new_facts(stored, batch))
+        added.write.mode("append").partitionBy(*FACT_PARTITIONS).parquet(path)
     else:
         # Written beside the old files and swapped in when all tasks are done.
-        replace_partitions(_by_year(merged_facts(stored, batch, mode)), path, FACT_PARTITION)
+        replace_partitions(_laid_out(merged_facts(stored, batch, mode)), path, *FACT_PARTITIONS)
 
 
 def check_star(spark: SparkSession, folder: str) -> dict[str, int]:
@@ -105,25 +107,34 @@ def _append(members: DataFrame, path: str) -> None:
 
 
 def _stored_facts(spark: SparkSession, folder: str) -> DataFrame:
-    schema = StructType([*FACT_SALES, StructField(FACT_PARTITION, IntegerType())])
-    return spark.read.schema(schema).parquet(f"{folder}/fact_sales")
+    folders = [StructField(name, IntegerType()) for name in FACT_PARTITIONS]
+    return spark.read.schema(StructType([*FACT_SALES, *folders])).parquet(f"{folder}/fact_sales")
 
 
-def _facts_in_years_of(rows: DataFrame, folder: str) -> DataFrame:
-    """Stored facts of the years that the rows span; other years are not listed or read."""
-    first, last = rows.select(F.year(F.min("ds")), F.year(F.max("ds"))).first()
-    facts = _stored_facts(rows.sparkSession, folder)
-    in_span = F.col(FACT_PARTITION).between(F.lit(first), F.lit(last))
-    return facts.where(in_span).drop(FACT_PARTITION)
+def _facts_beside(batch: DataFrame, folder: str) -> DataFrame:
+    """Stored facts in the folders that the batch falls into; others are not listed or read.
+
+    The driver gets one row for each year of the batch.
+    """
+    touched = (
+        _placed(batch).groupBy("year").agg(F.collect_set("store_bucket").alias("buckets")).collect()
+    )
+    inside = F.lit(False)
+    for row in touched:
+        inside |= (F.col("year") == row["year"]) & F.col("store_bucket").isin(row["buckets"])
+    return _stored_facts(batch.sparkSession, folder).where(inside).drop(*FACT_PARTITIONS)
 
 
-def _by_year(facts: DataFrame) -> DataFrame:
+def _placed(facts: DataFrame) -> DataFrame:
+    bucket = F.pmod("store_id", F.lit(STORE_BUCKETS)).cast("int")
+    return facts.withColumn("year", F.year("date_id")).withColumn("store_bucket", bucket)
+
+
+def _laid_out(facts: DataFrame) -> DataFrame:
     """Facts with their folder, in date order within each file.
 
-    Large years are split and small ones merged at run time, and the date order lets a
+    Large folders are split and small ones merged at run time, and the date order lets a
     reader skip the parts of a file outside its dates.
     """
-    placed = facts.withColumn(FACT_PARTITION, F.year("date_id"))
-    return placed.hint("rebalance", FACT_PARTITION).sortWithinPartitions(
-        FACT_PARTITION, "date_id"
-    )
+    placed = _placed(facts).hint("rebalance", *FACT_PARTITIONS)
+    return placed.sortWithinPartitions(*FACT_PARTITIONS, "date_id")

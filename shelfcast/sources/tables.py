@@ -50,9 +50,10 @@ def single_precision(rows: DataFrame) -> DataFrame:
     return rows.withColumns({name: F.col(name).cast("float") for name in doubles})
 
 
-def replace_partitions(rows: DataFrame, path: str, partition: str = TRAINING_DATE) -> None:
+def replace_partitions(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Replace the folders that the rows fall into, by default those of training dates."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition
+        *(partitions or (TRAINING_DATE,))
     ).parquet(path)
 
 

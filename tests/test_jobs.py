@@ -2,7 +2,7 @@ import datetime
 
 import pytest
 
-from shelfcast.operators import seasonal
+from shelfcast.operators import seasonal, star
 from shelfcast.operators.baseline import baseline_forecast
 from shelfcast.operators.evaluation import evaluate, stamp
 from shelfcast.operators.frame import extended_history
@@ -163,3 +163,29 @@ def test_short_series_are_stored_and_refreshed(spark, tmp_path):
     assert spark.read.schema("store int").parquet(report).count() == 1
     run_forecast(sales(spark), folder, FIRST_RUN, day("2017-02-01"))
     assert spark.read.schema("store int").parquet(report).count() == 0
+
+
+def test_replace_rewrites_only_the_folders_of_the_batch(spark, tmp_path):
+    series = tuple((store, 1) for store in range(1, 7))
+    history = clean_history(sales(spark, series, days=20))
+    rows = baseline_forecast(history)
+    reset_star(spark, str(tmp_path))
+    load_star(rows, str(tmp_path))
+    before = set((tmp_path / "fact_sales").rglob("*.parquet"))
+    load_star(rows.where("store = 3"), str(tmp_path), "replace")
+    after = set((tmp_path / "fact_sales").rglob("*.parquet"))
+    moved = {path.parent.name for path in before ^ after}
+    assert moved == {"store_bucket=3"}
+    assert read_star(spark, str(tmp_path))["fact_sales"].count() == rows.count()
+
+
+def test_merge_reads_each_side_once(spark, tmp_path):
+    rows = baseline_forecast(clean_history(sales(spark)))
+    stores, items = star.dim_store(rows), star.dim_item(rows)
+    for name in ("old", "new"):
+        star.fact_sales(rows, stores, items).write.parquet(str(tmp_path / name))
+    old, new = (spark.read.parquet(str(tmp_path / name)) for name in ("old", "new"))
+    for mode in star.MODES:
+        merged = star.merged_facts(old, new, mode)
+        assert merged.count() == old.count()
+        assert plan_of(merged).count("FileScan") == 2
