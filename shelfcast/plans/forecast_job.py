@@ -11,7 +11,7 @@ from shelfcast.operators.frame import HORIZON_DAYS
 from shelfcast.operators.history import clean_history, colocate, of_series
 from shelfcast.operators.seasonal import fit, predict, short_series
 from shelfcast.schemas import EVALUATION, FORECAST_TABLE
-from shelfcast.sources.settled import settle
+from shelfcast.sources.settled import scratch, settle
 from shelfcast.sources.tables import (
     from_table_rows,
     load_parameters,
@@ -48,15 +48,17 @@ def run_forecast(
     spark = sales.sparkSession
     if series is not None:
         sales = of_series(sales, *series)
-    history = colocate(settle(clean_history(sales)), partitions).persist()
-    try:
-        trained = settle(fit(history))
-        save_parameters(trained, training_date, f"{folder}/parameters", series)
-        store_short(short_series(trained), f"{folder}/short_series", training_date, series)
-        forecast = stamp(predict(trained, history, horizon), training_date)
-        write_forecasts(forecast, f"{folder}/forecasts", as_float, series)
-    finally:
-        history.unpersist()
+    with scratch(spark) as work:
+        history = colocate(settle(clean_history(sales), work), partitions).persist()
+        try:
+            trained = settle(fit(history), work)
+            save_parameters(trained, training_date, f"{folder}/parameters", series)
+            short = short_series(trained)
+            store_short(short, f"{folder}/short_series", training_date, series)
+            forecast = stamp(predict(trained, history, horizon), training_date)
+            write_forecasts(forecast, f"{folder}/forecasts", as_float, series)
+        finally:
+            history.unpersist()
     stored = stored_forecast(spark, folder, training_date)
     if series is not None:
         stored = of_series(stored, *series)

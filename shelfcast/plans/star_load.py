@@ -18,7 +18,7 @@ from shelfcast.operators.star import (
     repeated_keys,
 )
 from shelfcast.schemas import DIM_DATE, DIM_ITEM, DIM_STORE, FACT_KEY, FACT_SALES
-from shelfcast.sources.settled import settle
+from shelfcast.sources.settled import scratch, settle
 from shelfcast.sources.tables import replace_partitions
 
 TABLES = {
@@ -69,15 +69,17 @@ def load_star(rows: DataFrame, folder: str, mode: str = "append") -> None:
     _append(new_dates(star["dim_date"], rows), f"{folder}/dim_date")
 
     star = read_star(spark, folder)
-    batch = settle(fact_sales(rows, star["dim_store"], star["dim_item"]))
-    stored = _facts_beside(batch, folder)
     path = f"{folder}/fact_sales"
-    if mode == "append":
-        added = _laid_out(new_facts(stored, batch))
-        added.write.mode("append").partitionBy(*FACT_PARTITIONS).parquet(path)
-    else:
-        # Written beside the old files and swapped in when all tasks are done.
-        replace_partitions(_laid_out(merged_facts(stored, batch, mode)), path, *FACT_PARTITIONS)
+    with scratch(spark) as work:
+        batch = settle(fact_sales(rows, star["dim_store"], star["dim_item"]), work)
+        stored = _facts_beside(batch, folder)
+        if mode == "append":
+            added = _laid_out(new_facts(stored, batch))
+            added.write.mode("append").partitionBy(*FACT_PARTITIONS).parquet(path)
+        else:
+            # Written beside the old files and swapped in when all tasks are done.
+            merged = _laid_out(merged_facts(stored, batch, mode))
+            replace_partitions(merged, path, *FACT_PARTITIONS)
 
 
 def check_star(spark: SparkSession, folder: str) -> dict[str, int]:

@@ -15,7 +15,7 @@ from pyspark.sql.types import DateType, DoubleType, StructField, StructType
 
 from shelfcast.operators.evaluation import stamp
 from shelfcast.schemas import EVALUATION, FORECAST_TABLE, PARAMETERS, SHORT_SERIES
-from shelfcast.sources.settled import settle
+from shelfcast.sources.settled import scratch, settle
 
 TRAINING_DATE = "training_date"
 
@@ -78,8 +78,10 @@ def store(rows: DataFrame, path: str, series: tuple[int, int] | None = None) ->
         here = (F.col("store") == series[0]) & (F.col("item") == series[1])
         others = spark.read.parquet(path).where(~here).join(dates, TRAINING_DATE, "left_semi")
         typed = [F.col(field.name).cast(field.dataType) for field in rows.schema]
-        rows = settle(rows.unionByName(others.select(typed)))
-    replace_partitions(rows, path)
+        with scratch(spark) as work:
+            replace_partitions(settle(rows.unionByName(others.select(typed)), work), path)
+    else:
+        replace_partitions(rows, path)
 
 
 def store_short(
@@ -91,8 +93,11 @@ def store_short(
     if series is not None and is_stored(rows.sparkSession, folder):
         here = (F.col("store") == series[0]) & (F.col("item") == series[1])
         stored = rows.sparkSession.read.schema(SHORT_SERIES).parquet(folder)
-        rows = settle(rows.unionByName(stored.where(~here)))
-    rows.write.mode("overwrite").parquet(folder)
+        with scratch(rows.sparkSession) as work:
+            every = settle(rows.unionByName(stored.where(~here)), work)
+            every.write.mode("overwrite").parquet(folder)
+    else:
+        rows.write.mode("overwrite").parquet(folder)
 
 
 def write_forecasts(

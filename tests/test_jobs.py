@@ -1,4 +1,5 @@
 import datetime
+import os
 
 import pytest
 
@@ -10,6 +11,7 @@ from shelfcast.operators.history import clean_history
 from shelfcast.plans.forecast_job import run_forecast, stored_forecast
 from shelfcast.plans.star_load import load_star, read_star, reset_star
 from shelfcast.schemas import EVALUATION, FACT_KEY, FORECAST_TABLE
+from shelfcast.sources.settled import checkpoint_folder
 from shelfcast.sources.tables import (
     create_table,
     load_parameters,
@@ -189,3 +191,13 @@ def test_merge_reads_each_side_once(spark, tmp_path):
         merged = star.merged_facts(old, new, mode)
         assert merged.count() == old.count()
         assert plan_of(merged).count("FileScan") == 2
+
+
+def test_jobs_leave_no_settled_tables(spark, tmp_path):
+    folder = checkpoint_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    run_forecast(sales(spark), str(tmp_path), FIRST_RUN, day("2017-02-01"))
+    run_forecast(sales(spark), str(tmp_path), FIRST_RUN, day("2017-02-01"), series=(1, 1))
+    reset_star(spark, f"{tmp_path}/star")
+    load_star(stored_forecast(spark, str(tmp_path), FIRST_RUN), f"{tmp_path}/star")
+    assert set(os.listdir(folder)) <= before
