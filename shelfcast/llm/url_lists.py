@@ -5,8 +5,8 @@ entry become intervals in which it is valid, and every capture is judged by the
 were valid on the day it was fetched, not by the lists of today.
 
 An entry names a host, which stands for its subdomains too, or a host and the start of a
-path. A capture looks for its own host, the domains above it and its first path segments,
-so the as-of join is an equality on the entry and on a time slice, and a comparison of days.
+path. A capture looks for its own host, the domains above it and the starts of its path, as
+deep as the deepest entry, so the as-of join is an equality on the entry and on a time slice, and a comparison of days.
 Slices spread a host with very many captures over the time in which they were made.
 """
 
@@ -19,7 +19,6 @@ ADD, REMOVE = "add", "remove"
 ALLOW, DENY = "allow", "deny"
 # Days of a time slice.
 SLICE_DAYS = 32
-PATH_DEPTH = 2
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
 ENDLESS = "9999-12-31"
@@ -35,21 +34,36 @@ def path_start(url: Column, depth: int) -> Column:
     return F.regexp_extract(url, PATH + "(" + "/[^/?#]+" * depth + ")", 1)
 
 
-def keys_of(url: Column, depth: int = PATH_DEPTH) -> Column:
-    """Every entry that would cover the URL: host, domains above it, starts of the path."""
+def keys_of(url: Column, depth: int) -> Column:
+    """Every entry that would cover the URL: host, domains above it, starts of the path.
+
+    Of the path at most ``depth`` segments.
+    """
     host = host_of(url)
     labels = F.split(host, r"\.")
     count = F.size(labels)
+    none = F.array().cast("array<int>")
     above = F.transform(
-        F.when(count > 2, F.sequence(F.lit(2), count - 1)).otherwise(F.array().cast("array<int>")),
+        F.when(count > 2, F.sequence(F.lit(2), count - 1)).otherwise(none),
         lambda at: F.array_join(F.slice(labels, at, count - at + 1), "."),
     )
-    starts = [path_start(url, d) for d in range(1, depth + 1)]
-    below = F.array(*[F.when(start != "", F.concat(host, start)) for start in starts])
+    # The first piece is the empty one before the first slash.
+    pieces = F.split(F.regexp_extract(url, PATH + "((?:/[^/?#]+)*)", 1), "/")
+    deepest = F.least(F.size(pieces) - 1, F.lit(depth))
+    below = F.transform(
+        F.when(deepest > 0, F.sequence(F.lit(1), deepest)).otherwise(none),
+        lambda at: F.concat(host, F.array_join(F.slice(pieces, 1, at + 1), "/")),
+    )
     keys = F.array_compact(F.concat(F.array(host), above, below))
     return F.when(host != "", keys).otherwise(F.array().cast("array<string>"))
 
 
+def depth_of(changes: DataFrame) -> int:
+    """Path segments of the deepest entry."""
+    slashes = F.length(F.regexp_replace("entry", "[^/]", ""))
+    return changes.agg(F.max(slashes)).first()[0] or 0
+
+
 def intervals(changes: DataFrame) -> DataFrame:
     """``list, entry, valid_from, valid_to``: days ``valid_from <= day < valid_to``.
 
@@ -77,7 +91,7 @@ def _slice(day: Column) -> Column:
     return F.floor(F.unix_date(day) / SLICE_DAYS).cast("int")
 
 
-def judge(captures: DataFrame, changes: DataFrame, depth: int = PATH_DEPTH) -> DataFrame:
+def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     """The captures with ``n_active, active, verdict, blocked``.
 
     ``captures`` has ``page_id, url, fetched``. ``active`` joins the entries that were valid
@@ -87,6 +101,7 @@ def judge(captures: DataFrame, changes: DataFrame, depth: int = PATH_DEPTH) -> D
     judged alike and all returned. Other columns do not matter and are not returned.
     """
     rows = captures.select("page_id", "url", "fetched")
+    depth = depth_of(changes)
     asked = rows.distinct().select(
         "page_id",
         "url",

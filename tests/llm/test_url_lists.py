@@ -125,3 +125,19 @@ def test_intervals(spark):
     assert ("bad.org", "2021-01-01", "9999-12-31") in spans
     assert ("twice.org", "2020-01-01", "2020-01-09") in spans
     assert ("same.org", "2020-01-01", "9999-12-31") in spans and len(spans) == 5
+
+
+def test_deep_entries_and_parent_domains(spark):
+    """Entries of any depth hold, with those of the domains above the host."""
+    start, seen = day("2020-01-01"), day("2020-06-01")
+    entries = ["org", "b.org", "a.b.org/1/2/3", "a.b.org/1/2/3/4/5", "a.b.org/1//3", "a.b.org/x/y/z"]
+    changes = [("deny", entry, "add", start) for entry in entries]
+    urls = ["https://a.b.org/1/2/3/4/5/6?q#f", "http://u@A.b.org:80/1/2/3", "http://a.b.org/1/2", "http://a.b.org/1//3"]
+    captures = spark.createDataFrame([(at, url, seen) for at, url in enumerate(urls)], CAPTURES)
+    rows = url_lists.judge(captures, spark.createDataFrame(changes, CHANGES)).collect()
+    assert {row["page_id"]: row["active"] for row in rows} == {
+        0: "deny:a.b.org/1/2/3,deny:a.b.org/1/2/3/4/5,deny:b.org",
+        1: "deny:a.b.org/1/2/3,deny:b.org",
+        2: "deny:b.org",
+        3: "deny:b.org",
+    }
