@@ -5,10 +5,16 @@ templates have it. A match of document place d and template place t votes for th
 d - t: a copy of the template puts its votes on one diagonal, a copy with words put in or
 left out on neighbouring ones. Neighbouring diagonals are merged into a span, and a span
 is verified by the share of the template's words that it covers.
+
+Templates are notices and, of whole licenses, overlapping passages that are each verified on
+their own, so that any part of a license is seen.
 """
 
 from __future__ import annotations
 
+import pkgutil
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +60,31 @@ TEMPLATES = (
         "without restriction",
     ),
 )
+# Notices of further families, by label.
+NOTICES = (
+    (
+        "agpl",
+        "this program is free software you can redistribute it and or modify it under the terms "
+        "of the gnu affero general public license as published by the free software foundation",
+    ),
+    ("agpl", "licensed under the gnu affero general public license version 3"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    (
+        "cc-by-sa",
+        "this work is licensed under a creative commons attribution sharealike 4 0 international "
+        "license",
+    ),
+    ("cc-by-sa", "licensed under cc by sa 4 0"),
+    ("isc", "released under the isc license"),
+    (
+        "epl",
+        "this program and the accompanying materials are made available under the terms of the "
+        "eclipse public license",
+    ),
+    ("lgpl", "licensed under the gnu lesser general public license"),
+)
+# Words of a passage of a license, and from one passage to the next.
+PASSAGE, STRIDE = 40, 20
 # Base phrases, by label.
 PHRASES = (
     ("apache", ("apache", "license")),
@@ -82,6 +113,41 @@ def _places(words: Column, beyond: int) -> Column:
     )
 
 
+def _shared(words: list[str], known: set, size: int = GRAM) -> float:
+    """Share of the words that lie in known k-grams."""
+    inside = set()
+    for place in range(len(words) - size + 1):
+        if tuple(words[place : place + size]) in known:
+            inside.update(range(place, place + size))
+    return len(inside) / len(words)
+
+
+@cache
+def passages() -> tuple[tuple[str, str], ...]:
+    """Overlapping passages of whole licenses, by label.
+
+    What a family shares with one before it in the file counts for that one alone.
+    """
+    data = pkgutil.get_data(__package__, "license_texts.txt").decode("utf-8")
+    out, known = [], {}
+    for text in data.split("# ")[1:]:
+        label, _, body = text.partition("\n")
+        words = body.split()
+        last = max(0, len(words) - PASSAGE)
+        others = set().union(*(grams for name, grams in known.items() if name != label))
+        for start in (*range(0, last, STRIDE), last):
+            passage = words[start : start + PASSAGE]
+            if _shared(passage, others) < MIN_COVER:
+                out.append((label, " ".join(passage)))
+        grams = zip(*(words[step:] for step in range(GRAM)))
+        known.setdefault(label, set()).update(grams)
+    return tuple(dict.fromkeys(out))
+
+
+def all_templates() -> tuple[tuple[str, str], ...]:
+    return (*TEMPLATES, *NOTICES, *passages())
+
+
 def template_grams(spark: SparkSession, templates=TEMPLATES, size: int = GRAM) -> DataFrame:
     """A row for every k-gram of every template; as many as the templates have words."""
     rows = []
@@ -177,17 +243,18 @@ def _base(rows: DataFrame) -> DataFrame:
     )
 
 
-def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
+def scan(docs: DataFrame, templates=None) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``.
 
     Base labels come from phrases of consecutive words; spans add theirs. Both are
     sorted, comma-joined, and empty without a license. ``score`` is the largest share of a
     template that a span covers, 1 with a base phrase, 0 without a label. A NULL text
-    counts as an empty one: no words, no labels. Rows that repeat an id are scanned each by
-    its own text; other columns play no part. An empty table gives an empty result.
+    counts as an empty one: no words, no labels. Without ``templates`` all notices and passages
+    are searched for. Rows that repeat an id are scanned each by its own text; other columns
+    play no part. An empty table gives an empty result.
     """
     seen = (
-        spans(docs, templates)
+        spans(docs, all_templates() if templates is None else templates)
         .groupBy("doc_id", HASH)
         .agg(F.collect_set("label").alias("more"), F.max("cover").alias("cover"))
         .select(F.col("doc_id").alias("_id"), F.col(HASH).alias("_hash"), "more", "cover")

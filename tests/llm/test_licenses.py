@@ -82,3 +82,22 @@ def test_spans_are_where_the_template_is(make_docs):
 def test_no_python_and_no_text_in_exchanges(documents):
     plan = licenses.scan(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_any_part_of_a_license(make_docs):
+    """Passages from the middle of licenses, at odd places, and families beyond the notices."""
+    wanted, texts = [], []
+    data = open(licenses.__file__.replace("licenses.py", "license_texts.txt")).read()
+    for text in data.split("# ")[1:]:
+        label, _, body = text.partition("\n")
+        words = body.split()
+        at = len(words) // 2 - 37
+        if label in ("apache", "bsd", "gpl", "mit", "mpl", "cc0", "artistic", "gfdl"):
+            wanted.append(label)
+            texts.append(FILL + " ".join(words[max(at, 0) :][:75]) + " " + FILL)
+    wanted += ["agpl", "lgpl", "cc-by-sa", "epl"]
+    texts += [text for label in wanted[-4:] for text in [dict(licenses.NOTICES)[label]]]
+    rows = licenses.scan(make_docs(texts)).collect()
+    got = {row["doc_id"]: row["labels"].split(",") for row in rows}
+    assert [(at, label) for at, label in enumerate(wanted) if label not in got[at]] == []
+    assert len(set(wanted)) == 12
