@@ -6,8 +6,8 @@ scored by how often it surrounds known entities rather than other tokens. Tokens
 confidence from the patterns around them and give it back, over some rounds. Tokens that end
 with high confidence, next to a pattern that many different seeds support, become spans.
 
-The graph counts distinct strings per pair of context words, so neither a common word nor
-many copies of a text make its tables large or its scores higher.
+The graph counts distinct strings beside each context word, so neither many copies of a text nor
+varied text behind one string make its scores higher.
 """
 
 from __future__ import annotations
@@ -172,51 +172,67 @@ def _score(kind: str, side: str) -> str:
     return f"_{kind}_{side}"
 
 
-def _patterns(pairs: DataFrame, side: str) -> DataFrame:
+def _seeds(strings: DataFrame, side: str) -> DataFrame:
+    """Different seeds of every kind beside each word on one side that has enough of one.
+
+    A seed counts once beside a word, whatever stands on its other side.
+    """
+    seeds = strings.where((F.col("kind") >= 0) & (F.col(side) != ""))
+    counts = [
+        F.sum((F.col("kind") == number).cast("long")).alias(f"seeds_{kind}_{side}")
+        for number, kind in enumerate(KINDS)
+    ]
+    counted = seeds.select(side, "kind", "value").distinct().groupBy(side).agg(*counts)
+    return counted.where(F.greatest(*[f"seeds_{kind}_{side}" for kind in KINDS]) >= MIN_SEEDS)
+
+
+def _patterns(others: DataFrame, seeds: DataFrame, side: str) -> DataFrame:
     """Score of every context word on one side, per kind.
 
     Known entities count whole, other tokens with their confidence so far, out of all
-    strings beside the word. Words with few different seeds of a kind have no score for it.
+    different strings beside the word. Words with few different seeds of a kind have no score
+    for it.
     """
-    seeds = {kind: F.sum(f"seeds_{kind}") for kind in KINDS}
-    strings = F.sum("others") + reduce(lambda a, b: a + b, seeds.values())
+    values = others.groupBy(side, "value").agg(*[F.max(kind).alias(kind) for kind in KINDS])
+    beside = values.groupBy(side).agg(
+        F.count("*").alias("_others"), *[F.sum(kind).alias(kind) for kind in KINDS]
+    )
+    known = [F.col(f"seeds_{kind}_{side}") for kind in KINDS]
+    strings = F.coalesce("_others", F.lit(0)) + reduce(lambda a, b: a + b, known)
     scores = [
-        F.when(
-            seeds[kind] >= MIN_SEEDS,
-            (seeds[kind] + F.sum(F.col("others") * F.col(kind))) / strings,
-        )
+        F.when(seen >= MIN_SEEDS, (seen + F.coalesce(kind, F.lit(0.0))) / strings)
         .otherwise(0.0)
         .alias(_score(kind, side))
-        for kind in KINDS
+        for kind, seen in zip(KINDS, known)
     ]
-    return pairs.where(F.col(side) != "").groupBy(side).agg(*scores)
+    return seeds.join(beside, side, "left").select(side, *scores)
 
 
 def confident_pairs(strings: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Pairs of context words with a confidence per kind, after scoring both ways.
+    """Pairs of context words of unknown strings with a confidence per kind.
 
     ``strings`` has the distinct ``left, right, kind, value``; kind -1 is no known entity.
+    Pairs of which neither word has enough seeds have no confidence and are left out.
     """
-    counts = [
-        F.sum((F.col("kind") == number).cast("long")).alias(f"seeds_{kind}")
-        for number, kind in enumerate(KINDS)
-    ]
-    others = F.sum((F.col("kind") == -1).cast("long")).alias("others")
-    pairs = strings.groupBy("left", "right").agg(others, *counts)
-    pairs = settle(pairs.withColumns({kind: F.lit(0.0) for kind in KINDS}))
-    columns = pairs.columns
+    seeds = {side: settle(_seeds(strings, side)) for side in ("left", "right")}
+    others = strings.where("kind = -1").select("left", "right", "value")
+    for side, words in seeds.items():
+        others = others.join(words.select(side, F.lit(True).alias(f"_has_{side}")), side, "left")
+    others = others.where("_has_left OR _has_right").select("left", "right", "value")
+    others = settle(others.withColumns({kind: F.lit(0.0) for kind in KINDS}))
+    columns = others.columns
     for _ in range(rounds):
-        scored = pairs
+        scored = others
         for side in ("left", "right"):
-            scored = scored.join(_patterns(pairs, side), side, "left")
+            scored = scored.join(_patterns(others, seeds[side], side), side, "left")
         confidence = {
             kind: 1
             - (1 - F.coalesce(_score(kind, "left"), F.lit(0.0)))
             * (1 - F.coalesce(_score(kind, "right"), F.lit(0.0)))
             for kind in KINDS
         }
-        pairs = settle(scored.withColumns(confidence).select(*columns))
-    return pairs
+        others = settle(scored.withColumns(confidence).select(*columns))
+    return others.groupBy("left", "right").agg(*[F.max(kind).alias(kind) for kind in KINDS])
 
 
 def _discovered(searched: DataFrame, threshold: float) -> DataFrame:
@@ -228,7 +244,7 @@ def _discovered(searched: DataFrame, threshold: float) -> DataFrame:
     chosen = F.coalesce(
         *[F.when(F.col(kind) == best, F.lit(number)) for number, kind in enumerate(KINDS)]
     )
-    trusted = pairs.where((best >= threshold) & (F.col("others") > 0)).select(
+    trusted = pairs.where(best >= threshold).select(
         "left", "right", chosen.alias("kind")
     )
     digits = F.length(F.regexp_replace("value", "[^0-9]", ""))

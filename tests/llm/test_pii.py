@@ -143,3 +143,11 @@ def test_overlapping_spans(make_docs):
 def test_no_python(documents):
     plan = pii.redact(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_one_seed_before_many_words_is_one_seed(spark):
+    rows = [f"contact: user1@mail.org word{chr(97 + at)} more" for at in range(20)]
+    rows += [f"word{chr(97 + at)} user1@mail.org thanks" for at in range(20)]
+    rows += ["contact: 2024-05-06 then", "see 2024-05-06 thanks"]
+    docs = spark.createDataFrame([(at, t, "en", "s", 0) for at, t in enumerate(rows)], DOCUMENTS)
+    assert all(row["base"] == row["spans"] for row in pii.personal_data(docs).collect())
