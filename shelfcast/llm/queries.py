@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm import (
     licenses,
+    manifest,
     mixing,
     neardup,
     phrases,
@@ -19,6 +20,7 @@ from shelfcast.llm import (
     subword,
     url_lists,
 )
+from shelfcast.llm.oracles import manifest_sql
 from shelfcast.llm.text import read_documents, sha256, whole
 
 
@@ -149,6 +151,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_documents(spark, sf_dir))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = manifest.manifest(read_documents(spark, sf_dir))
+    end = manifest.folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+        end.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_phrases": op1_phrases,
@@ -161,6 +176,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_shard": op8_shard,
         "op9_secrets": op9_secrets,
         "op10_licenses": op10_licenses,
+        "op11_manifest": op11_manifest,
     }
 
 
@@ -377,4 +393,11 @@ FROM worded LEFT JOIN based USING (doc_id) LEFT JOIN both_labels USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality": OP2_SQL, "op3_url_lists": OP3_SQL, "op4_neardup": OP4_SQL, "op6_mix": OP6_SQL, "op10_licenses": OP10_SQL}
+    return {
+        "op2_quality": OP2_SQL,
+        "op3_url_lists": OP3_SQL,
+        "op4_neardup": OP4_SQL,
+        "op6_mix": OP6_SQL,
+        "op10_licenses": OP10_SQL,
+        "op11_manifest": manifest_sql(),
+    }

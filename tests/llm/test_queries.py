@@ -21,6 +21,7 @@ COLUMNS = {
     "op8": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op9": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op10": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
+    "op11": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
 
@@ -35,7 +36,7 @@ def duck(sf_dir):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
