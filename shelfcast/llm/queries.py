@@ -12,6 +12,7 @@ from shelfcast.llm import (
     manifest,
     mixing,
     neardup,
+    packing,
     phrases,
     pii,
     quality,
@@ -91,11 +92,11 @@ def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop(neardup.TEXT_HASH)
 
 
-def model_path() -> str:
+def model_path(name: str = "piece_bpe_32k.model") -> str:
     """Vocabulary of the queries. The operators take any path."""
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def op5_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,6 +165,11 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return packing.pack(docs, model_path("byte_bpe_50k.json"), with_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_phrases": op1_phrases,
@@ -177,6 +183,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secrets": op9_secrets,
         "op10_licenses": op10_licenses,
         "op11_manifest": op11_manifest,
+        "op12_packing": op12_packing,
     }
 
 
