@@ -1,63 +1,83 @@
-"""Token ids of a byte-level vocabulary, equal parts of texts encoded once.
+"""Token ids of a byte-level vocabulary, plain texts by the faster of two libraries.
 
-The vocabulary's splitting pattern never joins two characters across a blank that stands alone
-between two characters that are no white space: the blank begins what follows. A text may
-therefore be cut before every such blank, and the ids of its parts, joined, are its ids. Most
-parts are words that come again, so that the library sees each of them once.
+The vocabulary is a ``tokenizers`` file, and that library defines the ids. ``tiktoken`` gives
+the same ids from the same vocabulary some five times as fast where both see the same words.
+Texts go to it if they hold no special string, no character whose class may differ between the
+libraries' Unicode tables, and no very long run without white space, which it merges slowly.
+All other texts go to ``tokenizers``.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from itertools import chain
 
 import numpy as np
 
-# Printable ASCII and the letters and digits of all scripts are no white space anywhere.
-_SOLID = r"[!-~\w]"
-_LOOSE_BLANK = re.compile(rf"(?<!{_SOLID}) | (?!{_SOLID})")
-_CUT = re.compile(rf"(?<={_SOLID}) (?={_SOLID})")
-# Parts that are remembered at most, and the longest of them.
-REMEMBERED, REMEMBERED_LENGTH = 1 << 18, 48
+# The splitting pattern of byte-level vocabularies.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Characters whose classes have been the same in all versions of Unicode for twenty years:
+# ASCII, Latin, Greek and Cyrillic letters, common punctuation, kana and the older ideographs.
+_STABLE = (
+    r"\x00-\x7F -ȗΑ-ΡΣ-ώА-я"
+    r"‐-‧‰-›€、-〃ぁ-ゔァ-ヺ一-龥"
+)
+_UNSURE = re.compile(rf"[^{_STABLE}]")
+_LONG_RUN = re.compile(r"\S{1000}")
 
 
-def parts_of(text: str) -> list[str]:
-    """The text cut at the safe blanks, which are left out."""
-    if _LOOSE_BLANK.search(text) is None:
-        return text.split(" ")
-    return _CUT.split(text)
+def _shown_bytes() -> dict[str, int]:
+    """The byte that each character of a vocabulary file stands for."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = sorted(set(range(256)) - set(plain))
+    shown = {chr(byte): byte for byte in plain}
+    return shown | {chr(0x100 + at): byte for at, byte in enumerate(others)}
+
+
+def _ranks(vocabulary: dict) -> dict[bytes, int] | None:
+    """Ids of byte strings; None unless a lower id always means an earlier merge."""
+    model, shown = vocabulary["model"], _shown_bytes()
+    ids = model["vocab"]
+    pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+    made = [ids[left + right] for left, right in pairs]
+    special = {token["content"] for token in vocabulary["added_tokens"]}
+    split = vocabulary["pre_tokenizer"] or {}
+    plain = split.get("type") == "ByteLevel" and not split["add_prefix_space"] and split["use_regex"]
+    if not plain or vocabulary["normalizer"] or vocabulary["post_processor"] or made != sorted(set(made)):
+        return None
+    return {bytes(shown[c] for c in token): id_ for token, id_ in ids.items() if token not in special}
 
 
 class ByteEncoder:
-    """Ids of whole texts, as the library gives them without special tokens put in."""
+    """Ids of whole texts, as ``tokenizers`` gives them without special tokens put in."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, list[int]] = {}
+        with open(path, encoding="utf-8") as file:
+            vocabulary = json.load(file)
+        self._special = [token["content"] for token in vocabulary["added_tokens"]]
+        self._library = Tokenizer.from_file(path)
+        ranks = _ranks(vocabulary)
+        self._fast = ranks and tiktoken.Encoding(
+            "plain texts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+
+    def plain(self, text: str) -> bool:
+        """Whether the libraries agree on the text."""
+        if self._fast is None or any(special in text for special in self._special):
+            return False
+        return (text.isascii() or not _UNSURE.search(text)) and not _LONG_RUN.search(text)
 
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [one.ids for one in encoded]
+    def _one(self, text: str) -> np.ndarray:
+        if self.plain(text):
+            return np.array(self._fast.encode_ordinary(text), np.uint32)
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [parts_of(text) for text in texts]
-        # The first part of a text has no blank before it.
-        heads = self._library([parts[0] for parts in cut])
-        wanted = {part for parts in cut for part in parts[1:]}
-        if len(self._known) + len(wanted) > REMEMBERED:
-            self._known.clear()
-        known = self._known
-        new = [part for part in wanted if part not in known]
-        known.update(zip(new, self._library([" " + part for part in new])))
-        out = [
-            np.fromiter(chain(head, chain.from_iterable(map(known.__getitem__, parts[1:]))), np.uint32)
-            for head, parts in zip(heads, cut)
-        ]
-        for part in new:
-            if len(part) > REMEMBERED_LENGTH:
-                del known[part]
-        return out
+        """The ids of each text; equal texts are encoded once."""
+        known = {text: self._one(text) for text in dict.fromkeys(texts)}
+        return [known[text] for text in texts]

@@ -15,13 +15,19 @@ def differenced(sizes: np.ndarray, windows: int) -> np.ndarray:
     smallest of the other, until one is left. Ties go to the earlier one, so reruns agree.
     """
     count = len(sizes)
-    heap, merged, nodes = [], [], count
-    for item, size in enumerate(sizes.tolist()):
+    order = np.argsort(-sizes, kind="stable")
+    # Merges of single sizes fill one window each until all windows have one.
+    first = order[:windows]
+    sums, held = np.zeros(windows, np.int64), np.full(windows, -1)
+    sums[: len(first)], held[: len(first)] = sizes[first], first
+    sums -= sums[-1]
+    heap, merged, nodes = [(-int(sums[0]), 0, sums, held)], [], count
+    for serial, item in enumerate(order[windows:].tolist(), 1):
         sums, held = np.zeros(windows, np.int64), np.full(windows, -1)
-        sums[0], held[0] = size, item
-        heap.append((-size if windows > 1 else 0, item, sums, held))
+        sums[0], held[0] = sizes[item], item
+        heap.append((-int(sums[0]) if windows > 1 else 0, serial, sums, held))
     heapq.heapify(heap)
-    serial = count
+    serial = len(heap)
     while len(heap) > 1:
         _, _, sums, held = heapq.heappop(heap)
         _, _, other, others = heapq.heappop(heap)
@@ -36,10 +42,8 @@ def differenced(sizes: np.ndarray, windows: int) -> np.ndarray:
         sums, held = sums[order] - sums[order[-1]], held[order]
         heapq.heappush(heap, (-int(sums[0]), serial, sums, held))
         serial += 1
-    window = np.full(nodes, -1)
-    if heap:
-        held = heap[0][3]
-        window[held[held >= 0]] = np.flatnonzero(held >= 0)
+    window, held = np.full(nodes, -1), heap[0][3]
+    window[held[held >= 0]] = np.flatnonzero(held >= 0)
     for ones, others in reversed(merged):
         # Windows of nodes made last are known first.
         nodes -= len(ones)
