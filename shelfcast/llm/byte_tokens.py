@@ -20,8 +20,8 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 # Characters whose classes have been the same in all versions of Unicode for twenty years:
 # ASCII, Latin, Greek and Cyrillic letters, common punctuation, kana and the older ideographs.
 _STABLE = (
-    r"\x00-\x7F -ȗΑ-ΡΣ-ώА-я"
-    r"‐-‧‰-›€、-〃ぁ-ゔァ-ヺ一-龥"
+    r"\x00-\x7F\u00A0-\u0217\u0391-\u03A1\u03A3-\u03CE\u0410-\u044F"
+    r"\u2010-\u2027\u2030-\u203A\u20AC\u3001-\u3003\u3041-\u3094\u30A1-\u30FA\u4E00-\u9FA5"
 )
 _UNSURE = re.compile(rf"[^{_STABLE}]")
 _LONG_RUN = re.compile(r"\S{1000}")
