@@ -20,6 +20,7 @@ from shelfcast.llm import (
     sharding,
     subword,
     url_lists,
+    whitening,
 )
 from shelfcast.llm.oracles import manifest_sql
 from shelfcast.llm.text import read_documents, sha256, whole
@@ -170,6 +171,14 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, model_path("byte_bpe_50k.json"), with_ids=False)
 
 
+EMBEDDINGS = "vec_id bigint, embedding array<float>"
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.schema(EMBEDDINGS).parquet(f"{sf_dir}/embeddings.parquet")
+    return whitening.components_of(*whitening.whiten(rows))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_phrases": op1_phrases,
@@ -184,6 +193,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_licenses": op10_licenses,
         "op11_manifest": op11_manifest,
         "op12_packing": op12_packing,
+        "op13_whitening": op13_whitening,
     }
 
 
