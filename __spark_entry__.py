@@ -34,7 +34,7 @@ from shelfcast.operators.history import (
 )
 from shelfcast.operators.rollups import in_order, sales_by_month, sales_by_year
 from shelfcast.plans.forecast_job import run_prediction
-from shelfcast.plans.star_load import load_star, read_star, reset_star
+from shelfcast.plans.star_load import load_star, read_reports, read_star, reset_star
 from shelfcast.schemas import EVALUATION, FORECAST_TABLE, PARAMETERS
 from shelfcast.sources import views
 from shelfcast.sources.sales import read_lineitem, read_sales_csv, sales_from_lineitem
@@ -58,6 +58,8 @@ TRAINING_DATE = datetime.date(2001, 12, 31)
 EVALUATE_BEFORE = datetime.date(2001, 1, 1)
 # An earlier training saw the sales before this day.
 EARLIER_TRAINING = datetime.date(2001, 1, 1)
+# The second load of uneven rows begins here.
+SECOND_FROM = datetime.date(2000, 1, 1)
 # The first load of the dimensions saw the sales before this day.
 FIRST_LOAD = datetime.date(1995, 1, 10)
 DIGITS = 4
@@ -347,6 +349,52 @@ def _query_star_loaded(spark, sf_dir):
     return read_star(spark, folder)["fact_sales"]
 
 
+def _uneven_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as forecast rows: most keys come again, some stores and items are missing."""
+    key = (F.col("l_partkey") % 5 + 1).cast("int")
+    rows = _lineitem(spark, sf_dir).withColumn("sold", F.col("l_quantity").cast("int"))
+    return rows.select(
+        F.col("l_shipdate").cast("date").alias("ds"),
+        F.when(F.col("sold") % 11 != 0, (F.col("l_suppkey") % 5 + 1).cast("int")).alias("store"),
+        F.when(F.col("sold") % 13 != 0, key).alias("item"),
+        F.col("l_quantity").alias("y"),
+        F.col("l_partkey").cast("double").alias("yhat"),
+        (F.col("l_partkey") + 1).cast("double").alias("yhat_upper"),
+        (F.col("l_partkey") - 1).cast("double").alias("yhat_lower"),
+    )
+
+
+def _uneven_loads(spark: SparkSession, sf_dir: str, mode: str, add_members: bool) -> str:
+    """A first load without the last item and the last years, and a second one that has them."""
+    rows, folder = settle(_uneven_rows(spark, sf_dir)), _new_folder(spark)
+    reset_star(spark, folder)
+    first = (F.col("ds") < F.lit(EARLIER_TRAINING)) & (F.col("item").isNull() | (F.col("item") < 5))
+    load_star(rows.where(first), folder, load="first")
+    later = rows.where(F.col("ds") >= F.lit(SECOND_FROM))
+    load_star(later, folder, mode, "second", ("yhat",), add_members)
+    return folder
+
+
+def _query_star_rejects(spark, sf_dir):
+    """Rows that the second load refused, as it may not add members."""
+    folder = _uneven_loads(spark, sf_dir, "append", add_members=False)
+    return read_reports(spark, folder)["rejected_facts"].where("load = 'second'")
+
+
+def _query_star_uneven(mode: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _uneven_loads(spark, sf_dir, mode, add_members=True)
+        return read_star(spark, folder)["fact_sales"]
+
+    return query
+
+
+def _query_star_repeats(spark, sf_dir):
+    """Keys that came again within the second load."""
+    folder = _uneven_loads(spark, sf_dir, "replace", add_members=True)
+    return read_reports(spark, folder)["repeated_facts"].where("load = 'second'")
+
+
 def _query_months_in_order(spark, sf_dir):
     """The month rollup with its place in the sorted output."""
     rows = in_order(sales_by_month(_sales(spark, sf_dir)), "month").coalesce(1)
@@ -404,6 +452,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "evaluations_stored": _query_evaluations_stored,
         "evaluate_from_view": _query_evaluate_from_view,
         "star_loaded": _query_star_loaded,
+        "star_rejects": _query_star_rejects,
+        "star_uneven_append": _query_star_uneven("append"),
+        "star_uneven_replace": _query_star_uneven("replace"),
+        "star_repeats": _query_star_repeats,
         "months_in_order": _query_months_in_order,
     } | _llm_queries()
 
@@ -527,6 +579,68 @@ UNION ALL
 SELECT * FROM {other} f WHERE NOT EXISTS (SELECT 1 FROM {kept} k WHERE {_SAME_KEY})"""
 
 
+# Two uneven loads. Ids of the second one follow those of the first.
+_UNEVEN_SQL = f"""
+uneven AS (
+  SELECT CAST(l_shipdate AS DATE) AS ds,
+         CASE WHEN CAST(l_quantity AS INT) % 11 <> 0 THEN CAST(l_suppkey % 5 + 1 AS INT) END AS store,
+         CASE WHEN CAST(l_quantity AS INT) % 13 <> 0 THEN CAST(l_partkey % 5 + 1 AS INT) END AS item,
+         l_quantity AS y, CAST(l_partkey AS DOUBLE) AS yhat
+  FROM lineitem),
+first_rows AS (
+  SELECT * FROM uneven WHERE ds < DATE '{EARLIER_TRAINING}' AND (item IS NULL OR item < 5)),
+second_rows AS (SELECT * FROM uneven WHERE ds >= DATE '{SECOND_FROM}'),
+known_stores AS (
+  SELECT store, MIN(load) AS load FROM (
+    SELECT store, 1 AS load FROM first_rows UNION ALL SELECT store, 2 FROM second_rows) s
+  WHERE store IS NOT NULL GROUP BY store),
+known_items AS (
+  SELECT item, MIN(load) AS load FROM (
+    SELECT item, 1 AS load FROM first_rows UNION ALL SELECT item, 2 FROM second_rows) s
+  WHERE item IS NOT NULL GROUP BY item),
+uneven_stores AS (
+  SELECT store, CAST(ROW_NUMBER() OVER (ORDER BY load, store) AS INT) AS store_id FROM known_stores),
+uneven_items AS (
+  SELECT item, CAST(ROW_NUMBER() OVER (ORDER BY load, item) AS INT) AS item_id FROM known_items),
+first_facts AS (
+  SELECT store_id, ds AS date_id, item_id, MIN(ROW(y, yhat)) AS m, COUNT(*) AS n
+  FROM first_rows JOIN uneven_stores USING (store) JOIN uneven_items USING (item)
+  WHERE ds IS NOT NULL GROUP BY store_id, ds, item_id),
+second_facts AS (
+  SELECT store_id, ds AS date_id, item_id, arg_min(ROW(y, yhat), ROW(yhat, y)) AS early,
+         arg_max(ROW(y, yhat), ROW(yhat, y)) AS late, COUNT(*) AS n
+  FROM second_rows JOIN uneven_stores USING (store) JOIN uneven_items USING (item)
+  WHERE ds IS NOT NULL GROUP BY store_id, ds, item_id)"""
+
+
+def _uneven_facts_sql(chosen: str) -> str:
+    return f"""WITH {_UNEVEN_SQL},
+both_loads AS (
+  SELECT store_id, date_id, item_id, {chosen} AS m
+  FROM first_facts FULL JOIN second_facts USING (store_id, date_id, item_id))
+SELECT store_id, date_id, item_id, m[1] AS sales, m[2] AS sales_predicted,
+       m[2] + 1 AS sales_predicted_upper, m[2] - 1 AS sales_predicted_lower
+FROM both_loads"""
+
+
+_REJECTS_SQL = f"""WITH {_UNEVEN_SQL},
+judged AS (
+  SELECT *, array_to_string([x FOR x IN [
+           CASE WHEN store IS NULL THEN 'store is missing'
+                WHEN store NOT IN (SELECT store FROM known_stores WHERE load = 1)
+                THEN 'store is unknown' END,
+           CASE WHEN item IS NULL THEN 'item is missing'
+                WHEN item NOT IN (SELECT item FROM known_items WHERE load = 1)
+                THEN 'item is unknown' END,
+           CASE WHEN ds IS NULL THEN 'date is missing'
+                WHEN ds NOT IN (SELECT ds FROM first_rows WHERE ds IS NOT NULL)
+                THEN 'date is unknown' END] IF x IS NOT NULL], ', ') AS reason
+  FROM second_rows)
+SELECT ds, store, item, y, yhat, yhat + 1 AS yhat_upper, yhat - 1 AS yhat_lower, reason,
+       'second' AS load
+FROM judged WHERE reason <> ''"""
+
+
 def _dim_increment_sql(key: str) -> str:
     return f"""
 WITH {_WIDE_SALES_SQL},
@@ -662,6 +776,12 @@ FROM forecast, (VALUES (DATE '{TRAINING_DATE}'), (DATE '{EARLIER_TRAINING}')) v(
         "evaluations_stored": f"WITH {_FORECAST_SQL} {_SCORES_SQL.format(condition='')}",
         "evaluate_from_view": f"WITH {_FORECAST_SQL} {_SCORES_SQL.format(condition='')}",
         "star_loaded": f"WITH {_TWO_FACTS_SQL} {_merge_sql('fact', 'stored_fact')}",
+        "star_rejects": _REJECTS_SQL,
+        "star_uneven_append": _uneven_facts_sql("COALESCE(first_facts.m, early)"),
+        "star_uneven_replace": _uneven_facts_sql("COALESCE(late, first_facts.m)"),
+        "star_repeats": f"""WITH {_UNEVEN_SQL}
+SELECT store_id, date_id, item_id, n - 1 AS left_out, 'second' AS load
+FROM second_facts WHERE n > 1""",
         "months_in_order": f"""WITH {_SALES_SQL}
 SELECT {_MONTHS}, ROW_NUMBER() OVER (ORDER BY date_trunc('month', date)) - 1 AS place
 FROM sales_rows GROUP BY date_trunc('month', date)""",

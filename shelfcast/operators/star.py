@@ -5,11 +5,11 @@ Rows are forecast rows: ``ds, store, item, y, yhat, yhat_upper, yhat_lower``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.operators.numbering import with_ids
-from shelfcast.schemas import DIM_DATE, FACT_KEY, FACT_SALES
+from shelfcast.schemas import DIM_DATE, FACT_KEY, FACT_SALES, FORECAST, REPEATED_FACTS
 
 MODES = ("append", "replace")
 
@@ -81,6 +81,66 @@ def fact_sales(rows: DataFrame, stores: DataFrame, items: DataFrame) -> DataFram
     ).to(FACT_SALES)
 
 
+def identified(
+    rows: DataFrame, stores: DataFrame, items: DataFrame, dates: DataFrame
+) -> DataFrame:
+    """Rows with ``store_id, item_id, date_id`` and ``reason``, NULL for a row that can be a fact.
+
+    No row is lost: one with a missing key, or with a key that its dimension does not hold,
+    says so in ``reason``, and names every such key. The dimensions are joined from the left
+    side, so a missing key that many rows share is split at run time like any hot key.
+    """
+    sides = (
+        ("store", "store_id", stores.select("store", F.col("id").alias("store_id"))),
+        ("item", "item_id", items.select("item", F.col("id").alias("item_id"))),
+        ("ds", "date_id", dates.select(F.col("date").alias("ds"), F.col("date").alias("date_id"))),
+    )
+    faults = []
+    for key, found, members in sides:
+        name = found.removesuffix("_id")
+        rows = rows.join(members, key, "left")
+        faults.append(F.when(F.col(key).isNull(), F.lit(f"{name} is missing")))
+        unknown = F.col(key).isNotNull() & F.col(found).isNull()
+        faults.append(F.when(unknown, F.lit(f"{name} is unknown")))
+    reason = F.array_join(F.array_compact(F.array(*faults)), ", ")
+    return rows.withColumn("reason", F.when(reason != "", reason))
+
+
+def refused(rows: DataFrame) -> DataFrame:
+    """Forecast rows of ``identified`` that cannot be facts, with their ``reason``."""
+    return rows.where("reason IS NOT NULL").select(*FORECAST.names, "reason")
+
+
+def _place(order: tuple[str, ...]) -> Column:
+    """Where a row stands in the declared order; rows that tie there go by their measures."""
+    measures = [name for name in FORECAST.names if name not in ("ds", "store", "item")]
+    return F.struct(*[F.col(name) for name in order], *[F.col(name) for name in measures])
+
+
+def distinct_facts(rows: DataFrame, order: tuple[str, ...] = (), last: bool = False) -> DataFrame:
+    """``identified`` rows as facts, one for a key: the first of ``order``, or the last.
+
+    ``rows`` is the number of rows that had the key. Each task reduces its own rows of a key
+    before the shuffle, so a key that holds a large share of a batch moves once for a task.
+    """
+    measures = F.struct(
+        F.col("y").alias("sales"),
+        F.col("yhat").alias("sales_predicted"),
+        F.col("yhat_upper").alias("sales_predicted_upper"),
+        F.col("yhat_lower").alias("sales_predicted_lower"),
+    )
+    pick = F.max_by if last else F.min_by
+    one = rows.where("reason IS NULL").groupBy(*FACT_KEY)
+    taken = one.agg(pick(measures, _place(order)).alias("m"), F.count(F.lit(1)).alias("rows"))
+    return taken.select(*FACT_KEY, "m.*", "rows")
+
+
+def repeats(facts: DataFrame) -> DataFrame:
+    """Keys of ``distinct_facts`` that more than one row had, with the number of rows left out."""
+    left_out = (F.col("rows") - 1).alias("left_out")
+    return facts.where("rows > 1").select(*FACT_KEY, left_out).to(REPEATED_FACTS)
+
+
 def new_facts(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Rows of the batch whose key is not stored yet: the first write of a key wins."""
     return batch.join(stored.select(*FACT_KEY), list(FACT_KEY), "left_anti").select(batch.columns)

@@ -4,20 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from shelfcast.operators.star import (
     MODES,
+    distinct_facts,
     fact_orphans,
-    fact_sales,
+    identified,
     merged_facts,
     new_dates,
     new_facts,
     new_items,
     new_stores,
+    refused,
     repeated_keys,
+    repeats,
+)
+from shelfcast.schemas import (
+    DIM_DATE,
+    DIM_ITEM,
+    DIM_STORE,
+    FACT_KEY,
+    FACT_SALES,
+    FORECAST,
+    REJECTED_FACTS,
+    REPEATED_FACTS,
 )
-from shelfcast.schemas import DIM_DATE, DIM_ITEM, DIM_STORE, FACT_KEY, FACT_SALES
 from shelfcast.sources.settled import scratch, settle
 from shelfcast.sources.tables import replace_partitions
 
@@ -27,6 +39,9 @@ TABLES = {
     "dim_date": DIM_DATE,
     "fact_sales": FACT_SALES,
 }
+# What loads left out, in a folder for each load.
+REPORTS = {"rejected_facts": REJECTED_FACTS, "repeated_facts": REPEATED_FACTS}
+LOAD = "load"
 # Facts are stored by calendar year and a bucket of stores: a load covers years of history,
 # and one of few stores rewrites few buckets.
 FACT_PARTITIONS = ("year", "store_bucket")
@@ -42,6 +57,9 @@ def reset_star(spark: SparkSession, folder: str) -> None:
         else:
             writer = empty.write
         writer.mode("overwrite").parquet(f"{folder}/{name}")
+    for name, schema in REPORTS.items():
+        empty = spark.createDataFrame([], StructType([*schema, StructField(LOAD, StringType())]))
+        empty.write.mode("overwrite").partitionBy(LOAD).parquet(f"{folder}/{name}")
 
 
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -53,25 +71,50 @@ def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {**star, "fact_sales": _stored_facts(spark, folder).drop(*FACT_PARTITIONS)}
 
 
-def load_star(rows: DataFrame, folder: str, mode: str = "append") -> None:
+def read_reports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """What the loads left out, with the name of the ``load``."""
+    named = {
+        name: StructType([*schema, StructField(LOAD, StringType())])
+        for name, schema in REPORTS.items()
+    }
+    return {name: spark.read.schema(s).parquet(f"{folder}/{name}") for name, s in named.items()}
+
+
+def load_star(
+    rows: DataFrame,
+    folder: str,
+    mode: str = "append",
+    load: str = "batch",
+    order: tuple[str, ...] = (),
+    add_members: bool = True,
+) -> None:
     """Load forecast rows into the stored star schema.
 
-    Dimensions gain the members they miss and never change an id. Facts follow
-    ``mode``, see ``merged_facts``. ``rows`` should be a stored forecast, as each table
-    reads it once more; the dimension passes read single columns of it.
+    Dimensions gain the members they miss and never change an id; without ``add_members``
+    they stay as they are. Facts follow ``mode``, see ``merged_facts``. Of the rows of one key,
+    ``append`` takes the first and ``replace`` the last by the columns ``order``, as if the rows
+    came one after the other; rows that tie there go by their measures. Rows with a missing or
+    unknown key go to ``rejected_facts`` with the reason, keys that came again to
+    ``repeated_facts``; both keep the report of the ``load`` of that name until it is repeated.
+    ``rows`` should be a stored forecast: it is read once for the members, which only takes its
+    three key columns, and once for the facts.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     spark = rows.sparkSession
-    star = read_star(spark, folder)
-    _append(new_stores(star["dim_store"], rows), f"{folder}/dim_store")
-    _append(new_items(star["dim_item"], rows), f"{folder}/dim_item")
-    _append(new_dates(star["dim_date"], rows), f"{folder}/dim_date")
-
-    star = read_star(spark, folder)
     path = f"{folder}/fact_sales"
+    wanted = list(dict.fromkeys([*FORECAST.names, *order]))
     with scratch(spark) as work:
-        batch = settle(fact_sales(rows, star["dim_store"], star["dim_item"]), work)
+        if add_members:
+            star, members = read_star(spark, folder), settle(_members(rows), work)
+            _append(new_stores(star["dim_store"], members), f"{folder}/dim_store")
+            _append(new_items(star["dim_item"], members), f"{folder}/dim_item")
+            _append(new_dates(star["dim_date"], members), f"{folder}/dim_date")
+        star = read_star(spark, folder)
+        known = [star[name] for name in ("dim_store", "dim_item", "dim_date")]
+        found = settle(identified(rows.select(*wanted), *known), work)
+        kept = settle(distinct_facts(found, order, last=mode == "replace"), work)
+        batch = kept.drop("rows").to(FACT_SALES)
         stored = _facts_beside(batch, folder)
         if mode == "append":
             added = _laid_out(new_facts(stored, batch))
@@ -80,6 +123,8 @@ def load_star(rows: DataFrame, folder: str, mode: str = "append") -> None:
             # Written beside the old files and swapped in when all tasks are done.
             merged = _laid_out(merged_facts(stored, batch, mode))
             replace_partitions(merged, path, *FACT_PARTITIONS)
+        for name, report in (("rejected_facts", refused(found)), ("repeated_facts", repeats(kept))):
+            report.write.mode("overwrite").parquet(f"{folder}/{name}/{LOAD}={load}")
 
 
 def check_star(spark: SparkSession, folder: str) -> dict[str, int]:
@@ -104,6 +149,21 @@ def check_star(spark: SparkSession, folder: str) -> dict[str, int]:
     return {**faults, "orphans of fact_sales": orphans.count()}
 
 
+def _members(rows: DataFrame) -> DataFrame:
+    """The different stores, items and days of the rows, each in a row of its own."""
+    keys = {"store": F.col("store"), "item": F.col("item"), "ds": F.unix_date("ds")}
+    each = [
+        F.struct(F.lit(kind).alias("kind"), key.cast("int").alias("key"))
+        for kind, key in keys.items()
+    ]
+    distinct = rows.select(F.explode(F.array(*each)).alias("member")).distinct()
+    of_kind = {kind: F.when(F.col("member.kind") == kind, F.col("member.key")) for kind in keys}
+    days = F.date_from_unix_date(of_kind["ds"])
+    return distinct.select(
+        of_kind["store"].alias("store"), of_kind["item"].alias("item"), days.alias("ds")
+    )
+
+
 def _append(members: DataFrame, path: str) -> None:
     members.write.mode("append").parquet(path)
 

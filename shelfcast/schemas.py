@@ -84,3 +84,7 @@ FACT_SALES = _schema(
     sales_predicted_upper=_DOUBLE,
     sales_predicted_lower=_DOUBLE,
 )
+
+# What a load did not take: forecast rows that cannot be facts, and keys that came again.
+REJECTED_FACTS = StructType([*FORECAST, StructField("reason", StringType())])
+REPEATED_FACTS = _schema(store_id=_INT, date_id=_DATE, item_id=_INT, left_out=_LONG)

@@ -15,7 +15,7 @@ from shelfcast.operators.history import of_series
 from shelfcast.operators.rollups import in_order, sales_by_month, sales_by_year
 from shelfcast.operators.star import MODES
 from shelfcast.plans.forecast_job import run_forecast, scores_of, stored_forecast
-from shelfcast.plans.star_load import check_star, load_star, reset_star
+from shelfcast.plans.star_load import check_star, load_star, read_reports, reset_star
 from shelfcast.sources.sales import read_sales_csv
 
 date = datetime.date.fromisoformat
@@ -98,7 +98,10 @@ def main(arguments: list[str] | None = None) -> None:
             raise SystemExit("the star schema has faults")
     else:
         rows = stored_forecast(spark, options.folder, options.training_date)
-        load_star(rows, star_folder, options.mode)
+        load = str(options.training_date)
+        load_star(rows, star_folder, options.mode, load)
+        for name, report in read_reports(spark, star_folder).items():
+            print(f"{name}: {report.where(report['load'] == load).count()}")
 
 
 if __name__ == "__main__":

@@ -9,7 +9,14 @@ from shelfcast.operators.evaluation import evaluate, stamp
 from shelfcast.operators.frame import extended_history
 from shelfcast.operators.history import clean_history
 from shelfcast.plans.forecast_job import run_forecast, stored_forecast
-from shelfcast.plans.star_load import load_star, read_star, reset_star
+from shelfcast.plans.star_load import (
+    _members,
+    check_star,
+    load_star,
+    read_reports,
+    read_star,
+    reset_star,
+)
 from shelfcast.schemas import EVALUATION, FACT_KEY, FORECAST_TABLE
 from shelfcast.sources.settled import checkpoint_folder
 from shelfcast.sources.tables import (
@@ -201,3 +208,47 @@ def test_jobs_leave_no_settled_tables(spark, tmp_path):
     reset_star(spark, f"{tmp_path}/star")
     load_star(stored_forecast(spark, str(tmp_path), FIRST_RUN), f"{tmp_path}/star")
     assert set(os.listdir(folder)) <= before
+
+
+def messy(spark):
+    rows = baseline(spark, FIRST_RUN, days=20).drop("training_date")
+    bare = rows.limit(3).selectExpr("ds", "int(NULL) AS store", "item", "y", "yhat", "yhat_upper", "yhat_lower")
+    return rows.unionByName(rows).unionByName(bare), rows
+
+
+def test_load_keeps_what_it_cannot_store(spark, tmp_path):
+    """Repeats and missing keys in a batch leave a sound star and a report of each load."""
+    folder, (batch, rows) = str(tmp_path), messy(spark)
+    reset_star(spark, folder)
+    assert all(report.count() == 0 for report in read_reports(spark, folder).values())
+    for mode in ("append", "replace", "append"):
+        load_star(batch, folder, mode, load="batch one")
+        assert read_star(spark, folder)["fact_sales"].count() == rows.count()
+        assert sum(check_star(spark, folder).values()) == 0
+        reports = read_reports(spark, folder)
+        assert reports["rejected_facts"].groupBy("reason", "load").count().collect() == [
+            ("store is missing", "batch one", 3)
+        ]
+        assert reports["repeated_facts"].agg({"left_out": "sum"}).first()[0] == rows.count()
+    load_star(rows, folder, load="batch two")
+    assert read_reports(spark, folder)["rejected_facts"].count() == 3
+    load_star(rows, folder, load="batch one")
+    assert all(report.count() == 0 for report in read_reports(spark, folder).values())
+
+
+def test_load_that_may_not_add_members(spark, tmp_path):
+    folder, (_, rows) = str(tmp_path), messy(spark)
+    reset_star(spark, folder)
+    load_star(rows.where("store = 1"), folder)
+    load_star(rows, folder, "replace", "second", add_members=False)
+    star_now = read_star(spark, folder)
+    assert star_now["dim_store"].count() == 1 and sum(check_star(spark, folder).values()) == 0
+    reasons = read_reports(spark, folder)["rejected_facts"].select("reason").distinct().collect()
+    assert [row[0] for row in reasons] == ["store is unknown, item is unknown"]
+
+
+def test_members_are_found_in_one_scan(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    messy(spark)[0].write.parquet(path)
+    plan = plan_of(_members(spark.read.parquet(path)))
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<ds:date,store:int,item:int>" in plan

@@ -156,3 +156,66 @@ def test_orphans_read_the_fact_once(spark, tmp_path):
 def test_repeated_keys(spark):
     rows = spark.createDataFrame([(1, 2), (1, 2), (1, 3), (None, 1)], "a int, b int")
     assert tuples(star.repeated_keys(rows, "a", "b")) == [(1, 2, 2)]
+
+
+def uneven(spark):
+    """Missing and unknown keys, and a key that three rows have."""
+    rows = [
+        ("2016-02-29", 1, 7, 5.0, 1.0),
+        ("2016-02-29", 1, 7, 4.0, 2.0),
+        ("2016-02-29", 1, 7, None, 3.0),
+        ("2016-02-29", None, 7, 5.0, 1.0),
+        (None, None, None, None, None),
+        ("2016-03-01", 1, 99, 5.0, 1.0),
+        ("2099-01-01", 88, None, 5.0, 1.0),
+        ("2016-03-01", 1, 7, 6.0, 1.0),
+    ]
+    return spark.createDataFrame(
+        [(d and day(d), s, i, y, h, h, h, at) for at, (d, s, i, y, h) in enumerate(rows)],
+        "ds date, store int, item int, y double, yhat double, yhat_upper double, "
+        "yhat_lower double, line int",
+    )
+
+
+def found_in(spark, rows):
+    known = rows_of(spark, [(1, 7)])
+    dims = star.dim_store(known), star.dim_item(known), star.dim_date(known)
+    return star.identified(rows, *dims)
+
+
+def test_refused_rows_name_every_fault(spark):
+    refused = star.refused(found_in(spark, uneven(spark)))
+    assert tuples(refused, "ds", "store", "item", "reason") == [
+        (None, None, None, "store is missing, item is missing, date is missing"),
+        (day("2016-02-29"), None, 7, "store is missing"),
+        (day("2016-03-01"), 1, 99, "item is unknown"),
+        (day("2099-01-01"), 88, None, "store is unknown, item is missing, date is unknown"),
+    ]
+
+
+@pytest.mark.parametrize(
+    "order, last, taken",
+    [(("line",), False, 5.0), (("line",), True, None), ((), False, None), ((), True, 5.0)],
+)
+def test_one_fact_for_a_key(spark, order, last, taken):
+    """By the declared order, else by the measures, where a missing one comes first."""
+    facts = star.distinct_facts(found_in(spark, uneven(spark)), order, last)
+    assert tuples(facts, "date_id", "sales", "rows") == [
+        (day("2016-02-29"), taken, 3),
+        (day("2016-03-01"), 6.0, 1),
+    ]
+    assert tuples(star.repeats(facts)) == [(1, day("2016-02-29"), 1, 2)]
+
+
+def test_every_row_is_a_fact_or_refused_or_repeated(spark):
+    rows = uneven(spark)
+    found = found_in(spark, rows)
+    facts = star.distinct_facts(found)
+    left_out = star.repeats(facts).agg({"left_out": "sum"}).first()[0]
+    assert facts.count() + left_out + star.refused(found).count() == rows.count()
+    assert star.distinct_facts(found.limit(0)).count() == 0
+
+
+def test_repeats_are_reduced_before_the_shuffle(spark):
+    plan = plan_of(star.distinct_facts(found_in(spark, uneven(spark))))
+    assert plan.count("partial_min_by") == 1
