@@ -37,6 +37,7 @@ from shelfcast.plans.forecast_job import run_prediction
 from shelfcast.plans.star_load import load_star, read_reports, read_star, reset_star
 from shelfcast.schemas import EVALUATION, FORECAST_TABLE, PARAMETERS
 from shelfcast.sources import views
+from shelfcast.sources.intake import take_in
 from shelfcast.sources.sales import read_lineitem, read_sales_csv, sales_from_lineitem
 from shelfcast.sources.settled import checkpoint_folder, settle
 from shelfcast.sources.tables import (
@@ -314,6 +315,40 @@ def _query_csv_source(spark, sf_dir):
     return read_sales_csv(spark, folder)
 
 
+def _faulty_files(spark: SparkSession, sf_dir: str) -> str:
+    """Sales files with a header line each, and lines of every fault by the order line."""
+    sales = _lineitem(spark, sf_dir).select(
+        F.col("l_shipdate").cast("date").alias("date"),
+        (F.col("l_suppkey") % 5 + 1).alias("store"),
+        (F.col("l_partkey") % 4 + 1).alias("item"),
+        F.col("l_quantity").cast("int").alias("sales"),
+        F.col("l_partkey").alias("part"),
+    )
+    fields = [F.col(name).cast("string") for name in ("date", "store", "item", "sales")]
+    date, store, item, sold = fields
+    part = F.col("part") % 40
+    line = (
+        F.when(part == 1, F.concat_ws(",", F.date_format("date", "dd.MM.yyyy"), store, item, sold))
+        .when(part == 2, F.concat_ws(",", date, store, item, sold, F.lit("more")))
+        .when(part == 3, F.concat_ws(",", date, store, item))
+        .when(part == 4, F.lit(""))
+        .when(part == 5, F.concat_ws(",", date, F.lit("north"), item, F.lit("many")))
+        .when(part == 6, F.concat_ws(",", date, store, item, F.lit("")))
+        .when(part == 7, F.concat_ws(",", date, F.lit(""), item, sold))
+        .when(part == 8, F.concat_ws(",", date, store, F.lit("9999999999"), sold))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    folder = _new_folder(spark)
+    # A single column whose text is the line: no character of it is quoted.
+    written = sales.select(line.alias("date,store,item,sales")).write.option("header", True)
+    written.options(sep="\t", quote="\u0000", emptyValue="").csv(folder)
+    return folder
+
+
+def _intake(spark: SparkSession, sf_dir: str):
+    return take_in(spark, _faulty_files(spark, sf_dir), _new_folder(spark))
+
+
 def _query_forecasts_table_stored(spark, sf_dir):
     """Two training dates stored, one of them again, and read as a catalog table."""
     forecast, folder = settle(_baseline(spark, sf_dir)), _new_folder(spark)
@@ -448,6 +483,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fit_params_checked": _query_fit_params_checked,
         "predict_given_params": _query_predict_given_params,
         "csv_source": _query_csv_source,
+        "csv_taken": lambda spark, sf_dir: _intake(spark, sf_dir).sales,
+        "csv_refused": lambda spark, sf_dir: _intake(spark, sf_dir).refused,
+        "csv_counts": lambda spark, sf_dir: _intake(spark, sf_dir).counts,
         "forecasts_table_stored": _query_forecasts_table_stored,
         "evaluations_stored": _query_evaluations_stored,
         "evaluate_from_view": _query_evaluate_from_view,
@@ -663,6 +701,34 @@ _YEARS = "CAST(year(date) AS INT) AS year, CAST(SUM(sales) AS BIGINT) AS sales"
 _MONTHS = "CAST(date_trunc('month', date) AS DATE) AS month, CAST(SUM(sales) AS BIGINT) AS sales"
 
 
+_LINES_SQL = f"""{_SALES_SQL},
+faulty AS (
+  SELECT date, store, item, sales, CAST(l_partkey % 40 AS INT) AS part
+  FROM (SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey % 5 + 1 AS INT) AS store,
+               CAST(l_partkey % 4 + 1 AS INT) AS item, CAST(l_quantity AS INT) AS sales, l_partkey
+        FROM lineitem) r
+  WHERE l_partkey % 40 <> 4),
+refused_lines AS (
+  SELECT CASE WHEN part <> 1 THEN date END AS date,
+         CASE WHEN part NOT IN (5, 7) THEN store END AS store,
+         CASE WHEN part <> 8 THEN item END AS item,
+         CASE WHEN part NOT IN (3, 5, 6) THEN sales END AS sales,
+         CASE part WHEN 1 THEN strftime(date, '%d.%m.%Y') || ',' || store || ',' || item || ',' || sales
+                   WHEN 2 THEN date || ',' || store || ',' || item || ',' || sales || ',more'
+                   WHEN 3 THEN date || ',' || store || ',' || item
+                   WHEN 5 THEN date || ',north,' || item || ',many'
+                   WHEN 6 THEN date || ',' || store || ',' || item || ','
+                   WHEN 7 THEN date || ',,' || item || ',' || sales
+                   ELSE date || ',' || store || ',9999999999,' || sales END AS line,
+         CASE part WHEN 1 THEN 'date is unreadable' WHEN 2 THEN 'wrong number of fields'
+                   WHEN 3 THEN 'wrong number of fields' WHEN 5 THEN 'store is unreadable'
+                   WHEN 6 THEN 'sales is missing' WHEN 7 THEN 'store is missing'
+                   ELSE 'item is unreadable' END AS reason
+  FROM faulty WHERE part IN (1, 2, 3, 5, 6, 7, 8)),
+taken AS (
+  SELECT date, store, item, sales FROM faulty WHERE part NOT IN (1, 2, 3, 5, 6, 7, 8))"""
+
+
 def _model_sql() -> str:
     """yhat and band of the given parameters, spelled out."""
     season = " + ".join(
@@ -769,6 +835,12 @@ SELECT store, item, MIN(ds) AS first_ds, MAX(ds) AS last_ds, CAST(COUNT(*) AS IN
 FROM history GROUP BY store, item""",
         "predict_given_params": _model_sql(),
         "csv_source": f"WITH {_SALES_SQL} SELECT * FROM sales_rows",
+        "csv_taken": f"WITH {_LINES_SQL} SELECT * FROM taken",
+        "csv_refused": f"WITH {_LINES_SQL} SELECT * FROM refused_lines",
+        "csv_counts": f"""WITH {_LINES_SQL}
+SELECT 'taken' AS reason, COUNT(*) AS rows FROM taken HAVING COUNT(*) > 0
+UNION ALL
+SELECT reason, COUNT(*) FROM refused_lines GROUP BY reason""",
         "forecasts_table_stored": f"""WITH {_FORECAST_SQL}
 SELECT ds AS date, store, item, y AS sales, yhat AS sales_predicted,
        yhat_upper AS sales_predicted_upper, yhat_lower AS sales_predicted_lower, training_date

@@ -77,6 +77,19 @@ def run_prediction(
     return predict(load_parameters(spark, f"{folder}/parameters", trained_on), frame, horizon)
 
 
+def store_prediction(
+    spark: SparkSession, folder: str, trained_on: datetime.date, horizon: int = HORIZON_DAYS
+) -> None:
+    """Predict again from the stored model of a date, for the days that it saw and the horizon.
+
+    Nothing is fitted. The rows go to ``predictions``, in the columns of the forecasts table.
+    """
+    observed = stored_forecast(spark, folder, trained_on).where("y IS NOT NULL")
+    frame = observed.select("store", "item", "ds", "y")
+    predicted = stamp(run_prediction(spark, folder, trained_on, frame, horizon), trained_on)
+    write_forecasts(predicted, f"{folder}/predictions")
+
+
 def scores_of(spark: SparkSession, folder: str, training_date: datetime.date) -> DataFrame:
     """Stored scores of one training date."""
     return read_partition(spark, f"{folder}/evaluations", EVALUATION, training_date)

@@ -88,3 +88,9 @@ FACT_SALES = _schema(
 # What a load did not take: forecast rows that cannot be facts, and keys that came again.
 REJECTED_FACTS = StructType([*FORECAST, StructField("reason", StringType())])
 REPEATED_FACTS = _schema(store_id=_INT, date_id=_DATE, item_id=_INT, left_out=_LONG)
+
+# Lines of sales files that cannot be used, with what could be read of them, and how many.
+REFUSED_LINES = StructType(
+    [*SALES, StructField("line", StringType()), StructField("reason", StringType())]
+)
+INTAKE_COUNTS = _schema(reason=StringType(), rows=_LONG)

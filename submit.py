@@ -14,9 +14,16 @@ from shelfcast.operators.frame import HORIZON_DAYS
 from shelfcast.operators.history import of_series
 from shelfcast.operators.rollups import in_order, sales_by_month, sales_by_year
 from shelfcast.operators.star import MODES
-from shelfcast.plans.forecast_job import run_forecast, scores_of, stored_forecast
+from shelfcast.plans.forecast_job import (
+    run_forecast,
+    scores_of,
+    store_prediction,
+    stored_forecast,
+)
 from shelfcast.plans.star_load import check_star, load_star, read_reports, reset_star
-from shelfcast.sources.sales import read_sales_csv
+from shelfcast.schemas import FORECAST_TABLE
+from shelfcast.sources.intake import Intake, take_in
+from shelfcast.sources.tables import create_table
 
 date = datetime.date.fromisoformat
 
@@ -43,6 +50,11 @@ def parser() -> argparse.ArgumentParser:
     forecast.add_argument("--store", type=int)
     forecast.add_argument("--item", type=int)
     forecast.add_argument("--as-float", action="store_true")
+    forecast.add_argument("--table", help="name of the forecasts in the catalog")
+
+    predict = add("predict", help="predict from the stored model of a training date")
+    predict.add_argument("--training-date", type=date, required=True)
+    predict.add_argument("--horizon", type=days, default=HORIZON_DAYS)
 
     reset = add("reset-star", help="store an empty star schema")
     load = add("load-star", help="load a stored forecast into the star schema")
@@ -51,7 +63,7 @@ def parser() -> argparse.ArgumentParser:
 
     check = add("check-star", help="count broken references and repeated keys")
 
-    for command in (rollups, forecast, reset, load, check):
+    for command in (rollups, forecast, predict, reset, load, check):
         command.add_argument("--folder", required=True, help="shared folder for the results")
     return commands
 
@@ -62,12 +74,20 @@ def _series(store: int | None, item: int | None) -> tuple[int, int] | None:
     return None if store is None else (store, item)
 
 
+def _intake(spark: SparkSession, options: argparse.Namespace) -> Intake:
+    """The rows of the sales files, which are read once; says what cannot be used."""
+    intake = take_in(spark, options.sales, f"{options.folder}/intake")
+    for row in intake.counts.orderBy("reason").collect():
+        print(f"{row['reason']}: {row['rows']}")
+    return intake
+
+
 def main(arguments: list[str] | None = None) -> None:
     options = parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"shelfcast {options.command}").getOrCreate()
     star_folder = f"{options.folder}/star"
     if options.command == "rollups":
-        sales = read_sales_csv(spark, options.sales)
+        sales = _intake(spark, options).lines
         for name, rows, key in (
             ("sales_by_year", sales_by_year(sales), "year"),
             ("sales_by_month", sales_by_month(sales), "month"),
@@ -76,7 +96,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif options.command == "forecast":
         series = _series(options.store, options.item)
         run_forecast(
-            read_sales_csv(spark, options.sales),
+            _intake(spark, options).sales,
             options.folder,
             options.training_date,
             options.evaluate_before,
@@ -85,9 +105,14 @@ def main(arguments: list[str] | None = None) -> None:
             series,
             options.partitions,
         )
+        if options.table:
+            path = f"{options.folder}/forecasts"
+            create_table(spark, options.table, path, FORECAST_TABLE)
         if series is not None:
             scores = scores_of(spark, options.folder, options.training_date)
             of_series(scores, *series).show()
+    elif options.command == "predict":
+        store_prediction(spark, options.folder, options.training_date, options.horizon)
     elif options.command == "reset-star":
         reset_star(spark, star_folder)
     elif options.command == "check-star":

@@ -3,6 +3,7 @@ import pytest
 import submit
 from shelfcast.plans.forecast_job import stored_forecast
 from shelfcast.plans.star_load import read_star
+from shelfcast.sources.intake import read_intake
 from tests.conftest import day, tuples
 
 
@@ -15,19 +16,31 @@ def csv(tmp_path):
     return str(path)
 
 
-def test_all_commands(spark, csv, tmp_path):
+def test_all_commands(spark, csv, tmp_path, capsys):
     folder = str(tmp_path / "out")
     submit.main(["rollups", "--sales", csv, "--folder", folder])
     years = tuples(spark.read.parquet(f"{folder}/sales_by_year"), "year")
     assert years == [(None,), (2017,)]
     submit.main(
         ["forecast", "--sales", csv, "--folder", folder, "--training-date", "2017-02-01"]
+        + ["--table", "all_forecasts"]
     )
+    assert spark.table("all_forecasts").where("training_date = '2017-02-01'").count() == 2 * 121
+    spark.sql("DROP TABLE all_forecasts")
+    said = capsys.readouterr().out
+    assert "date is unreadable: 1" in said and "taken: 62" in said
+    refused = read_intake(spark, f"{folder}/intake").refused
+    assert tuples(refused, "line") == [("bad,1,50,3",)]
     assert stored_forecast(spark, folder, day("2017-02-01")).count() == 2 * (31 + 90)
     submit.main(["reset-star", "--folder", folder])
     for _ in range(2):
         submit.main(["load-star", "--folder", folder, "--training-date", "2017-02-01"])
     submit.main(["check-star", "--folder", folder])
+    assert "rejected_facts: 0" in capsys.readouterr().out
+    submit.main(["predict", "--folder", folder, "--training-date", "2017-02-01"])
+    predicted = spark.read.parquet(f"{folder}/predictions")
+    columns = ["date", "store", "item", "sales", "sales_predicted"]
+    assert tuples(predicted, *columns) == tuples(spark.read.parquet(f"{folder}/forecasts"), *columns)
     star = read_star(spark, f"{folder}/star")
     assert tuples(star["dim_store"]) == [(1, 1), (2, 10)]
     assert star["fact_sales"].count() == 2 * (31 + 90)
