@@ -3,8 +3,14 @@
 Every rolling k-gram of a document's words is joined, by hash, to the places where license
 templates have it. A match of document place d and template place t votes for the diagonal
 d - t: a copy of the template puts its votes on one diagonal, a copy with words put in or
-left out on neighbouring ones. Neighbouring diagonals are merged into a span, and a span
-is verified by the share of the template's words that it covers.
+left out on neighbouring ones. Neighbouring diagonals are merged into a span.
+
+A span is verified by aligning its words with the template's: the edits between them, with
+words outside of matching grams taken for other words, must be few. Short templates are names
+of a license and need every word in a row, so that a word which names another family between
+them is no match. A long notice needs the name that it gives in one piece. Where spans of
+several families overlap, the best aligned one has the place, and a span counts if it has at
+least half of its places.
 
 Templates are notices and, of whole licenses, overlapping passages that are each verified on
 their own, so that any part of a license is seen.
@@ -21,9 +27,14 @@ from pyspark.sql import functions as F
 from shelfcast.llm.text import ascii_lower, whole
 
 GRAM = 3
-# Diagonals this far apart still belong to one copy.
+# Diagonals this far apart still belong to one copy of a long template.
 MERGE = 3
+# Templates with fewer words must stand as they are.
+SHORT = 16
+# Least share of a long template's words that is left after all edits.
 MIN_COVER = 0.7
+# Stands for a word that no match covers. Words of a template have the characters behind it.
+OTHER, FIRST_CODE = "!", 34
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # License notices and opening passages, by label.
@@ -60,29 +71,38 @@ TEMPLATES = (
         "without restriction",
     ),
 )
-# Notices of further families, by label.
+# Notices of further families, by label, and the names that families go by.
 NOTICES = (
     (
         "agpl",
         "this program is free software you can redistribute it and or modify it under the terms "
         "of the gnu affero general public license as published by the free software foundation",
     ),
-    ("agpl", "licensed under the gnu affero general public license version 3"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    (
-        "cc-by-sa",
-        "this work is licensed under a creative commons attribution sharealike 4 0 international "
-        "license",
-    ),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("isc", "released under the isc license"),
+    ("agpl", "gnu affero general public license"),
+    ("apache", "the apache license"),
+    ("gpl", "gnu general public license"),
+    ("isc", "the isc license"),
     (
         "epl",
         "this program and the accompanying materials are made available under the terms of the "
         "eclipse public license",
     ),
-    ("lgpl", "licensed under the gnu lesser general public license"),
+    ("epl", "eclipse public license"),
+    ("lgpl", "gnu lesser general public license"),
+    ("lgpl", "gnu library general public license"),
+    ("mit", "the mit license"),
+    ("mpl", "mozilla public license"),
 )
+# Names of the Creative Commons licenses; a label is ``cc-`` and the code.
+CC_NAMES = {"by": "attribution", "nc": "noncommercial", "nd": "noderivatives", "sa": "sharealike"}
+CC_CODES = ("by", "by nc", "by nd", "by sa", "by nc nd", "by nc sa")
+CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
+# What a long notice must have in one piece.
+NAMED = {
+    "agpl": "gnu affero general public license",
+    "epl": "eclipse public license",
+    "gpl": "gnu general public license",
+}
 # Words of a passage of a license, and from one passage to the next.
 PASSAGE, STRIDE = 40, 20
 # Base phrases, by label.
@@ -93,7 +113,10 @@ PHRASES = (
 )
 
 HASH = "_text_hash"
-GRAM_ROW = "template int, label string, template_place int, template_words int, gram string"
+GRAM_ROW = "template int, template_place int, short boolean, gram string"
+TEMPLATE_ROW = (
+    "template int, label string, coded string, least double, named_from int, named_grams int"
+)
 
 
 def words_of(text: Column) -> Column:
@@ -144,18 +167,49 @@ def passages() -> tuple[tuple[str, str], ...]:
     return tuple(dict.fromkeys(out))
 
 
+def creative_commons() -> tuple[tuple[str, str], ...]:
+    """Codes and names of the licenses with their versions: a version ends a name."""
+    out = []
+    for code in CC_CODES:
+        label = "cc-" + code.replace(" ", "-")
+        name = " ".join(CC_NAMES[part] for part in code.split())
+        for version in CC_VERSIONS:
+            out.append((label, f"cc {code} {version}"))
+            out.append((label, f"creative commons {name} {version}"))
+    return tuple(out)
+
+
+@cache
 def all_templates() -> tuple[tuple[str, str], ...]:
-    return (*TEMPLATES, *NOTICES, *passages())
+    return tuple(dict.fromkeys((*TEMPLATES, *NOTICES, *creative_commons(), *passages())))
+
+
+def coded(words: list[str]) -> str:
+    """A character for each different word, so that alignment is one of characters."""
+    codes = {word: chr(FIRST_CODE + at) for at, word in enumerate(dict.fromkeys(words))}
+    return "".join(codes[word] for word in words)
+
+
+def template_rules(templates, size: int = GRAM) -> list[tuple]:
+    """``number, label, coded words, least cover, first gram and grams of a needed name``."""
+    out = []
+    for number, (label, text) in enumerate(templates):
+        words, name = text.split(), NAMED.get(label, "").split()
+        short = len(words) < SHORT
+        places = [at for at in range(len(words)) if name and words[at : at + len(name)] == name]
+        needed = (places[0], len(name) - size + 1) if places and not short else (0, 0)
+        out.append((number, label, coded(words), 1.0 if short else MIN_COVER, *needed))
+    return out
 
 
 def template_grams(spark: SparkSession, templates=TEMPLATES, size: int = GRAM) -> DataFrame:
     """A row for every k-gram of every template; as many as the templates have words."""
     rows = []
-    for number, (label, text) in enumerate(templates):
+    for number, (_, text) in enumerate(templates):
         words = text.split()
         for place in range(len(words) - size + 1):
             gram = " ".join(words[place : place + size])
-            rows.append((number, label, place, len(words), gram))
+            rows.append((number, place, len(words) < SHORT, gram))
     return spark.createDataFrame(rows, GRAM_ROW).withColumn("gram_hash", F.xxhash64("gram"))
 
 
@@ -165,11 +219,11 @@ def _worded(docs: DataFrame) -> DataFrame:
     )
 
 
-def spans(docs: DataFrame, templates=TEMPLATES, size: int = GRAM) -> DataFrame:
-    """Verified spans: ``doc_id, _text_hash, label, template, first_word, end_word, cover``.
+def _candidates(docs: DataFrame, templates, size: int) -> DataFrame:
+    """Spans of merged diagonals: ``doc_id, _text_hash, template``, their ends and matches.
 
-    Word places count from 0, ``end_word`` is the place after the span. The template side
-    is a fixed list and is broadcast; documents do not move before the votes are counted.
+    The template side is a fixed list and is broadcast; documents do not move before the
+    votes are counted.
     """
     grams = F.transform(
         _places(F.col("words"), size - 1), lambda place: _gram_at(F.col("words"), place, size)
@@ -178,35 +232,76 @@ def spans(docs: DataFrame, templates=TEMPLATES, size: int = GRAM) -> DataFrame:
     known = F.broadcast(template_grams(docs.sparkSession, templates, size))
     same = (F.xxhash64("doc_gram") == known["gram_hash"]) & (F.col("doc_gram") == known["gram"])
     matches = rolled.join(known, same)
-    copy = ["doc_id", HASH, "template", "label", "template_words"]
+    copy = ["doc_id", HASH, "template"]
     votes = matches.groupBy(
-        *copy, (F.col("place") - F.col("template_place")).alias("diagonal")
-    ).agg(
-        F.min("place").alias("first_word"),
-        (F.max("place") + size).alias("end_word"),
-        F.collect_set("template_place").alias("covered"),
-    )
+        *copy, "short", (F.col("place") - F.col("template_place")).alias("diagonal")
+    ).agg(F.collect_set("template_place").alias("places"))
     along = Window.partitionBy(*copy).orderBy("diagonal")
-    far = F.col("diagonal") - F.lag("diagonal").over(along) > MERGE
+    apart = F.when(F.col("short"), 0).otherwise(MERGE)
+    far = F.col("diagonal") - F.lag("diagonal").over(along) > apart
     merged = votes.withColumn("far", far.cast("int")).withColumn(
         "copy", F.coalesce(F.sum("far").over(along), F.lit(0))
     )
-    found = merged.groupBy(*copy, "copy").agg(
-        F.min("first_word").alias("first_word"),
-        F.max("end_word").alias("end_word"),
-        F.array_distinct(F.flatten(F.collect_list("covered"))).alias("covered"),
+    return merged.groupBy(*copy, "copy").agg(
+        F.collect_list(F.struct("diagonal", "places")).alias("lines"),
+        F.min(F.col("diagonal") + F.array_min("places")).alias("first_word"),
+        F.max(F.col("diagonal") + F.array_max("places") + size).alias("end_word"),
     )
-    reach = F.flatten(
-        F.transform("covered", lambda place: F.sequence(place, place + size - 1))
+
+
+def _aligned(found: DataFrame, templates, size: int) -> DataFrame:
+    """Candidates whose words agree with the template's, with ``label`` and ``cover``."""
+    rules = found.sparkSession.createDataFrame(template_rules(templates, size), TEMPLATE_ROW)
+
+    def codes_of(line: Column) -> Column:
+        one = lambda place, step: F.struct(
+            (line["diagonal"] + place + step).alias("word"),
+            F.substr(F.col("coded"), place + step + 1, F.lit(1)).alias("code"),
+        )
+        return F.flatten(
+            F.transform(line["places"], lambda place: F.array(*[one(place, F.lit(step)) for step in range(size)]))
+        )
+
+    codes = F.map_from_entries(F.array_distinct(F.flatten(F.transform("lines", codes_of))))
+    shown = F.transform(
+        F.sequence(F.col("first_word"), F.col("end_word") - 1),
+        lambda word: F.coalesce(F.element_at(F.col("codes"), word), F.lit(OTHER)),
     )
-    cover = F.size(F.array_distinct(reach)) / F.col("template_words")
+    edits = F.levenshtein(F.array_join("shown", ""), F.col("coded"))
+    name = F.when(
+        F.col("named_grams") > 0,
+        F.sequence(F.col("named_from"), F.col("named_from") + F.col("named_grams") - 1),
+    ).otherwise(F.array().cast("array<int>"))
+    named = F.exists("lines", lambda line: F.size(F.array_except(name, line["places"])) == 0)
     return (
-        found.withColumn("cover", cover)
-        .where(F.col("cover") >= MIN_COVER)
+        found.join(F.broadcast(rules), "template")
+        .withColumn("codes", codes)
+        .withColumn("shown", shown)
+        .withColumn("cover", 1 - edits / F.length("coded"))
+        .where((F.col("cover") >= F.col("least")) & named)
         .select("doc_id", HASH, "label", "template", "first_word", "end_word", "cover")
     )
 
 
+def spans(docs: DataFrame, templates=TEMPLATES, size: int = GRAM) -> DataFrame:
+    """Verified spans: ``doc_id, _text_hash, label, template, first_word, end_word, cover``.
+
+    Word places count from 0, ``end_word`` is the place after the span, ``cover`` is the share
+    of the template's words that is left after all edits. A place that spans of several labels
+    have goes to the best aligned of them, to all of these if they are equal, and a span stays
+    if it has at least half of its places.
+    """
+    aligned = _aligned(_candidates(docs, templates, size), templates, size)
+    span = ["doc_id", HASH, "label", "template", "first_word", "end_word", "cover"]
+    placed = aligned.select(
+        *span, F.explode(F.sequence(F.col("first_word"), F.col("end_word") - 1)).alias("word")
+    )
+    best = F.max("cover").over(Window.partitionBy("doc_id", HASH, "word"))
+    won = placed.withColumn("won", (F.col("cover") == best).cast("int"))
+    judged = won.groupBy(*span).agg(F.sum("won").alias("won"))
+    return judged.where(2 * F.col("won") >= F.col("end_word") - F.col("first_word")).drop("won")
+
+
 def _base(rows: DataFrame) -> DataFrame:
     """Places of the base phrases. Only texts with the word all phrases end in are searched."""
     words = F.col("words")
@@ -247,8 +342,8 @@ def scan(docs: DataFrame, templates=None) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``.
 
     Base labels come from phrases of consecutive words; spans add theirs. Both are
-    sorted, comma-joined, and empty without a license. ``score`` is the largest share of a
-    template that a span covers, 1 with a base phrase, 0 without a label. A NULL text
+    sorted, comma-joined, and empty without a license. ``score`` is the largest ``cover`` of a
+    span, 1 with a base phrase, 0 without a label. A NULL text
     counts as an empty one: no words, no labels. Without ``templates`` all notices and passages
     are searched for. Rows that repeat an id are scanned each by its own text; other columns
     play no part. An empty table gives an empty result.

@@ -22,7 +22,7 @@ from shelfcast.llm import (
     url_lists,
     whitening,
 )
-from shelfcast.llm.oracles import manifest_sql
+from shelfcast.llm.oracles import licenses_sql, manifest_sql
 from shelfcast.llm.text import read_documents, sha256, whole
 
 
@@ -355,66 +355,12 @@ SELECT doc_id, size, source_size, target,
 FROM queue"""
 
 
-_TEMPLATE_ROWS = ", ".join(
-    f"({number}, '{label}', '{text}')" for number, (label, text) in enumerate(licenses.TEMPLATES)
-)
-
-OP10_SQL = f"""
-WITH templates(template, label, words) AS (
-  SELECT t, l, string_split(x, ' ') FROM (VALUES {_TEMPLATE_ROWS}) v(t, l, x)),
-template_grams AS (
-  SELECT template, label, len(words) AS n, i - 1 AS t,
-         words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
-  FROM (SELECT *, unnest(range(1, len(words) - 1)) AS i FROM templates) u),
-worded AS (
-  SELECT doc_id, regexp_extract_all(
-           translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM documents),
-placed AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
-base AS (
-  SELECT doc_id, i - 1 AS place, unnest([x FOR x IN [
-           CASE WHEN w[i] = 'mit' AND w[i + 1] = 'license' THEN 'mit' END,
-           CASE WHEN w[i] = 'apache' AND w[i + 1] = 'license' THEN 'apache' END,
-           CASE WHEN w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license' THEN 'gpl' END]
-         IF x IS NOT NULL]) AS label
-  FROM placed),
-based AS (
-  SELECT doc_id, COUNT(*) AS n_base, MIN(place) AS first_word, MAX(place) AS last_word,
-         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
-  FROM base GROUP BY doc_id),
-matches AS (
-  SELECT p.doc_id, g.template, g.label, g.n, i - 1 AS d, t
-  FROM placed p JOIN template_grams g
-    ON w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] = g.gram),
-apart AS (
-  SELECT *, d - t - LAG(d - t) OVER (PARTITION BY doc_id, template ORDER BY d - t) > 3 AS far
-  FROM matches),
-copies AS (
-  SELECT *, SUM(CASE WHEN far THEN 1 ELSE 0 END)
-              OVER (PARTITION BY doc_id, template ORDER BY d - t) AS copy
-  FROM apart),
-covers AS (
-  SELECT doc_id, label, COUNT(DISTINCT t + step) / CAST(n AS DOUBLE) AS cover
-  FROM copies, range(0, 3) s(step) GROUP BY doc_id, template, label, n, copy),
-seen AS (SELECT doc_id, label, MAX(cover) AS cover FROM covers WHERE cover >= 0.7 GROUP BY ALL),
-both_labels AS (
-  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (
-    SELECT doc_id, label FROM seen UNION ALL SELECT doc_id, label FROM base) b GROUP BY doc_id),
-best AS (SELECT doc_id, MAX(cover) AS cover FROM seen GROUP BY doc_id)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_base, 0) AS n_base, first_word,
-       last_word, COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels,
-       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE COALESCE(cover, 0.0::DOUBLE) END AS score
-FROM worded LEFT JOIN based USING (doc_id) LEFT JOIN both_labels USING (doc_id)
-  LEFT JOIN best USING (doc_id)"""
-
-
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality": OP2_SQL,
         "op3_url_lists": OP3_SQL,
         "op4_neardup": OP4_SQL,
         "op6_mix": OP6_SQL,
-        "op10_licenses": OP10_SQL,
+        "op10_licenses": licenses_sql(),
         "op11_manifest": manifest_sql(),
     }
