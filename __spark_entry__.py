@@ -13,6 +13,7 @@ import sys
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from importlib.util import find_spec
 from operator import and_
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -49,11 +50,12 @@ from shelfcast.sources.tables import (
     write_forecasts,
 )
 
-try:
-    import corpus_pipeline as _pipeline
+# The subpackage and its pipeline may be left out; a fault inside of them is not hidden.
+_llm = _pipeline = None
+if find_spec("shelfcast.llm") and find_spec("shelfcast.llm.queries"):
     from shelfcast.llm import queries as _llm
-except ImportError:  # the subpackage and its pipeline may be left out
-    _llm = _pipeline = None
+if _llm is not None and find_spec("corpus_pipeline") is not None:
+    import corpus_pipeline as _pipeline
 
 TRAINING_DATE = datetime.date(2001, 12, 31)
 EVALUATE_BEFORE = datetime.date(2001, 1, 1)
@@ -80,6 +82,12 @@ def _wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_from_lineitem(_lineitem(spark, sf_dir), stores=None, items=None)
 
 
+def _wide_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store for every supplier, so that the number of series grows with the data."""
+    lines = _lineitem(spark, sf_dir)
+    return clean_history(sales_from_lineitem(lines, stores=None, items=4))
+
+
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_history(_sales(spark, sf_dir))
 
@@ -128,6 +136,15 @@ def _query_evaluate(spark, sf_dir):
     return _rounded(scores, "mae", "mse", "rmse")
 
 
+def _query_baseline_wide(spark, sf_dir):
+    return _rounded_forecast(_wide_history(spark, sf_dir))
+
+
+def _query_evaluate_wide(spark, sf_dir):
+    stamped = stamp(_query_baseline_wide(spark, sf_dir), TRAINING_DATE)
+    return _rounded(evaluate(stamped, EVALUATE_BEFORE), "mae", "mse", "rmse")
+
+
 def _query_evaluate_single(spark, sf_dir):
     scores = evaluate_single(_stamped(spark, sf_dir), 1, 1, EVALUATE_BEFORE)
     return _rounded(scores, "mae", "mse", "rmse")
@@ -460,6 +477,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "baseline_forecast": _baseline,
         "forecast_with_actuals": _query_forecast_with_actuals,
         "evaluate": _query_evaluate,
+        "baseline_forecast_wide": _query_baseline_wide,
+        "evaluate_wide": _query_evaluate_wide,
         "evaluate_single": _query_evaluate_single,
         "plot_window": lambda spark, sf_dir: recent_days(_baseline(spark, sf_dir)),
         "forecasts_table": lambda spark, sf_dir: as_table_rows(_stamped(spark, sf_dir)),
@@ -499,13 +518,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {} if _llm is None else {**_llm.queries(), "pipeline": _pipeline.run}
+    pipeline = {} if _pipeline is None else {"pipeline": _pipeline.run}
+    return {} if _llm is None else {**_llm.queries(), **pipeline}
 
 
 def _llm_sql() -> dict[str, str]:
     if _llm is None:
         return {}
-    pipeline = {} if _pipeline.ORACLE_SQL is None else {"pipeline": _pipeline.ORACLE_SQL}
+    sql = None if _pipeline is None else _pipeline.ORACLE_SQL
+    pipeline = {} if sql is None else {"pipeline": sql}
     return {**_llm.oracle_sql(), **pipeline}
 
 
@@ -773,6 +794,7 @@ FROM sales_rows {{condition}} GROUP BY store, item, date"""
 SELECT date AS ds, sales AS y FROM sales_rows WHERE store = 1 AND item = 1"""
     many = _HISTORY_SQL.replace("% 5 + 1", "% 100 + 1").replace("% 4 + 1", "% 100 + 1")
     first_series = "AND store = 1 AND item = 1"
+    wide = _FORECAST_SQL.replace("l_suppkey % 5 + 1", "l_suppkey + 1")
     return {
         "train_source": f"WITH {_SALES_SQL} SELECT * FROM sales_rows",
         "single_series": series,
@@ -791,6 +813,8 @@ SELECT date AS ds, sales AS y FROM sales_rows WHERE store = 1 AND item = 1"""
 SELECT f.store, f.item, f.ds, yhat, yhat_upper, yhat_lower, h.y
 FROM forecast f LEFT JOIN history h
   ON f.store = h.store AND f.item = h.item AND f.ds = h.ds""",
+        "baseline_forecast_wide": f"WITH {wide} SELECT * FROM forecast",
+        "evaluate_wide": f"WITH {wide} {_SCORES_SQL.format(condition='')}",
         "evaluate": f"WITH {_FORECAST_SQL} {_SCORES_SQL.format(condition='')}",
         "evaluate_single": f"WITH {_FORECAST_SQL} {_SCORES_SQL.format(condition=first_series)}",
         "plot_window": f"""WITH {_FORECAST_SQL}

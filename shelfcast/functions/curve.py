@@ -44,11 +44,16 @@ def fourier(day: np.ndarray) -> np.ndarray:
     return np.vstack(blocks)
 
 
+def changepoint_places(points: int) -> np.ndarray:
+    """Evenly spread places in the first part of so many observations."""
+    usable = int(np.floor(points * CHANGEPOINT_RANGE))
+    count = max(min(CHANGEPOINTS, usable - 1), 0)
+    return np.linspace(0, max(usable - 1, 0), count + 1).round().astype(int)[1:]
+
+
 def changepoint_times(t: np.ndarray) -> np.ndarray:
     """Evenly spread observation times in the first part of the history."""
-    usable = int(np.floor(len(t) * CHANGEPOINT_RANGE))
-    count = max(min(CHANGEPOINTS, usable - 1), 0)
-    return t[np.linspace(0, max(usable - 1, 0), count + 1).round().astype(int)][1:]
+    return t[changepoint_places(len(t))]
 
 
 def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:

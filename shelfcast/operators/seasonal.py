@@ -1,19 +1,21 @@
-"""Seasonal growth model: one fit per series in Python, everything else in Spark.
+"""Seasonal growth model: fits of many series at once in Python, everything else in Spark.
 
-The grouped function gets one series and returns one parameter row, so Python sees each
-daily total once and hands back under a kilobyte. Dates, predictions, bounds and
-scores are Spark columns over those rows.
+Spark gathers a series into one row, and Python fits a batch of rows and returns a parameter
+row for each, so it sees each daily total once and hands back under a kilobyte a series. Dates,
+predictions, bounds and scores are Spark columns over those rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions import curve
+from shelfcast.functions import curve, curves
 from shelfcast.functions.season import (
     DAY_NUMBER,
     SCALED_TIME,
@@ -28,7 +30,8 @@ from shelfcast.operators.history import colocate
 from shelfcast.schemas import FORECAST, PARAMETERS, SERIES
 
 # Ship the fit inside the task, so that executors need not have this package installed.
-cloudpickle.register_pickle_by_value(curve)
+for _module in (curve, curves):
+    cloudpickle.register_pickle_by_value(_module)
 
 # Series with fewer days are forecast flat and reported.
 MIN_POINTS = 2
@@ -43,32 +46,36 @@ ARROW_TYPES = {
 def fit(history: DataFrame) -> DataFrame:
     """One parameter row per series. A series seen on one day gets a flat line.
 
-    A group is one series of daily totals, at most one row per calendar day however
-    many sales were summed into it. Colocate the history first, so that the number of
-    fitting tasks does not depend on its size in bytes.
+    A series is one row of daily totals, at most one for each calendar day however many sales
+    were summed into it. Colocate the history first, so that the number of fitting tasks does
+    not depend on its size in bytes; a history that lies by series is not moved again. Series
+    of the same number of days that arrive together are fitted together, see ``curves``.
     """
-    fit_curve = curve.fit_curve
+    fit_curves = curves.fit_curves
     # Day numbers travel to Python and back as plain integers, dates would become objects.
-    days = history.select(
-        "store", "item", F.unix_date("ds").alias("day"), F.col("y").cast("double").alias("y")
-    )
+    total = F.struct(F.unix_date("ds").alias("day"), F.col("y").cast("double").alias("y"))
+    series = history.groupBy(*SERIES).agg(F.array_sort(F.collect_list(total)).alias("days"))
     columns = {
         field.name: "int" if field.name.endswith("_ds") else field.dataType.simpleString()
         for field in PARAMETERS
     }
     arrow_schema = pa.schema([(name, ARROW_TYPES[kind]) for name, kind in columns.items()])
 
-    def fit_series(key: tuple[pa.Scalar, ...], series: pa.Table) -> pa.Table:
-        day, y = series["day"].to_numpy(), series["y"].to_numpy()
-        order = np.argsort(day)
-        day, y = day[order], y[order]
-        store, item = (part.as_py() for part in key)
-        row = {"store": store, "item": item, "first_ds": day[0], "last_ds": day[-1]}
-        row.update(fit_curve(day.astype("float64"), y))
-        return pa.Table.from_pylist([row], schema=arrow_schema)
+    def fit_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+        listed = batch.column(2)
+        flat, cuts = listed.flatten(), np.cumsum(listed.value_lengths().to_numpy())[:-1]
+        day, y = (flat.field(at).to_numpy(zero_copy_only=False).astype("float64") for at in (0, 1))
+        days = np.split(day, cuts)
+        rows = fit_curves(days, np.split(y, cuts))
+        for row, store, item, one in zip(rows, *(batch.column(at).to_pylist() for at in (0, 1)), days):
+            row.update(store=store, item=item, first_ds=int(one[0]), last_ds=int(one[-1]))
+        return pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return (fit_batch(batch) for batch in batches if batch.num_rows)
 
     schema = ", ".join(f"{name} {kind}" for name, kind in columns.items())
-    fitted = days.groupBy(*SERIES).applyInArrow(fit_series, schema)
+    fitted = series.mapInArrow(run, schema)
     dates = {name: F.date_from_unix_date(name) for name in ("first_ds", "last_ds")}
     return fitted.withColumns(dates)
 

@@ -235,4 +235,4 @@ def test_sales_are_scanned_and_shuffled_once(spark, sf_dir):
     plan = plan_of(forecast)
     assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
     assert plan.count("Window") == 0
-    assert plan.count("FlatMapGroupsInArrow") == 1
+    assert plan.count("MapInArrow") == 1
