@@ -39,6 +39,7 @@ from shelfcast.plans.star_load import load_star, read_reports, read_star, reset_
 from shelfcast.schemas import EVALUATION, FORECAST_TABLE, PARAMETERS
 from shelfcast.sources import views
 from shelfcast.sources.intake import take_in
+from shelfcast.sources.kept import keep_history
 from shelfcast.sources.sales import read_lineitem, read_sales_csv, sales_from_lineitem
 from shelfcast.sources.settled import checkpoint_folder, settle
 from shelfcast.sources.tables import (
@@ -126,6 +127,22 @@ def _query_single_series_daily(spark, sf_dir):
     return daily_history(of_series(_sales(spark, sf_dir), store=1, item=1))
 
 
+def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide history as a catalog table that lies by series."""
+    name = f"history_{uuid.uuid4().hex}"
+    return keep_history(_wide_history(spark, sf_dir), name, _new_folder(spark))
+
+
+def _query_evaluate_kept(spark, sf_dir):
+    """Forecast and scores of the kept history, which is not moved for either."""
+    return _rounded_scores(_kept(spark, sf_dir))
+
+
+def _query_fit_kept(spark, sf_dir):
+    """Models of the kept history, as far as they follow from the series alone."""
+    return _fit_facts(seasonal.fit(_kept(spark, sf_dir)))
+
+
 def _query_forecast_with_actuals(spark, sf_dir):
     history = _history(spark, sf_dir)
     return with_actuals(_rounded_forecast(history), history)
@@ -141,8 +158,13 @@ def _query_baseline_wide(spark, sf_dir):
 
 
 def _query_evaluate_wide(spark, sf_dir):
-    stamped = stamp(_query_baseline_wide(spark, sf_dir), TRAINING_DATE)
-    return _rounded(evaluate(stamped, EVALUATE_BEFORE), "mae", "mse", "rmse")
+    return _rounded_scores(_wide_history(spark, sf_dir))
+
+
+def _rounded_scores(history: DataFrame) -> DataFrame:
+    """Scores of a forecast that is not rounded, as means of few rounded numbers often tie."""
+    scores = evaluate(stamp(baseline_forecast(history), TRAINING_DATE), EVALUATE_BEFORE)
+    return _rounded(scores, "mae", "mse", "rmse")
 
 
 def _query_evaluate_single(spark, sf_dir):
@@ -273,7 +295,11 @@ def _query_forecast_series_kept(spark, sf_dir):
 
 def _query_fit_params_checked(spark, sf_dir):
     """The parts of a model that follow from its series alone."""
-    return seasonal.fit(colocate(_history(spark, sf_dir))).select(
+    return _fit_facts(seasonal.fit(colocate(_history(spark, sf_dir))))
+
+
+def _fit_facts(parameters: DataFrame) -> DataFrame:
+    return parameters.select(
         "store",
         "item",
         "first_ds",
@@ -479,6 +505,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "evaluate": _query_evaluate,
         "baseline_forecast_wide": _query_baseline_wide,
         "evaluate_wide": _query_evaluate_wide,
+        "history_kept": _kept,
+        "evaluate_kept": _query_evaluate_kept,
+        "fit_kept_checked": _query_fit_kept,
         "evaluate_single": _query_evaluate_single,
         "plot_window": lambda spark, sf_dir: recent_days(_baseline(spark, sf_dir)),
         "forecasts_table": lambda spark, sf_dir: as_table_rows(_stamped(spark, sf_dir)),
@@ -794,7 +823,17 @@ FROM sales_rows {{condition}} GROUP BY store, item, date"""
 SELECT date AS ds, sales AS y FROM sales_rows WHERE store = 1 AND item = 1"""
     many = _HISTORY_SQL.replace("% 5 + 1", "% 100 + 1").replace("% 4 + 1", "% 100 + 1")
     first_series = "AND store = 1 AND item = 1"
-    wide = _FORECAST_SQL.replace("l_suppkey % 5 + 1", "l_suppkey + 1")
+    folded, own_store = "l_suppkey % 5 + 1", "l_suppkey + 1"
+    wide = _FORECAST_SQL.replace(folded, own_store)
+    exact = wide
+    for rounded in ("yhat", "yhat + band", "yhat - band"):
+        exact = exact.replace(f"ROUND({rounded}, 4)", rounded)
+    fit_facts = f"""
+SELECT store, item, MIN(ds) AS first_ds, MAX(ds) AS last_ds, CAST(COUNT(*) AS INT) AS points,
+       CAST(MAX(abs(y)) AS DOUBLE) AS scale,
+       CAST(greatest(least(25, CAST(FLOOR(COUNT(*) * 0.8) AS INT) - 1), 0) AS INT) AS changes,
+       {len(WAVES)} AS waves, TRUE AS noise
+FROM history GROUP BY store, item"""
     return {
         "train_source": f"WITH {_SALES_SQL} SELECT * FROM sales_rows",
         "single_series": series,
@@ -814,7 +853,7 @@ SELECT f.store, f.item, f.ds, yhat, yhat_upper, yhat_lower, h.y
 FROM forecast f LEFT JOIN history h
   ON f.store = h.store AND f.item = h.item AND f.ds = h.ds""",
         "baseline_forecast_wide": f"WITH {wide} SELECT * FROM forecast",
-        "evaluate_wide": f"WITH {wide} {_SCORES_SQL.format(condition='')}",
+        "evaluate_wide": f"WITH {exact} {_SCORES_SQL.format(condition='')}",
         "evaluate": f"WITH {_FORECAST_SQL} {_SCORES_SQL.format(condition='')}",
         "evaluate_single": f"WITH {_FORECAST_SQL} {_SCORES_SQL.format(condition=first_series)}",
         "plot_window": f"""WITH {_FORECAST_SQL}
@@ -851,12 +890,10 @@ FROM history GROUP BY store, item""",
 SELECT store, item, COUNT(*) AS points, CAST(90 AS BIGINT) AS ahead,
        CAST(MAX(ds) + 90 AS DATE) AS last_ds
 FROM history GROUP BY store, item""",
-        "fit_params_checked": f"""WITH {_HISTORY_SQL}
-SELECT store, item, MIN(ds) AS first_ds, MAX(ds) AS last_ds, CAST(COUNT(*) AS INT) AS points,
-       CAST(MAX(abs(y)) AS DOUBLE) AS scale,
-       CAST(greatest(least(25, CAST(FLOOR(COUNT(*) * 0.8) AS INT) - 1), 0) AS INT) AS changes,
-       {len(WAVES)} AS waves, TRUE AS noise
-FROM history GROUP BY store, item""",
+        "fit_params_checked": f"WITH {_HISTORY_SQL} {fit_facts}",
+        "history_kept": f"WITH {_HISTORY_SQL} SELECT * FROM history".replace(folded, own_store),
+        "fit_kept_checked": f"WITH {_HISTORY_SQL} {fit_facts}".replace(folded, own_store),
+        "evaluate_kept": f"WITH {exact} {_SCORES_SQL.format(condition='')}",
         "predict_given_params": _model_sql(),
         "csv_source": f"WITH {_SALES_SQL} SELECT * FROM sales_rows",
         "csv_taken": f"WITH {_LINES_SQL} SELECT * FROM taken",
