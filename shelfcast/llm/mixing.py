@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.text import word_count
+from shelfcast.llm.text import put_back, set_aside, word_count
 from shelfcast.sources.settled import settle
 
 WEIGHTS = (3, 1, 2)
@@ -173,14 +173,17 @@ def mixed(docs: DataFrame, passes: int = PASSES, **settings) -> DataFrame:
     """The mix: a row for every copy that is taken, in order of virtual finish time.
 
     Texts stay whole: the copy at the stop is taken if at least half of it fits. Columns
-    are those of ``docs``.
+    are those of ``docs`` and may have any name. NULL and empty texts have no words and are not
+    taken, so an empty table gives an empty result; long texts count all of their words; NULL
+    is a source; repeated rows queue one after the other.
     """
-    columns = docs.columns
-    planned = _planned(docs, passes=passes, **settings)
+    needed = ("doc_id", "text", "source")
+    planned = _planned(set_aside(docs, *needed), passes=passes, **settings)
     size = F.col("size")
     copies = F.when(size > 0, F.floor(F.col("taken") / size + 0.5)).otherwise(0).cast("int")
     passed = F.explode(F.sequence(F.lit(1), F.col("_copies")))
     out = planned.withColumn("_copies", copies).where("_copies > 0").withColumn("_copy", passed)
     finish = F.col("finish") + (F.col("_copy") - 1) * F.col("source_size") / F.col("target")
     ordered = out.withColumn("_finish", finish)
-    return ordered.repartitionByRange("_finish").sortWithinPartitions("_finish").select(*columns)
+    ranged = ordered.repartitionByRange("_finish").sortWithinPartitions("_finish")
+    return put_back(ranged, docs, *needed)

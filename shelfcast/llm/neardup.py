@@ -37,6 +37,7 @@ from shelfcast.llm.shingles import (
     shingle_set,
     signatures,
 )
+from shelfcast.llm.text import put_back, set_aside
 from shelfcast.sources.settled import settle
 
 WORDS = 5
@@ -347,11 +348,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def deduplicated(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents that are kept, one of each group; columns stay.
 
-    Of rows that repeat both id and text one stays.
+    Of rows that repeat both id and text one stays, whatever their other columns hold. A NULL or
+    empty text has no near duplicate; long texts are compared as a whole; of a group the row
+    with the smallest id stays. An empty table gives an empty result. Columns may have any name.
     """
-    found = near_duplicates(docs, words, percent).where("kept")
+    rows = set_aside(docs, "doc_id", "text").withColumn(TEXT_HASH, F.xxhash64("text"))
+    found = near_duplicates(docs.select("doc_id", "text"), words, percent).where("kept")
     keys = found.select(F.col("doc_id").alias("_id"), F.col(TEXT_HASH).alias("_hash"))
-    rows = docs.withColumn(TEXT_HASH, F.xxhash64("text"))
     same = rows["doc_id"].eqNullSafe(keys["_id"]) & (rows[TEXT_HASH] == keys["_hash"])
     kept = rows.join(keys.distinct(), same, "left_semi")
-    return kept.dropDuplicates(["doc_id", TEXT_HASH]).select(*docs.columns)
+    return put_back(kept.dropDuplicates(["doc_id", TEXT_HASH]), docs, "doc_id", "text")

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.text import whole
+from shelfcast.llm.text import put_back, set_aside, whole
 from shelfcast.sources.settled import settle
 
 KINDS = ("email", "ip", "card", "phone")
@@ -288,9 +288,13 @@ def redact(docs: DataFrame, threshold: float = MIN_CONFIDENCE) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; columns stay.
 
     ``n_chars``, if there, is counted anew. Of overlapping spans the first one is replaced
-    and the rest of the others dropped. A NULL text stays NULL.
+    and the rest of the others dropped. A NULL text stays NULL, an empty one empty, and long
+    ones are searched as a whole. Repeated rows are changed alike and all stay. An empty table
+    gives an empty result. Columns may have any name.
     """
-    found = personal_data(docs, threshold).where(F.size("spans") > 0)
+    given, needed = docs, ("doc_id", "text", "n_chars")
+    docs = set_aside(given, *needed)
+    found = personal_data(docs.select("doc_id", "text"), threshold).where(F.size("spans") > 0)
     found = found.select(F.col("doc_id").alias("_id"), F.col(HASH).alias("_hash"), "spans")
     found = found.dropDuplicates(["_id", "_hash"])
     rows = docs.withColumn(HASH, F.xxhash64("text"))
@@ -318,4 +322,4 @@ def redact(docs: DataFrame, threshold: float = MIN_CONFIDENCE) -> DataFrame:
     out = joined.withColumn("text", F.when(F.col("spans").isNull(), text).otherwise(clean))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    return put_back(out, given, *needed)

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.text import whole
+from shelfcast.llm.text import OWN, set_aside, whole
 from shelfcast.sources.settled import settle
 
 SHARDS = 8
@@ -176,12 +176,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, parts: int | None = None) -> Da
     ``size`` is the UTF-8 length of the text and one byte more (NULL: 1). ``shard`` runs
     from 0 and ``slot`` numbers the rows of a shard from 0 without gaps, in key order. Rows
     that repeat both id and text share a key and stay together; they are equal, so any order
-    among them is the same result. Other columns stay, those of the three names are
-    replaced. An empty table gives an empty result.
+    among them is the same result. Long texts count all of their bytes. Other columns stay,
+    whatever their names, but those of the three names are replaced. An empty table gives an
+    empty result.
     """
-    spark = docs.sparkSession
-    docs = docs.drop(*GIVEN)
-    rows = keyed(docs)
+    spark, needed = docs.sparkSession, ("doc_id", "text")
+    given = docs.drop(*GIVEN)
+    rows = keyed(set_aside(given, *needed))
     keys = settle(rows.select("size", TEXT_KEY, ROW_KEY))
     if parts is None:
         total = keys.agg(F.sum("size")).first()[0] or 0
@@ -198,8 +199,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, parts: int | None = None) -> Da
     placed = rows.withColumn(PART, part.cast("int")).repartitionById(shards * parts, F.col(PART))
     in_part = Window.partitionBy(PART).orderBy(TEXT_KEY, ROW_KEY)
     offset = F.element_at(F.array(*[F.lit(rows) for rows in offsets]), F.col(PART) + 1)
+    back = [F.col(c) if c in needed else F.col(OWN)[c].alias(c) for c in given.columns]
     return placed.select(
-        *docs.columns,
+        *back,
         "size",
         F.floor(F.col(PART) / parts).cast("int").alias("shard"),
         (offset + F.row_number().over(in_part) - 1).cast("long").alias("slot"),

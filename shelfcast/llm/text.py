@@ -33,3 +33,19 @@ def ascii_lower(text: Column) -> Column:
 def sha256(text: Column) -> Column:
     """Lower-case hex SHA-256 of the UTF-8 bytes."""
     return F.sha2(text.cast("binary"), 256)
+
+
+OWN = "_own"
+
+
+def set_aside(docs: DataFrame, *needed: str) -> DataFrame:
+    """The ``needed`` columns, and all others in one struct, so that no helper name can clash."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in needed]
+    own = F.struct(*others or [F.lit(0)]).alias(OWN)
+    return docs.select(*[c for c in needed if c in docs.columns], own)
+
+
+def put_back(rows: DataFrame, docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns of ``docs`` again, in their order, of rows that were ``set_aside``."""
+    back = [F.col(c) if c in needed else F.col(OWN)[c].alias(c) for c in docs.columns]
+    return rows.select(*back)
