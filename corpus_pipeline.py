@@ -1,7 +1,10 @@
 """The corpus pipeline: documents in, token ids of the cleaned and mixed corpus out.
 
 Each stage reads what the stage before it stored, works on all of it, and returns the columns
-of documents. The last one returns token ids.
+of documents. The last one returns token ids. A NULL text counts as an empty one, NULL in any
+other column is a value like others, long texts are taken as a whole, ties and repeated rows are
+settled as the operators say, and no documents give no rows. Further columns, whatever their
+names, pass all stages but the last.
 """
 
 from __future__ import annotations
@@ -16,17 +19,21 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm import mixing, neardup, pii, quality, subword
 from shelfcast.llm.queries import model_path
-from shelfcast.llm.text import read_documents
+from shelfcast.llm.text import put_back, read_documents, set_aside
 from shelfcast.sources.settled import settle
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that pass every quality rule."""
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    """The documents that pass every quality rule; one without words does not."""
+    judged = quality.judge(set_aside(docs, "doc_id", "text"))
+    return put_back(judged.where("kept"), docs, "doc_id", "text")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 80% in common)."""
+    """One document of each group of near duplicates (five words, 80% in common).
+
+    Documents without words are in no group and stay.
+    """
     return neardup.deduplicated(docs)
 
 
