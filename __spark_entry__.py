@@ -38,6 +38,7 @@ from shelfcast.plans.forecast_job import run_prediction
 from shelfcast.plans.star_load import load_star, read_reports, read_star, reset_star
 from shelfcast.schemas import EVALUATION, FORECAST_TABLE, PARAMETERS
 from shelfcast.sources import views
+from shelfcast.sources.grown import grow_history
 from shelfcast.sources.intake import take_in
 from shelfcast.sources.kept import keep_history
 from shelfcast.sources.sales import read_lineitem, read_sales_csv, sales_from_lineitem
@@ -392,6 +393,19 @@ def _intake(spark: SparkSession, sf_dir: str):
     return take_in(spark, _faulty_files(spark, sf_dir), _new_folder(spark))
 
 
+def _query_history_grown(spark, sf_dir):
+    """Files of the first years, a draft of the later ones, and at last the draft replaced."""
+    sales, folder = _sales(spark, sf_dir), _new_folder(spark)
+    later = F.col("date") >= F.lit(SECOND_FROM)
+    draft = sales.where(later).withColumn("sales", F.col("sales") + 1)
+    batches = {"first": sales.where(~later), "draft": draft, "final": sales.where(later)}
+    for name, rows in batches.items():
+        rows.write.option("header", True).csv(f"{folder}/sales/{name}")
+    for names in ("first", "{first,draft}", "{first,final}"):
+        grown = grow_history(spark, f"{folder}/sales/{names}", f"{folder}/history")
+    return grown
+
+
 def _query_forecasts_table_stored(spark, sf_dir):
     """Two training dates stored, one of them again, and read as a catalog table."""
     forecast, folder = settle(_baseline(spark, sf_dir)), _new_folder(spark)
@@ -534,6 +548,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_taken": lambda spark, sf_dir: _intake(spark, sf_dir).sales,
         "csv_refused": lambda spark, sf_dir: _intake(spark, sf_dir).refused,
         "csv_counts": lambda spark, sf_dir: _intake(spark, sf_dir).counts,
+        "history_grown": _query_history_grown,
         "forecasts_table_stored": _query_forecasts_table_stored,
         "evaluations_stored": _query_evaluations_stored,
         "evaluate_from_view": _query_evaluate_from_view,
@@ -846,6 +861,7 @@ FROM history GROUP BY store, item"""
         "sql_series_sales": series,
         "store_item_history": daily.format(condition=""),
         "clean_history": f"WITH {_HISTORY_SQL} SELECT * FROM history",
+        "history_grown": f"WITH {_HISTORY_SQL} SELECT * FROM history",
         "future_frame": f"WITH {_FORECAST_SQL} SELECT store, item, ds FROM forecast_frame",
         "baseline_forecast": f"WITH {_FORECAST_SQL} SELECT * FROM forecast",
         "forecast_with_actuals": f"""WITH {_FORECAST_SQL}

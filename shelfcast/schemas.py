@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 
@@ -94,3 +95,9 @@ REFUSED_LINES = StructType(
     [*SALES, StructField("line", StringType()), StructField("reason", StringType())]
 )
 INTAKE_COUNTS = _schema(reason=StringType(), rows=_LONG)
+
+# Files that a grown history holds with the months of their sales, and the run of each month.
+HISTORY_FILES = _schema(
+    file=StringType(), length=_LONG, modified=TimestampType(), months=ArrayType(StringType())
+)
+HISTORY_MONTHS = _schema(month=StringType(), run=StringType())

@@ -10,7 +10,7 @@ from shelfcast.schemas import SALES
 LINEITEM = "l_partkey bigint, l_suppkey bigint, l_quantity double, l_shipdate timestamp_ntz"
 
 
-def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_sales_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Sales from CSV files with a header line.
 
     The schema is given, so no inference pass reads the files. A field that cannot

@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators.frame import HORIZON_DAYS
 from shelfcast.operators.history import of_series
@@ -22,6 +22,8 @@ from shelfcast.plans.forecast_job import (
 )
 from shelfcast.plans.star_load import check_star, load_star, read_reports, reset_star
 from shelfcast.schemas import FORECAST_TABLE
+from shelfcast.sources.commits import last_commit
+from shelfcast.sources.grown import as_sales, grow_history, grown_history
 from shelfcast.sources.intake import Intake, take_in
 from shelfcast.sources.tables import create_table
 
@@ -40,9 +42,11 @@ def parser() -> argparse.ArgumentParser:
     add = commands.add_subparsers(dest="command", required=True).add_parser
 
     rollups = add("rollups", help="store sales by year and by month")
+    grow = add("grow", help="add new sales files to the daily history")
     forecast = add("forecast", help="train, predict and score every series, or one")
-    for command in (rollups, forecast):
+    for command in (rollups, grow):
         command.add_argument("--sales", required=True, help="CSV files with a header line")
+    forecast.add_argument("--sales", help="CSV files; without them the grown history is used")
     forecast.add_argument("--training-date", type=date, default=datetime.date.today())
     forecast.add_argument("--evaluate-before", type=date, default=datetime.date.max)
     forecast.add_argument("--horizon", type=days, default=HORIZON_DAYS)
@@ -63,7 +67,7 @@ def parser() -> argparse.ArgumentParser:
 
     check = add("check-star", help="count broken references and repeated keys")
 
-    for command in (rollups, forecast, predict, reset, load, check):
+    for command in (rollups, grow, forecast, predict, reset, load, check):
         command.add_argument("--folder", required=True, help="shared folder for the results")
     return commands
 
@@ -82,6 +86,14 @@ def _intake(spark: SparkSession, options: argparse.Namespace) -> Intake:
     return intake
 
 
+def _grown(spark: SparkSession, folder: str) -> DataFrame:
+    """The history that ``grow`` keeps, as sales rows."""
+    history = f"{folder}/history"
+    if last_commit(spark, f"{history}/commits").run is None:
+        raise SystemExit("give --sales, or run grow before")
+    return as_sales(grown_history(spark, history))
+
+
 def main(arguments: list[str] | None = None) -> None:
     options = parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"shelfcast {options.command}").getOrCreate()
@@ -93,10 +105,12 @@ def main(arguments: list[str] | None = None) -> None:
             ("sales_by_month", sales_by_month(sales), "month"),
         ):
             in_order(rows, key).write.mode("overwrite").parquet(f"{options.folder}/{name}")
+    elif options.command == "grow":
+        grow_history(spark, options.sales, f"{options.folder}/history")
     elif options.command == "forecast":
         series = _series(options.store, options.item)
         run_forecast(
-            _intake(spark, options).sales,
+            _intake(spark, options).sales if options.sales else _grown(spark, options.folder),
             options.folder,
             options.training_date,
             options.evaluate_before,

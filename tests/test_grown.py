@@ -1,0 +1,180 @@
+import os
+import shutil
+
+import pytest
+
+from shelfcast.operators.history import clean_history
+from shelfcast.schemas import HISTORY
+from shelfcast.sources import grown
+from shelfcast.sources.commits import Commit, Overtaken, commit, last_commit
+from shelfcast.sources.grown import grow_history, grown_history, history_files
+from shelfcast.sources.sales import read_sales_csv
+from tests.conftest import tuples
+
+HEADER = "date,store,item,sales"
+
+
+class Files:
+    """A folder of sales files whose times move on with every write."""
+
+    def __init__(self, path):
+        self.path, self.time = path, 1_500_000_000
+
+    def write(self, name, *lines):
+        os.makedirs(self.path, exist_ok=True)
+        with open(f"{self.path}/{name}", "w") as out:
+            out.write("\n".join([HEADER, *lines]) + "\n")
+        self.time += 10
+        os.utime(f"{self.path}/{name}", (self.time, self.time))
+
+    def drop(self, name):
+        os.remove(f"{self.path}/{name}")
+
+
+@pytest.fixture
+def files(tmp_path):
+    files = Files(str(tmp_path / "sales"))
+    files.write("a.csv", "2017-01-01,1,1,5", "2017-01-31,1,1,2", "2017-02-01,1,2,3")
+    files.write("b [1]%20.csv", "2017-02-01,1,2,4", "2017-02-01,1,2,4", "2017-03-01,2,1,1")
+    return files
+
+
+def kept_files(folder):
+    """Every data file of the months that the history has now, with its time."""
+    return {
+        os.path.join(at, name): os.stat(os.path.join(at, name)).st_mtime_ns
+        for at, _, names in os.walk(folder)
+        for name in names
+        if name.endswith(".parquet") and "month=" in at
+    }
+
+
+def check(spark, files, folder):
+    found = grow_history(spark, files.path, folder)
+    assert found.schema.names == HISTORY.names
+    expected = clean_history(read_sales_csv(spark, files.path))
+    assert tuples(found) == tuples(expected)
+    assert tuples(grown_history(spark, folder)) == tuples(expected)
+    return found
+
+
+def months_read(frame):
+    return {path.split("month=")[1][:7]: path for path in frame.inputFiles()}
+
+
+def test_first_update_equals_the_whole_history(spark, files, tmp_path):
+    check(spark, files, str(tmp_path / "grown"))
+    ledger = {row["file"].split("/")[-1]: row["months"] for row in history_files(spark, str(tmp_path / "grown")).collect()}
+    assert sorted(ledger.values()) == [["2017-01", "2017-02"], ["2017-02", "2017-03"]]
+
+
+def test_new_files_touch_only_their_months(spark, files, tmp_path):
+    folder = str(tmp_path / "grown")
+    first = months_read(check(spark, files, folder))
+    before = kept_files(folder)
+    files.write("c.csv", "2017-02-01,1,2,10", "2017-04-05,1,1,1")
+    second = months_read(check(spark, files, folder))
+    after = kept_files(folder)
+    assert {path: after[path] for path in before} == before
+    assert {month for month in first if first[month] == second[month]} == {"2017-01", "2017-03"}
+    assert set(second) == {"2017-01", "2017-02", "2017-03", "2017-04"}
+
+
+def test_only_new_files_are_read(spark, files, tmp_path):
+    folder, asked = str(tmp_path / "grown"), []
+
+    def read(spark, paths):
+        asked.append([path.split("/")[-1] for path in paths])
+        return read_sales_csv(spark, paths)
+
+    grow_history(spark, files.path, folder, read)
+    files.write("c.csv", "2017-02-01,1,2,10")
+    grow_history(spark, files.path, folder, read)
+    assert asked == [asked[0], ["c.csv"]] and len(asked[0]) == 2
+
+
+def test_nothing_new_writes_nothing(spark, files, tmp_path):
+    folder = str(tmp_path / "grown")
+    check(spark, files, folder)
+    holding = last_commit(spark, f"{folder}/commits")
+    check(spark, files, folder)
+    assert last_commit(spark, f"{folder}/commits") == holding == Commit(1, holding.run)
+
+
+def test_rewritten_and_missing_files(spark, files, tmp_path):
+    folder = str(tmp_path / "grown")
+    first = months_read(check(spark, files, folder))
+    files.write("a.csv", "2017-01-01,1,1,50", "2017-06-01,1,1,2")
+    second = months_read(check(spark, files, folder))
+    assert second["2017-03"] == first["2017-03"] and "2017-06" in second
+    files.drop("b [1]%20.csv")
+    assert set(months_read(check(spark, files, folder))) == {"2017-01", "2017-06"}
+    files.write("d.csv", "2017-01-01,1,1,1")
+    files.drop("a.csv")
+    check(spark, files, folder)
+
+
+def test_same_length_with_another_time_is_read_again(spark, files, tmp_path):
+    folder = str(tmp_path / "grown")
+    check(spark, files, folder)
+    files.write("a.csv", "2017-01-01,1,1,6", "2017-01-31,1,1,2", "2017-02-01,1,2,3")
+    check(spark, files, folder)
+
+
+def test_unreadable_and_empty_files(spark, files, tmp_path):
+    folder = str(tmp_path / "grown")
+    files.write("empty.csv")
+    files.write("broken.csv", "01.02.2017,1,1,5", "2017-02-01,,1,5", "2017-02-01,1,1,many", "")
+    check(spark, files, folder)
+    assert history_files(spark, folder).where("size(months) = 0").count() == 2
+    check(spark, files, folder)
+    for name in os.listdir(files.path):
+        files.drop(name)
+    files.write("empty.csv")
+    assert grow_history(spark, files.path, folder).count() == 0
+    assert grown_history(spark, str(tmp_path / "never")).count() == 0
+
+
+def test_an_update_that_stops_changes_nothing(spark, files, tmp_path, monkeypatch):
+    folder = str(tmp_path / "grown")
+    before = tuples(check(spark, files, folder))
+    files.write("c.csv", "2017-02-01,1,2,10")
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken:
+        broken.setattr(grown, "commit", stop)
+        with pytest.raises(KeyboardInterrupt):
+            grow_history(spark, files.path, folder)
+    assert tuples(grown_history(spark, folder)) == before
+    check(spark, files, folder)
+
+
+def test_of_two_updates_at_once_one_fails(spark, files, tmp_path, monkeypatch):
+    folder = str(tmp_path / "grown")
+    check(spark, files, folder)
+    files.write("c.csv", "2017-02-01,1,2,10")
+
+    def late(spark, commits, before, run):
+        monkeypatch.undo()
+        grow_history(spark, files.path, folder)
+        return commit(spark, commits, before, run)
+
+    monkeypatch.setattr(grown, "commit", late)
+    with pytest.raises(Overtaken):
+        grow_history(spark, files.path, folder)
+    check(spark, files, folder)
+    assert last_commit(spark, f"{folder}/commits").number == 2
+
+
+def test_a_commit_in_the_making_is_not_read(spark, tmp_path):
+    folder = str(tmp_path / "commits")
+    assert last_commit(spark, folder) == Commit()
+    first = commit(spark, folder, Commit(), "one")
+    shutil.copy(f"{folder}/0000000001", f"{folder}/_half")
+    assert last_commit(spark, folder) == first == Commit(1, "one")
+    with pytest.raises(Overtaken):
+        commit(spark, folder, Commit(), "two")
+    assert last_commit(spark, folder).run == "one"
+    assert sorted(n for n in os.listdir(folder) if not n.startswith((".", "_"))) == ["0000000001"]

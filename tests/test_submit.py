@@ -73,3 +73,16 @@ def test_one_series_leaves_the_others_alone(spark, csv, tmp_path, capsys):
     rows = stored_forecast(spark, folder, day("2017-02-01"))
     assert rows.where("store = 1").count() == 31 + 90
     assert rows.where("store = 10").count() == 31 + 7
+
+
+def test_forecast_of_the_grown_history(spark, csv, tmp_path):
+    folder = str(tmp_path / "out")
+    forecast = ["forecast", "--folder", folder, "--training-date", "2017-02-01", "--horizon", "3"]
+    with pytest.raises(SystemExit):
+        submit.main(forecast)
+    for _ in range(2):
+        submit.main(["grow", "--sales", csv, "--folder", folder])
+    submit.main(forecast)
+    grown = tuples(stored_forecast(spark, folder, day("2017-02-01")))
+    submit.main([*forecast, "--sales", csv])
+    assert tuples(stored_forecast(spark, folder, day("2017-02-01"))) == grown
