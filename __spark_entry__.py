@@ -34,6 +34,8 @@ from shelfcast.operators.history import (
     single_series,
 )
 from shelfcast.operators.rollups import in_order, sales_by_month, sales_by_year
+from shelfcast.operators.sampled import DIGITS as HASH_DIGITS
+from shelfcast.operators.sampled import DRAWS, LOWER, UPPER, sampled_horizon
 from shelfcast.plans.forecast_job import run_prediction
 from shelfcast.plans.star_load import load_star, read_reports, read_star, reset_star
 from shelfcast.schemas import EVALUATION, FORECAST_TABLE, PARAMETERS
@@ -348,6 +350,12 @@ def _query_predict_given_params(spark, sf_dir):
     return _rounded(predicted, "yhat", "yhat_upper", "yhat_lower").drop("y")
 
 
+def _query_sampled_bands(spark, sf_dir):
+    """Bands of the horizon by 1,000 draws of trend changes for each series."""
+    parameters = settle(_given_parameters(_history(spark, sf_dir)))
+    return _rounded(sampled_horizon(parameters), "yhat", "yhat_upper", "yhat_lower").drop("y")
+
+
 def _new_folder(spark: SparkSession) -> str:
     return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
 
@@ -544,6 +552,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forecast_series_kept": _query_forecast_series_kept,
         "fit_params_checked": _query_fit_params_checked,
         "predict_given_params": _query_predict_given_params,
+        "sampled_bands": _query_sampled_bands,
         "csv_source": _query_csv_source,
         "csv_taken": lambda spark, sf_dir: _intake(spark, sf_dir).sales,
         "csv_refused": lambda spark, sf_dir: _intake(spark, sf_dir).refused,
@@ -796,6 +805,49 @@ taken AS (
 
 def _model_sql() -> str:
     """yhat and band of the given parameters, spelled out."""
+    return f"""{_curves_sql()},
+banded AS (
+  SELECT *, 10 * trend * growth AS center,
+         1.959963984540054 * 10 * sqrt(0.1 * 0.1 + growth * growth * variance) AS band
+  FROM curved)
+SELECT ds, store, item, ROUND(center, 4) AS yhat, ROUND(center + band, 4) AS yhat_upper,
+       ROUND(center - band, 4) AS yhat_lower
+FROM banded"""
+
+
+def _sampled_sql() -> str:
+    """The draws of the given parameters and their percentiles, spelled out."""
+    mean = sum(map(abs, GIVEN_DELTAS)) / len(GIVEN_DELTAS)
+    digits = ", ".join(
+        f"(CAST('0x' || substr(hash, {first}, {count}) AS BIGINT) + 0.5) / {16**count} AS {name}"
+        for name, (first, count) in HASH_DIGITS.items()
+    )
+    return f"""{_curves_sql()},
+hashed AS (
+  SELECT c.*, draw, {len(GIVEN_DELTAS)} / CAST(datediff('day', first_ds, last_ds) AS DOUBLE) AS rate,
+         md5(concat_ws(':', c.store, c.item, draw, CAST(d AS BIGINT))) AS hash
+  FROM curved c JOIN model m ON c.store = m.store AND c.item = m.item,
+       range(1, {DRAWS + 1}) r(draw)
+  WHERE c.ds > last_ds),
+chances AS (SELECT *, {digits} FROM hashed),
+changes AS (
+  SELECT *, CASE WHEN chance < rate
+              THEN -{mean!r} * sign(chance / rate - 0.5) * ln(1 - 2 * abs(chance / rate - 0.5))
+              ELSE 0 END AS change,
+         0.1 * sqrt(-2 * ln(radius)) * cos(2 * pi() * angle) AS noise
+  FROM chances),
+bent AS (
+  SELECT *, t * SUM(change) OVER so_far - SUM(change * t) OVER so_far AS moved FROM changes
+  WINDOW so_far AS (PARTITION BY store, item, draw ORDER BY ds)),
+valued AS (SELECT *, 10 * ((trend + moved) * growth + noise) AS value FROM bent)
+SELECT ds, store, item, ROUND(ANY_VALUE(10 * trend * growth), 4) AS yhat,
+       ROUND(quantile_cont(value, {UPPER}), 4) AS yhat_upper,
+       ROUND(quantile_cont(value, {LOWER}), 4) AS yhat_lower
+FROM valued GROUP BY ds, store, item"""
+
+
+def _curves_sql() -> str:
+    """CTEs up to trend and growth of the given parameters on every day."""
     season = " + ".join(
         f"{0.001 * (at + 1)!r} * {wave}(d * {angle!r})" for at, (wave, angle) in enumerate(WAVES)
     )
@@ -818,14 +870,7 @@ placed AS (
 curved AS (
   SELECT *, level + slope * t + {bends} AS trend, 1 + {season} AS growth,
          {drift!r} * pow(greatest(t - 1, 0), 3) AS variance
-  FROM placed),
-banded AS (
-  SELECT *, 10 * trend * growth AS center,
-         1.959963984540054 * 10 * sqrt(0.1 * 0.1 + growth * growth * variance) AS band
-  FROM curved)
-SELECT ds, store, item, ROUND(center, 4) AS yhat, ROUND(center + band, 4) AS yhat_upper,
-       ROUND(center - band, 4) AS yhat_lower
-FROM banded"""
+  FROM placed)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -861,6 +906,7 @@ FROM history GROUP BY store, item"""
         "sql_series_sales": series,
         "store_item_history": daily.format(condition=""),
         "clean_history": f"WITH {_HISTORY_SQL} SELECT * FROM history",
+        "sampled_bands": _sampled_sql(),
         "history_grown": f"WITH {_HISTORY_SQL} SELECT * FROM history",
         "future_frame": f"WITH {_FORECAST_SQL} SELECT store, item, ds FROM forecast_frame",
         "baseline_forecast": f"WITH {_FORECAST_SQL} SELECT * FROM forecast",

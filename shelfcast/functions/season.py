@@ -62,6 +62,7 @@ def ready_to_predict(parameters: DataFrame) -> DataFrame:
         "span": "double(datediff(last_ds, first_ds))",
         "start": "double(unix_date(first_ds))",
         "drift": DRIFT,
+        "bends": "double(greatest(size(deltas), 0))",
         **{name: name for name in ("scale", "slope", "level", "sigma")},
     }
     return parameters.selectExpr(

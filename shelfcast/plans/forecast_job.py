@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.operators.evaluation import evaluate, stamp
 from shelfcast.operators.frame import HORIZON_DAYS
 from shelfcast.operators.history import clean_history, colocate, of_series
+from shelfcast.operators.sampled import sampled_horizon
 from shelfcast.operators.seasonal import fit, predict, short_series
 from shelfcast.schemas import EVALUATION, FORECAST_TABLE
 from shelfcast.sources.settled import scratch, settle
@@ -32,12 +33,14 @@ def run_forecast(
     as_float: bool = False,
     series: tuple[int, int] | None = None,
     partitions: int | None = None,
+    draws: int = 0,
 ) -> None:
     """Train, predict and score every series; store the results under ``folder``.
 
     With ``series``, a store and an item, only that one is trained, and only its rows of
     the training date are replaced. Series seen on one day are forecast flat and listed in
-    ``short_series``. ``partitions`` is the number of fitting tasks.
+    ``short_series``. ``partitions`` is the number of fitting tasks. With ``draws`` the band of
+    the horizon is sampled, see ``sampled_horizon``; else it is the closed form.
 
     Each step reads what the step before it stored, so neither the daily sums nor a fit
     are ever repeated, also when executors are lost. The history serves both fit and
@@ -55,7 +58,10 @@ def run_forecast(
             save_parameters(trained, training_date, f"{folder}/parameters", series)
             short = short_series(trained)
             store_short(short, f"{folder}/short_series", training_date, series)
-            forecast = stamp(predict(trained, history, horizon), training_date)
+            forecast = predict(trained, history, 0 if draws else horizon)
+            if draws:
+                forecast = forecast.unionByName(sampled_horizon(trained, horizon, draws))
+            forecast = stamp(forecast, training_date)
             write_forecasts(forecast, f"{folder}/forecasts", as_float, series)
         finally:
             history.unpersist()

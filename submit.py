@@ -51,6 +51,7 @@ def parser() -> argparse.ArgumentParser:
     forecast.add_argument("--evaluate-before", type=date, default=datetime.date.max)
     forecast.add_argument("--horizon", type=days, default=HORIZON_DAYS)
     forecast.add_argument("--partitions", type=int, help="number of fitting tasks")
+    forecast.add_argument("--draws", type=days, default=0, help="sample the band by so many draws")
     forecast.add_argument("--store", type=int)
     forecast.add_argument("--item", type=int)
     forecast.add_argument("--as-float", action="store_true")
@@ -118,6 +119,7 @@ def main(arguments: list[str] | None = None) -> None:
             options.as_float,
             series,
             options.partitions,
+            options.draws,
         )
         if options.table:
             path = f"{options.folder}/forecasts"
