@@ -65,11 +65,15 @@ TRAINING_DATE = datetime.date(2001, 12, 31)
 EVALUATE_BEFORE = datetime.date(2001, 1, 1)
 # An earlier training saw the sales before this day.
 EARLIER_TRAINING = datetime.date(2001, 1, 1)
+# A model of the sales before this day, a month ago, begins the next fit.
+REFIT_FROM = datetime.date(2001, 10, 5)
 # The second load of uneven rows begins here.
 SECOND_FROM = datetime.date(2000, 1, 1)
 # The first load of the dimensions saw the sales before this day.
 FIRST_LOAD = datetime.date(1995, 1, 10)
 DIGITS = 4
+# How far two searches of one curve may end from each other, as a part of the largest sale.
+SAME_CURVE = 0.01
 # Bends of the model that a query stores and predicts from.
 GIVEN_CHANGES, GIVEN_DELTAS = (0.25, 0.5), (0.3, -0.2)
 
@@ -315,6 +319,30 @@ def _fit_facts(parameters: DataFrame) -> DataFrame:
     )
 
 
+def _query_refit_checked(spark, sf_dir):
+    """Models of the whole history, begun anew and begun with those of the earlier history."""
+    folded = _history(spark, sf_dir).selectExpr("-store AS store", "item", "ds", "y")
+    history = settle(_wide_history(spark, sf_dir).unionByName(folded))
+    anew = settle(seasonal.fit(colocate(history)))
+    earlier = history.where(F.col("ds") < F.lit(REFIT_FROM))
+    again = settle(seasonal.fit(colocate(history), settle(seasonal.fit(colocate(earlier)))))
+    curves = [
+        seasonal.predict(model, history).select("store", "item", "ds", F.col("yhat").alias(name))
+        for name, model in (("anew", anew), ("again", again))
+    ]
+    both = curves[0].join(curves[1], ["store", "item", "ds"])
+    apart = both.groupBy("store", "item").agg(F.max(F.abs(F.expr("anew - again"))).alias("apart"))
+    anew_rounds, again_rounds = (model.agg(F.sum("rounds")).first()[0] for model in (anew, again))
+    return again.join(apart, ["store", "item"]).select(
+        "store",
+        "item",
+        "points",
+        "converged",
+        (F.col("apart") <= SAME_CURVE * F.col("scale")).alias("same_curve"),
+        F.lit(again_rounds < anew_rounds).alias("fewer_rounds"),
+    )
+
+
 def _given_parameters(history: DataFrame) -> DataFrame:
     """A model as it could be stored: line by regression, fixed bends and waves."""
     fixed = {
@@ -553,6 +581,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fit_params_checked": _query_fit_params_checked,
         "predict_given_params": _query_predict_given_params,
         "sampled_bands": _query_sampled_bands,
+        "refit_checked": _query_refit_checked,
         "csv_source": _query_csv_source,
         "csv_taken": lambda spark, sf_dir: _intake(spark, sf_dir).sales,
         "csv_refused": lambda spark, sf_dir: _intake(spark, sf_dir).refused,
@@ -907,6 +936,17 @@ FROM history GROUP BY store, item"""
         "store_item_history": daily.format(condition=""),
         "clean_history": f"WITH {_HISTORY_SQL} SELECT * FROM history",
         "sampled_bands": _sampled_sql(),
+        "refit_checked": f"""WITH {_HISTORY_SQL},
+wide AS (
+  SELECT CAST(l_suppkey + 1 AS INT) AS store, CAST(l_partkey % 4 + 1 AS INT) AS item,
+         CAST(l_shipdate AS DATE) AS ds
+  FROM lineitem
+  WHERE l_shipdate IS NOT NULL AND l_suppkey IS NOT NULL AND l_partkey IS NOT NULL
+    AND l_quantity IS NOT NULL)
+SELECT store, item, CAST(COUNT(DISTINCT ds) AS INT) AS points, TRUE AS converged,
+       TRUE AS same_curve, TRUE AS fewer_rounds
+FROM (SELECT -store AS store, item, ds FROM history UNION ALL SELECT * FROM wide) s
+GROUP BY store, item""",
         "history_grown": f"WITH {_HISTORY_SQL} SELECT * FROM history",
         "future_frame": f"WITH {_FORECAST_SQL} SELECT store, item, ds FROM forecast_frame",
         "baseline_forecast": f"WITH {_FORECAST_SQL} SELECT * FROM forecast",

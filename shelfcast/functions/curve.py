@@ -56,6 +56,23 @@ def changepoint_times(t: np.ndarray) -> np.ndarray:
     return t[changepoint_places(len(t))]
 
 
+def carried_over(start: dict, first: float, last: float, changes: np.ndarray, scale: float):
+    """Weights of a stored curve on the axis, changepoints and scale of a longer series.
+
+    ``start`` has the columns of a parameter row, days as numbers. Between two changepoints the
+    trend runs straight between the values that the stored one has there, so that weights
+    differ from it only where it bends elsewhere. The season is relative and stays.
+    """
+    knots = np.concatenate([[0.0], changes, [1.0]])
+    span = float(start["last_ds"] - start["first_ds"]) or 1.0
+    then = (first + knots * (last - first) - start["first_ds"]) / span
+    bends = np.maximum(then - np.array(start["changepoints"], float).reshape(-1, 1), 0.0)
+    trend = start["level"] + start["slope"] * then + np.array(start["deltas"], float) @ bends
+    trend *= start["scale"] / scale
+    slopes = np.diff(trend) / np.diff(knots)
+    return np.concatenate([[slopes[0], trend[0]], np.diff(slopes), start["season"]])
+
+
 def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
     """Parameters for observations on distinct, ascending days; one day gives a flat line.
 

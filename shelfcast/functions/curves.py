@@ -30,15 +30,22 @@ def _stacks(sizes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
                 yield size, some[start : start + many]
 
 
-def fit_curves(days: list[np.ndarray], totals: list[np.ndarray]) -> list[dict]:
-    """``curve.fit_curve`` of each series; days are distinct and ascend within a series."""
+def fit_curves(
+    days: list[np.ndarray], totals: list[np.ndarray], starts: list[dict | None] | None = None
+) -> list[dict]:
+    """``curve.fit_curve`` of each series; days are distinct and ascend within a series.
+
+    ``starts`` may have a stored model for a series, by which its search begins.
+    """
     out: list = [None] * len(days)
     for size, some in _stacks(np.array([len(day) for day in days], np.int64)):
         if size < 2:
             fitted = [curve.fit_curve(days[at], totals[at]) for at in some]
         else:
             fitted = _fit_stack(
-                np.array([days[at] for at in some]), np.array([totals[at] for at in some])
+                np.array([days[at] for at in some]),
+                np.array([totals[at] for at in some]),
+                [starts[at] for at in some] if starts else [],
             )
         for at, row in zip(some.tolist(), fitted):
             out[at] = row
@@ -111,12 +118,17 @@ class _Stack:
         return best, change_size
 
 
-def _fit_stack(day: np.ndarray, y: np.ndarray) -> list[dict]:
+def _fit_stack(day: np.ndarray, y: np.ndarray, starts: list[dict | None] = ()) -> list[dict]:
     scale = np.abs(y).max(axis=1)
     scale[scale == 0] = 1.0
     every = _Stack(day, y / scale[:, None])
     weights, many = every.center.copy(), len(day)
     change_size = np.full(every.changes.shape, curve.CHANGE_SCALE)
+    for at, start in enumerate(starts):
+        if start is not None and start["points"] > 1:
+            ends = float(day[at, 0]), float(day[at, -1])
+            weights[at] = curve.carried_over(start, *ends, every.changes[at], scale[at])
+            change_size[at] = np.abs(weights[at, every.bends]) + curve.SMALL_CHANGE
     fitted = np.full(day.shape, np.inf)
     converged, rounds = np.zeros(many, bool), np.zeros(many, int)
     active, stack = np.arange(many), every

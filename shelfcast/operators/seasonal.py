@@ -43,18 +43,24 @@ ARROW_TYPES = {
 }
 
 
-def fit(history: DataFrame) -> DataFrame:
+def fit(history: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """One parameter row per series. A series seen on one day gets a flat line.
 
     A series is one row of daily totals, at most one for each calendar day however many sales
     were summed into it. Colocate the history first, so that the number of fitting tasks does
     not depend on its size in bytes; a history that lies by series is not moved again. Series
     of the same number of days that arrive together are fitted together, see ``curves``.
+
+    ``start`` has parameters of an earlier fit, of any days and of some of the series, one row
+    for each at most. They begin the search of their series, which takes the fewer rounds to
+    the same curve the newer they are. They move to the history, which stays where it is.
     """
     fit_curves = curves.fit_curves
     # Day numbers travel to Python and back as plain integers, dates would become objects.
     total = F.struct(F.unix_date("ds").alias("day"), F.col("y").cast("double").alias("y"))
     series = history.groupBy(*SERIES).agg(F.array_sort(F.collect_list(total)).alias("days"))
+    if start is not None:
+        series = series.join(_starts(start), list(SERIES), "left")
     columns = {
         field.name: "int" if field.name.endswith("_ds") else field.dataType.simpleString()
         for field in PARAMETERS
@@ -66,7 +72,8 @@ def fit(history: DataFrame) -> DataFrame:
         flat, cuts = listed.flatten(), np.cumsum(listed.value_lengths().to_numpy())[:-1]
         day, y = (flat.field(at).to_numpy(zero_copy_only=False).astype("float64") for at in (0, 1))
         days = np.split(day, cuts)
-        rows = fit_curves(days, np.split(y, cuts))
+        starts = batch.column(3).to_pylist() if batch.num_columns > 3 else None
+        rows = fit_curves(days, np.split(y, cuts), starts)
         for row, store, item, one in zip(rows, *(batch.column(at).to_pylist() for at in (0, 1)), days):
             row.update(store=store, item=item, first_ds=int(one[0]), last_ds=int(one[-1]))
         return pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
@@ -80,6 +87,13 @@ def fit(history: DataFrame) -> DataFrame:
     return fitted.withColumns(dates)
 
 
+def _starts(parameters: DataFrame) -> DataFrame:
+    """``store, item, start``: models with days as numbers."""
+    numbers = [F.unix_date(name).alias(name) for name in ("first_ds", "last_ds")]
+    same = ("points", "scale", "slope", "level", "changepoints", "deltas", "season")
+    return parameters.select(*SERIES, F.struct(*numbers, *same).alias("start"))
+
+
 SHORT_REASON = "fewer than two days of history"
 
 

@@ -34,6 +34,7 @@ def run_forecast(
     series: tuple[int, int] | None = None,
     partitions: int | None = None,
     draws: int = 0,
+    start_from: datetime.date | None = None,
 ) -> None:
     """Train, predict and score every series; store the results under ``folder``.
 
@@ -41,6 +42,7 @@ def run_forecast(
     the training date are replaced. Series seen on one day are forecast flat and listed in
     ``short_series``. ``partitions`` is the number of fitting tasks. With ``draws`` the band of
     the horizon is sampled, see ``sampled_horizon``; else it is the closed form.
+    The searches begin with the stored model of the training date ``start_from``, if given.
 
     Each step reads what the step before it stored, so neither the daily sums nor a fit
     are ever repeated, also when executors are lost. The history serves both fit and
@@ -51,10 +53,11 @@ def run_forecast(
     spark = sales.sparkSession
     if series is not None:
         sales = of_series(sales, *series)
+    start = None if start_from is None else load_parameters(spark, f"{folder}/parameters", start_from)
     with scratch(spark) as work:
         history = colocate(settle(clean_history(sales), work), partitions).persist()
         try:
-            trained = settle(fit(history), work)
+            trained = settle(fit(history, start), work)
             save_parameters(trained, training_date, f"{folder}/parameters", series)
             short = short_series(trained)
             store_short(short, f"{folder}/short_series", training_date, series)

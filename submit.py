@@ -52,6 +52,7 @@ def parser() -> argparse.ArgumentParser:
     forecast.add_argument("--horizon", type=days, default=HORIZON_DAYS)
     forecast.add_argument("--partitions", type=int, help="number of fitting tasks")
     forecast.add_argument("--draws", type=days, default=0, help="sample the band by so many draws")
+    forecast.add_argument("--start-from", type=date, help="training date whose models begin the fits")
     forecast.add_argument("--store", type=int)
     forecast.add_argument("--item", type=int)
     forecast.add_argument("--as-float", action="store_true")
@@ -120,6 +121,7 @@ def main(arguments: list[str] | None = None) -> None:
             series,
             options.partitions,
             options.draws,
+            options.start_from,
         )
         if options.table:
             path = f"{options.folder}/forecasts"
