@@ -30,6 +30,7 @@ from shelfcast.schemas import (
     REJECTED_FACTS,
     REPEATED_FACTS,
 )
+from shelfcast.sources.claims import claimed
 from shelfcast.sources.settled import scratch, settle
 from shelfcast.sources.tables import replace_partitions
 
@@ -50,16 +51,18 @@ STORE_BUCKETS = 8
 
 def reset_star(spark: SparkSession, folder: str) -> None:
     """Store the four tables empty, dropping what they held."""
-    for name, schema in TABLES.items():
-        empty = spark.createDataFrame([], schema)
-        if name == "fact_sales":
-            writer = _placed(empty).write.partitionBy(*FACT_PARTITIONS)
-        else:
-            writer = empty.write
-        writer.mode("overwrite").parquet(f"{folder}/{name}")
-    for name, schema in REPORTS.items():
-        empty = spark.createDataFrame([], StructType([*schema, StructField(LOAD, StringType())]))
-        empty.write.mode("overwrite").partitionBy(LOAD).parquet(f"{folder}/{name}")
+    with claimed(spark, folder, "reset"):
+        for name, schema in TABLES.items():
+            empty = spark.createDataFrame([], schema)
+            if name == "fact_sales":
+                writer = _placed(empty).write.partitionBy(*FACT_PARTITIONS)
+            else:
+                writer = empty.write
+            writer.mode("overwrite").parquet(f"{folder}/{name}")
+        for name, schema in REPORTS.items():
+            named = StructType([*schema, StructField(LOAD, StringType())])
+            empty = spark.createDataFrame([], named)
+            empty.write.mode("overwrite").partitionBy(LOAD).parquet(f"{folder}/{name}")
 
 
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -98,13 +101,16 @@ def load_star(
     ``repeated_facts``; both keep the report of the ``load`` of that name until it is repeated.
     ``rows`` should be a stored forecast: it is read once for the members, which only takes its
     three key columns, and once for the facts.
+
+    One load at a time writes a star, as ids follow from the members that are stored: a second
+    one fails with ``Claimed`` before it writes anything.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     spark = rows.sparkSession
     path = f"{folder}/fact_sales"
     wanted = list(dict.fromkeys([*FORECAST.names, *order]))
-    with scratch(spark) as work:
+    with claimed(spark, folder, f"load {load}"), scratch(spark) as work:
         if add_members:
             star, members = read_star(spark, folder), settle(_members(rows), work)
             _append(new_stores(star["dim_store"], members), f"{folder}/dim_store")

@@ -43,24 +43,30 @@ def last_commit(spark: SparkSession, folder: str) -> Commit:
     if not numbers:
         return Commit()
     last = max(numbers)
-    run = spark.read.text(f"{folder}/{last}").first()[0]
-    return Commit(int(last), run)
+    return Commit(int(last), read_text(spark, f"{folder}/{last}"))
 
 
 def commit(spark: SparkSession, folder: str, before: Commit, run: str) -> Commit:
-    """Make ``run`` the state that follows ``before``.
+    """Make ``run`` the state that follows ``before``; raises ``Overtaken`` if that place is taken."""
+    after = Commit(before.number + 1, run)
+    if not put_new(spark, folder, f"{after.number:010d}", run):
+        raise Overtaken(f"{folder}: commit {after.number} was made by another writer")
+    return after
+
+
+def put_new(spark: SparkSession, folder: str, name: str, text: str) -> bool:
+    """Write a file unless there is one of that name, and say whether it was written.
 
-    Raises ``Overtaken`` if that place is taken. The file is complete before it gets its name,
-    and a rename onto a taken name is refused: at once by a distributed file system, after a
-    look by a local one. An object store that cannot do that needs one writer at a time.
+    The file is complete before it gets its name, and a rename onto a taken name is refused: at
+    once by a distributed file system, after a look by a local one. An object store that cannot
+    do that needs one writer at a time.
     """
-    after = Commit(before.number + 1, run)
     path, files = _files(spark, f"{folder}/_{uuid.uuid4().hex}")
     out = files.create(path, False)
-    out.write(bytearray(run.encode()))
+    out.write(bytearray(text.encode()))
     out.close()
     hadoop = spark._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(f"{folder}/{after.number:010d}")
+    target = hadoop.Path(f"{folder}/{name}")
     context = hadoop.FileContext.getFileContext(path.toUri(), spark._jsc.hadoopConfiguration())
     never_replace = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
     try:
@@ -69,8 +75,28 @@ def commit(spark: SparkSession, folder: str, before: Commit, run: str) -> Commit
         files.delete(path, False)
         if "FileAlreadyExistsException" not in fault.java_exception.getClass().getName():
             raise
-        raise Overtaken(f"{folder}: commit {after.number} was made by another writer") from None
-    return after
+        return False
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None without the file."""
+    place, files = _files(spark, path)
+    try:
+        opened = files.open(place)
+    except Py4JJavaError as fault:
+        if "FileNotFoundException" not in fault.java_exception.getClass().getName():
+            raise
+        return None
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, files = _files(spark, path)
+    files.delete(place, False)
 
 
 def _files(spark: SparkSession, folder: str):

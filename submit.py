@@ -22,6 +22,7 @@ from shelfcast.plans.forecast_job import (
 )
 from shelfcast.plans.star_load import check_star, load_star, read_reports, reset_star
 from shelfcast.schemas import FORECAST_TABLE
+from shelfcast.sources.claims import holder, release
 from shelfcast.sources.commits import last_commit
 from shelfcast.sources.grown import as_sales, grow_history, grown_history
 from shelfcast.sources.intake import Intake, take_in
@@ -67,9 +68,11 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--training-date", type=date, required=True)
     load.add_argument("--mode", choices=MODES, default="append")
 
+    free = add("release-star", help="take away the claim of a load whose driver was lost")
+
     check = add("check-star", help="count broken references and repeated keys")
 
-    for command in (rollups, grow, forecast, predict, reset, load, check):
+    for command in (rollups, grow, forecast, predict, reset, load, free, check):
         command.add_argument("--folder", required=True, help="shared folder for the results")
     return commands
 
@@ -133,6 +136,9 @@ def main(arguments: list[str] | None = None) -> None:
         store_prediction(spark, options.folder, options.training_date, options.horizon)
     elif options.command == "reset-star":
         reset_star(spark, star_folder)
+    elif options.command == "release-star":
+        print(f"held by: {holder(spark, star_folder)}")
+        release(spark, star_folder)
     elif options.command == "check-star":
         faults = check_star(spark, star_folder)
         for name, count in faults.items():
