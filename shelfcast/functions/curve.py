@@ -21,9 +21,12 @@ CHANGE_SCALE = 0.05
 TREND_DEVIATION = 5.0
 SEASON_DEVIATION = 10.0
 
-MAX_ROUNDS = 60
-MAX_HALVINGS = 5
+MAX_ROUNDS = 400
+MAX_HALVINGS = 14
 REWEIGHTINGS = 5
+# Series of fewer days hardly determine a curve: searches from two places may end at two curves,
+# so theirs always begin at the same place.
+DAYS_TO_START = 2 * (2 + CHANGEPOINTS + 2 * (YEAR_ORDER + WEEK_ORDER))
 # Largest move of the scaled curve that still counts as converged.
 TOLERANCE = 1e-4
 # Slope changes far below this are treated as zero.
@@ -44,6 +47,17 @@ def fourier(day: np.ndarray) -> np.ndarray:
     return np.vstack(blocks)
 
 
+def bent(changes: np.ndarray) -> np.ndarray:
+    """Penalty of slope changes: the Laplace prior, smoothed where changes are small.
+
+    A reweighted ridge at these changes lies above it and touches it there, so the minimum of
+    the ridge never has a higher cost along the linearised curve. With the plain prior it can
+    have, and the search would end before it converged.
+    """
+    size = np.abs(changes)
+    return size - SMALL_CHANGE * np.log1p(size / SMALL_CHANGE)
+
+
 def changepoint_places(points: int) -> np.ndarray:
     """Evenly spread places in the first part of so many observations."""
     usable = int(np.floor(points * CHANGEPOINT_RANGE))
@@ -100,7 +114,7 @@ def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
     def cost(weights, noise):
         trend, season = curve(weights)
         misfit = target - trend * (1.0 + season)
-        bending = 2.0 / CHANGE_SCALE * np.abs(weights[bends]).sum()
+        bending = 2.0 / CHANGE_SCALE * bent(weights[bends]).sum()
         return misfit @ misfit + noise * (prior @ (weights - center) ** 2 + bending)
 
     def ridge(gram, moment, noise, change_size):
@@ -145,6 +159,7 @@ def fit_curve(day: np.ndarray, y: np.ndarray) -> dict:
             converged = bool(np.abs(trend * (1.0 + season) - fitted).max() <= TOLERANCE)
             break
         weights = weights + step
+        change_size = np.abs(weights[bends]) + SMALL_CHANGE
     trend, season = curve(weights)
     sigma = float(np.sqrt(np.mean((target - trend * (1.0 + season)) ** 2)))
     return {

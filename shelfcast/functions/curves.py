@@ -35,7 +35,8 @@ def fit_curves(
 ) -> list[dict]:
     """``curve.fit_curve`` of each series; days are distinct and ascend within a series.
 
-    ``starts`` may have a stored model for a series, by which its search begins.
+    ``starts`` may have a stored model for a series, by which its search begins if the series
+    has ``curve.DAYS_TO_START`` days.
     """
     out: list = [None] * len(days)
     for size, some in _stacks(np.array([len(day) for day in days], np.int64)):
@@ -87,7 +88,7 @@ class _Stack:
     def cost(self, weights: np.ndarray, noise: np.ndarray) -> np.ndarray:
         trend, season = self.curves(weights)
         misfit = self.target - trend * (1.0 + season)
-        bending = 2.0 / curve.CHANGE_SCALE * np.abs(weights[:, self.bends]).sum(axis=1)
+        bending = 2.0 / curve.CHANGE_SCALE * curve.bent(weights[:, self.bends]).sum(axis=1)
         away = ((weights - self.center) ** 2) @ self.prior
         return (misfit**2).sum(axis=1) + noise * (away + bending)
 
@@ -124,7 +125,7 @@ def _fit_stack(day: np.ndarray, y: np.ndarray, starts: list[dict | None] = ()) -
     every = _Stack(day, y / scale[:, None])
     weights, many = every.center.copy(), len(day)
     change_size = np.full(every.changes.shape, curve.CHANGE_SCALE)
-    for at, start in enumerate(starts):
+    for at, start in enumerate(starts if day.shape[1] >= curve.DAYS_TO_START else ()):
         if start is not None and start["points"] > 1:
             ends = float(day[at, 0]), float(day[at, -1])
             weights[at] = curve.carried_over(start, *ends, every.changes[at], scale[at])
@@ -161,6 +162,7 @@ def _fit_stack(day: np.ndarray, y: np.ndarray, starts: list[dict | None] = ()) -
             moved = np.abs(trend * (1.0 + season) - now[worse]).max(axis=1)
             converged[active[worse]] = moved <= curve.TOLERANCE
         weights[active[~worse]] = (at + step)[~worse]
+        change_size[active] = np.abs(weights[active][:, every.bends]) + curve.SMALL_CHANGE
         if worse.any():
             active, stack = active[~worse], stack.take(~worse)
     trend, season = every.curves(weights)

@@ -53,7 +53,8 @@ def fit(history: DataFrame, start: DataFrame | None = None) -> DataFrame:
 
     ``start`` has parameters of an earlier fit, of any days and of some of the series, one row
     for each at most. They begin the search of their series, which takes the fewer rounds to
-    the same curve the newer they are. They move to the history, which stays where it is.
+    the same curve the newer they are; series of few days are begun anew (``DAYS_TO_START``).
+    They move to the history, which stays where it is.
     """
     fit_curves = curves.fit_curves
     # Day numbers travel to Python and back as plain integers, dates would become objects.

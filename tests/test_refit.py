@@ -75,6 +75,26 @@ def test_a_poor_start_still_reaches_the_curve():
     assert again["sigma"] == pytest.approx(anew["sigma"], rel=0.02)
 
 
+def sparse(seed, many):
+    """Sales on some days of seven years, by chance alone."""
+    random = np.random.default_rng(seed)
+    days = np.sort(random.choice(2499, many, replace=False)) + 9130.0
+    return days, random.integers(1, 51, many).astype(float)
+
+
+def test_search_goes_on_where_the_plain_prior_ended_it():
+    days, y = sparse(18084, 150)
+    assert fitted(days, y)["converged"] and curve.fit_curve(days, y)["converged"]
+
+
+@pytest.mark.parametrize("seed", [324, 326, 394])
+def test_few_days_end_at_one_curve_from_any_model(seed):
+    days, y = sparse(seed, 34)
+    anew, again = fitted(days, y), fitted(days, y, fitted(days[:30], y[:30]))
+    assert anew["converged"] and again["converged"]
+    assert np.abs(at(anew, days[0], days) - at(again, days[0], days)).max() <= 0.01 * anew["scale"]
+
+
 def test_some_series_have_no_start(spark):
     start = datetime.date(2017, 1, 1)
     days = [start + datetime.timedelta(n) for n in range(60)]
