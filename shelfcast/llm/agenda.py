@@ -79,6 +79,8 @@ class Agenda:
             for a, b in pairwise(piece):
                 joined[self._inner[ord(a)], self._inner[ord(b)]] = True
         self._apart = ~joined.ravel()
+        # A character that no merge takes in, to stand between segments.
+        self.separator = next(c for c in map(chr, range(1, 0x110000)) if not self._inner[ord(c)])
 
     def segments(self, text: str) -> list[str]:
         """The text, cut wherever no merge can cross."""

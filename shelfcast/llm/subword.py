@@ -1,7 +1,11 @@
 """Subword ids of whole texts, and the texts decoded from them again.
 
-The ids come from our own agenda. Within every Arrow batch the sentencepiece library encodes
-and decodes the same texts; one that differs anywhere gets the library's result and is marked.
+The ids come from our own agenda, which cuts texts where no piece of the model has the two
+characters side by side. The sentencepiece library merges such neighbours no more than we do, so
+its ids of a text are its ids of the segments: it encodes every distinct segment that is new to a
+task, and decodes the ids of every whole text. A text that is not spelled again, and every text
+from the first segment on that differs, is encoded whole by the library too; if that differs
+anywhere the text gets the library's result and is marked.
 """
 
 from __future__ import annotations
@@ -31,29 +35,54 @@ class Encoder:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.agenda = Agenda(self.library)
         self.known: dict[str, bytes] = {}
+        # Whether the library gave the same ids for all segments so far.
+        self.confirmed = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.agenda.segments(text) if text else [] for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = list(set().union(*cut).difference(self.known))
-        self.known.update(zip(new, self.agenda.encode_all(new)))
+        ids = self.agenda.encode_all(new)
+        self.confirmed = self.confirmed and self._same(new, ids)
+        self.known.update(zip(new, ids))
         look = self.known.__getitem__
         return [b"".join(map(look, segments)) for segments in cut]
 
+    def _same(self, segments: list[str], ids: list[bytes]) -> bool:
+        """Whether the library gives these ids for the segments, each between two separators.
+
+        The separator before the first one keeps it from the space that the model puts first.
+        """
+        mark = self.agenda.separator
+        joined = mark + "".join(segment + mark for segment in segments)
+        if self.library.normalize(joined) != SPACE + joined:
+            return False
+        space, marked = self.agenda.encode_all([SPACE, mark])
+        expected = space + marked + b"".join(one + marked for one in ids)
+        return np.array(self.library.encode(joined), np.int32).tobytes() == expected
+
     def run(self, texts: list[str]) -> tuple[list[bytes], list[str], list[bool]]:
         """Ids (bytes of int32), decoded text and agreement for each text."""
-        ids = self._encode([self.library.normalize(text) for text in texts])
+        normal = [self.library.normalize(text) for text in texts]
+        ids = self._encode(normal)
         lists = [np.frombuffer(x, np.int32).tolist() for x in ids]
         # The first character is the space that the model puts before a text.
         decoded = [self.agenda.decode(x).replace(SPACE, " ")[1:] for x in lists]
-        theirs = self.library.encode(texts, num_threads=1)
-        back = self.library.decode(theirs) if texts else []
-        agreed = [a == b and c == d for a, b, c, d in zip(lists, theirs, decoded, back)]
-        for at, same in enumerate(agreed):
-            if not same:
-                ids[at], decoded[at] = np.array(theirs[at], np.int32).tobytes(), back[at]
-        return ids, decoded, agreed
+        back = self.library.decode(lists) if texts else []
+        agreed = [a == b for a, b in zip(decoded, back)]
+        asked = [
+            at
+            for at, (text, spelled) in enumerate(zip(normal, back))
+            if not self.confirmed or text[1:].replace(SPACE, " ") != spelled
+        ]
+        if asked:
+            theirs = self.library.encode([texts[at] for at in asked], num_threads=1)
+            for at, right in zip(asked, theirs):
+                if lists[at] != right:
+                    ids[at], agreed[at] = np.array(right, np.int32).tobytes(), False
+                    back[at] = self.library.decode(right)
+        return ids, back, agreed
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:

@@ -70,3 +70,42 @@ def test_a_text_that_differs_gets_the_librarys_result(encoder, monkeypatch, libr
     ids, decoded, agreed = encoder.run(["some text"])
     assert agreed == [False] and decoded == ["some text"]
     assert np.frombuffer(ids[0], np.int32).tolist() == library.encode("some text")
+
+
+class Counting:
+    """The library, with the characters that it was asked to encode."""
+
+    def __init__(self, library):
+        self.library, self.asked = library, 0
+
+    def __getattr__(self, name):
+        return getattr(self.library, name)
+
+    def encode(self, texts, **more):
+        self.asked += len(texts) if isinstance(texts, str) else sum(map(len, texts))
+        return self.library.encode(texts, **more)
+
+
+@pytest.fixture
+def counted(library):
+    with open(model_path(), "rb") as file:
+        made = subword.Encoder(file.read())
+    made.library = Counting(made.library)
+    return made
+
+
+def test_the_library_encodes_distinct_segments_once(counted, library):
+    texts = ["Ships sail, on 12 May,  the " * 50 + f"sea\n日本 {n}" for n in range(20)]
+    ids, decoded, agreed = counted.run(texts)
+    assert [np.frombuffer(x, np.int32).tolist() for x in ids] == library.encode(texts)
+    assert decoded == texts and all(agreed)
+    assert counted.library.asked < sum(map(len, texts)) / 50
+
+
+def test_other_ids_of_the_same_spelling_are_found(counted, library, monkeypatch):
+    right = counted.agenda.encode_all
+    monkeypatch.setattr(counted.agenda, "encode_all", lambda some: [b"".join(right(list(s))) for s in some])
+    for texts in (["the sea", "x", ""], ["the other sea", "the sea"]):
+        ids, decoded, agreed = counted.run(texts)
+        assert [np.frombuffer(x, np.int32).tolist() for x in ids] == library.encode(texts)
+        assert decoded == texts and agreed == [not text for text in texts]
