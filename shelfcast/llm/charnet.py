@@ -36,6 +36,8 @@ FAMILIES = ("digits", "lower", "upper", "mixed", "marked")
 FAMILY_OF_BITS = np.array(
     [4 if bits & MARK else 3 if bits & LOWER and bits & UPPER else 2 if bits & UPPER else 1 if bits & LOWER else 0 for bits in range(16)]
 )
+# Bins for each unit of a logit, and logits beyond which all are one bin.
+BINS, FAR = 256, 64
 # Characters that are convolved at once.
 SPAN = 1 << 16
 
@@ -167,7 +169,7 @@ def _gradients(w: dict, codes: np.ndarray, truth: np.ndarray, importance: np.nda
     }
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def places_of(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All places of ranges one after the other, and where each range begins among them."""
     begins = np.cumsum(sizes) - sizes
     places = np.arange(int(sizes.sum())) + np.repeat(starts - begins, sizes)
@@ -179,7 +181,7 @@ def _pooled(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, how) -> n
     out = np.zeros((len(starts), values.shape[1]), values.dtype)
     some = sizes > 0
     if some.any():
-        places, begins = _ranges(starts[some], sizes[some])
+        places, begins = places_of(starts[some], sizes[some])
         out[some] = how.reduceat(values[places], begins, axis=0)
     return out
 
@@ -223,7 +225,14 @@ class Network:
     def score_ranges(
         self, codes: np.ndarray, lows: np.ndarray, starts: np.ndarray, ends: np.ndarray, highs: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities and families of candidates ``starts`` to ``ends`` of one code array.
+        """Probabilities and families of candidates ``starts`` to ``ends`` of one code array."""
+        out, of = self.range_logits(codes, lows, starts, ends, highs)
+        return _sigmoid(self.scale * out + self.shift), of
+
+    def range_logits(
+        self, codes: np.ndarray, lows: np.ndarray, starts: np.ndarray, ends: np.ndarray, highs: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Logits before calibration, and families, of the same candidates.
 
         What stands around a candidate reaches from ``lows`` to ``highs``. Ranges are in order
         of their starts; the array is convolved in spans, each once.
@@ -254,7 +263,7 @@ class Network:
             out[some] = inner @ self.weights["top"] + self.weights["base"][0]
             seen = _pooled(bits[begin:end, None], start, stop - start, np.bitwise_or)
             of[some] = FAMILY_OF_BITS[seen[:, 0]]
-        return _sigmoid(self.scale * out + self.shift), of
+        return out, of
 
     def logits(self, codes: np.ndarray) -> np.ndarray:
         parts = [_forward(self.weights, codes[at : at + 512])[0] for at in range(0, len(codes), 512)]
@@ -296,6 +305,44 @@ def _calibrate(network: Network, codes: np.ndarray, truth: np.ndarray, recall: f
     network.thresholds = _sigmoid(limits)
 
 
+def binned(logits: np.ndarray) -> np.ndarray:
+    """Bins of logits before calibration, by which they are counted."""
+    return np.clip(np.floor(logits * BINS), -BINS * FAR, BINS * FAR).astype(np.int64)
+
+
+def calibrate_by_counts(
+    network: Network, codes: np.ndarray, truth: np.ndarray, counts: np.ndarray, recall: float
+) -> None:
+    """Thresholds that keep ``recall`` of each family's findings, of made ones and of counted ones.
+
+    ``codes`` and ``truth`` are made findings that training did not see. ``counts`` has rows
+    ``(truth, family, bin, number)`` of all findings of a table that training did not see. True
+    ones stand at the lower end of their bin and wrong ones at the upper end, so that none is
+    lost or let through by its place in a bin. Scale and shift decide no finding and stay.
+    """
+    scores, family = network.logits(codes), families(codes)
+    limits = np.zeros(len(FAMILIES))
+    for number in range(len(FAMILIES)):
+        made = np.sort(scores[(truth > 0) & (family == number)])
+        known, wrong = (
+            counts[(counts[:, 0] == label) & (counts[:, 1] == number)] for label in (1, 0)
+        )
+        known = known[np.argsort(known[:, 2])]
+        wrong = np.concatenate([scores[(truth == 0) & (family == number)], (wrong[:, 2] + 1) / BINS])
+        least = [made[int((1 - recall) * len(made))]] if len(made) else []
+        if len(known):
+            reached = np.cumsum(known[:, 3])
+            at = np.searchsorted(reached, int((1 - recall) * reached[-1]), "right")
+            least.append(known[at, 2] / BINS)
+        if least:
+            below = wrong[wrong < min(least)]
+            limits[number] = (min(least) + below.max()) / 2 if below.size else min(least)
+        else:
+            floor = -network.shift / network.scale
+            limits[number] = max(floor, wrong.max(initial=floor)) + np.log(3) / network.scale
+    network.thresholds = _sigmoid(network.scale * limits + network.shift)
+
+
 def train(
     codes: np.ndarray,
     truth: np.ndarray,

@@ -258,3 +258,41 @@ def test_many_texts_give_what_each_gives():
     each = [secrets.find(text) for text in texts]
     assert found.base == [one[0] for one in each] and found.places() == [one[2] for one in each]
     assert [sorted(map(tuple, spans)) for spans in found.base] == [brute(text) for text in texts]
+
+
+def test_thresholds_come_from_the_findings_of_all_texts(make_docs):
+    """However few findings train, all that are held out are counted."""
+    texts = [*labelled(300, 4), *TRICKY, "", "no", None]
+    docs = make_docs(texts).repartition(3)
+    network = secrets.trained(docs, labelled=20, drawn=60)
+    wanted = {0: 0, 1: 0}
+    for text in texts:
+        _, known, _, windows = secrets.find(text or "")
+        wanted[1] += sum(secrets._held(m) for _, m, _ in known)
+        wanted[0] += sum(secrets._held(m) and secrets.harmless(m) is not None for _, m, _ in windows)
+    counts = secrets.counted(docs, network)
+    assert {label: counts[counts[:, 0] == label, 3].sum() for label in (0, 1)} == wanted
+    assert min(wanted.values()) > 20
+
+
+def test_counted_findings_move_the_thresholds():
+    rng = np.random.default_rng(2)
+    network = charnet.Network(charnet._initial(rng))
+    codes = charnet.encode([("", "a1" * 8, ""), ("", "b2" * 8, "")])
+    truth, (family, _) = np.array([1, 1]), charnet.families(codes)
+    least = network.logits(codes).min()
+
+    def threshold(*counts):
+        rows = np.array(counts, np.int64).reshape(-1, 4)
+        charnet.calibrate_by_counts(network, codes, truth, rows, 0.95)
+        return network.thresholds[family]
+
+    made, low, far = threshold(), charnet.binned(np.array([least - 3]))[0], charnet.BINS * 9
+    assert made == pytest.approx(charnet._sigmoid(least))
+    # Nineteen in twenty of the counted ones are still found, and the rest is given up.
+    many = threshold((1, family, low, 100))
+    assert many == pytest.approx(charnet._sigmoid(low / charnet.BINS)) and many < made
+    assert threshold((1, family, low, 5), (1, family, far, 95)) == pytest.approx(made)
+    # Wrong ones below the least true one bound how far the threshold goes down.
+    near = charnet.binned(np.array([least - 0.5]))[0]
+    assert charnet._sigmoid(least - 0.5) < threshold((0, family, near, 1)) < made
